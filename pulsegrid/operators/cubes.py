@@ -213,13 +213,23 @@ def dense_series(cube: DataFrame, by: str) -> DataFrame:
 
 def cube_export_rows(cube: DataFrame) -> DataFrame:
     """K7 export form: one row per slice with its dense series aligned to the axis
-    (``series[i]`` belongs to ``axis[i]``). Each slice collects at most one entry per axis
-    date."""
+    (``series[i]`` belongs to the i-th axis date). Each slice collects exactly one entry per
+    axis date, so a row holds at most (days of history) numbers."""
     axis = date_axis(cube).agg(F.sort_array(F.collect_list("activity_date"))).scalar()
-    per_slice = cube.groupBy("level", "country", "platform").agg(
-        F.map_from_entries(F.collect_list(F.struct("activity_date", "dau"))).alias("m")
+    slices = cube.select("level", "country", "platform").distinct()
+    dense = slices.select("level", "country", "platform", F.explode(axis).alias("activity_date")).alias("d")
+    c = cube.alias("c")
+    joined = dense.join(
+        c,
+        (F.col("d.level") == F.col("c.level"))
+        & F.col("d.country").eqNullSafe(F.col("c.country"))
+        & F.col("d.platform").eqNullSafe(F.col("c.platform"))
+        & (F.col("d.activity_date") == F.col("c.activity_date")),
+        "left",
     )
-    return per_slice.select(
-        "level", "country", "platform",
-        F.transform(axis, lambda d: F.coalesce(F.element_at(F.col("m"), d), F.lit(0))).alias("series"),
+    points = joined.groupBy(F.col("d.level").alias("level"), F.col("d.country").alias("country"),
+                            F.col("d.platform").alias("platform")).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("d.activity_date").alias("activity_date"),
+                                             F.coalesce(F.col("c.dau"), F.lit(0)).cast("long").alias("dau")))).alias("pts")
     )
+    return points.select("level", "country", "platform", F.transform("pts", lambda p: p["dau"]).alias("series"))

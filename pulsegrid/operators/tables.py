@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS
+from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS, FACT_SCHEMA
 from pulsegrid.session import scratch_path
 
 FACT_SORT = ["activity_date", "country", "platform", "user_id"]
@@ -103,7 +103,42 @@ def upsert_fact(
         old = old.join(new.select("activity_date").distinct(), "activity_date", "left_semi")
     staged = scratch_path(spark, "fact-merge")
     write_fact(merge_rows(new, old, mode), staged, dynamic=False)
-    write_fact(spark.read.parquet(staged).select(*FACT_COLUMNS), path)
+    write_fact(spark.read.schema(FACT_SCHEMA).parquet(staged).select(*FACT_COLUMNS), path)
+    spark.catalog.refreshByPath(path)
+
+
+def replace_rows(
+    spark: SparkSession,
+    new: DataFrame,
+    path: str,
+    keys: list[str],
+    partition_by: str,
+    sort_by: list[str] | None = None,
+) -> None:
+    """Generic insert-or-replace on ``keys`` for a Parquet table partitioned by
+    ``partition_by`` (used by the streaming sinks): only the partitions the batch touches are
+    read, merged, staged and overwritten."""
+    cols = new.columns
+    sort_by = sort_by or [partition_by, *[k for k in keys if k != partition_by]]
+    staged_new = scratch_path(spark, "batch")
+    schema = new.schema
+    new.write.mode("overwrite").parquet(staged_new)
+    new = spark.read.schema(schema).parquet(staged_new).select(*cols)
+    try:
+        old = spark.read.parquet(path).select(*cols)
+    except AnalysisException:
+        old = None
+    if old is not None:
+        old = old.join(new.select(partition_by).distinct(), partition_by, "left_semi")
+        merged = new.unionByName(old.join(new.select(*keys), keys, "left_anti"))
+        staged = scratch_path(spark, "merge")
+        merged.write.mode("overwrite").parquet(staged)
+        new = spark.read.schema(schema).parquet(staged).select(*cols)
+    (
+        new.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_by).parquet(path)
+    )
     spark.catalog.refreshByPath(path)
 
 
