@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS, FACT_SCHEMA
-from pulsegrid.session import scratch_path
+from pulsegrid.session import scratch_path, stage
 
 FACT_SORT = ["activity_date", "country", "platform", "user_id"]
 
@@ -32,8 +32,14 @@ FACT_DDL = """CREATE TABLE IF NOT EXISTS {name} (
 PARTITIONED BY (activity_date)"""
 
 
-def create_fact_table(spark: SparkSession, name: str) -> None:
-    spark.sql(FACT_DDL.format(name=name))
+def create_fact_table(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """K8: register the fact table in the catalog (optionally at an explicit location)."""
+    from pulsegrid.config import check_table_name
+
+    ddl = FACT_DDL.format(name=check_table_name(name))
+    if location:
+        ddl += f"\nLOCATION '{location}'"
+    spark.sql(ddl)
 
 
 def layout_fact(fact: DataFrame) -> DataFrame:
@@ -101,9 +107,9 @@ def upsert_fact(
         old = old.where(F.col("activity_date").between(F.lit(lo), F.lit(hi)))
     else:
         old = old.join(new.select("activity_date").distinct(), "activity_date", "left_semi")
-    staged = scratch_path(spark, "fact-merge")
-    write_fact(merge_rows(new, old, mode), staged, dynamic=False)
-    write_fact(spark.read.schema(FACT_SCHEMA).parquet(staged).select(*FACT_COLUMNS), path)
+    # Stage the merged rows plainly (no layout work), then lay out and overwrite once.
+    merged = stage(spark, merge_rows(new, old, mode), "fact-merge")
+    write_fact(merged, path)
     spark.catalog.refreshByPath(path)
 
 

@@ -41,14 +41,17 @@ def quality_report(sessions: DataFrame, accounts: DataFrame, fact: DataFrame | N
     classified = classify_sessions(sessions)
     fact = fact if fact is not None else build_fact(sessions, accounts)
     totals = quality_totals(classified)
+    fact_stats = fact.agg(
+        F.struct(F.count(F.lit(1)).alias("rows"), F.count_distinct("user_id").alias("users"))
+    ).scalar()
     return totals.select(
         accounts.agg(F.count(F.lit(1))).scalar().alias("accounts_loaded"),
         "sessions_loaded",
         "sessions_valid",
         "sessions_quarantined",
         *[f"q_{r}" for r in DQ_REASONS],
-        fact.agg(F.count(F.lit(1))).scalar().alias("fact_rows"),
-        fact.agg(F.count_distinct("user_id")).scalar().alias("distinct_users"),
+        fact_stats["rows"].alias("fact_rows"),
+        fact_stats["users"].alias("distinct_users"),
     )
 
 

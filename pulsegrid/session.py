@@ -75,6 +75,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def stage(spark: SparkSession, df, name: str):
+    """Write ``df`` once as Parquet under the checkpoint root and return a DataFrame over the
+    written table. Used where one result feeds several branches of a plan: the branches read
+    the small written table instead of recomputing it, and the lineage is cut (a lost
+    executor recomputes from the written files)."""
+    path = scratch_path(spark, name)
+    schema = df.schema
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint root for staged tables and sinks."""
     root = checkpoint_root(spark).rstrip("/")

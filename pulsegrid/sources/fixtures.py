@@ -38,8 +38,20 @@ NEWER_UPDATED_AT = "2023-12-01T00:00:00"
 MOVED_UPDATED_AT = "2024-02-01T00:00:00"
 
 
+# Schemas of the shared tables this engine reads (declared, so the scan does
+# not open file footers to infer them).
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def sessions_from_events(events: DataFrame, dirty: bool = True) -> DataFrame:

@@ -3,7 +3,7 @@ Catalyst pushes them into the scan."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.config import JobConfig, Window, check_table_name
@@ -70,10 +70,21 @@ def read_accounts_jdbc(
     return df.select(*[F.col(c).cast("string").alias(c) for c in ACCOUNT_FIELDS])
 
 
+def parse_sessions_json(value: Column | str) -> Column:
+    """One JSON session document in a string column (message-bus style input) ->
+    struct with the raw sessions schema; select ``"s.*"`` from it."""
+    c = F.col(value) if isinstance(value, str) else value
+    return F.from_json(c, SESSIONS_SCHEMA)
+
+
 def read_sessions_json(spark: SparkSession, path: str, window: Window | None = None,
-                       mode: str = "PERMISSIVE") -> DataFrame:
+                       mode: str = "FAILFAST") -> DataFrame:
     """JSON-lines sessions (blank lines skipped, unknown fields ignored), optionally
-    restricted to the extraction window with unparseable timestamps let through (F2)."""
+    restricted to the extraction window with unparseable timestamps let through (F2).
+
+    ``FAILFAST`` (default) aborts on a malformed line, as a line-by-line JSON reader would;
+    ``PERMISSIVE`` turns such a line into an all-NULL row, which is then quarantined as
+    ``null_user_id``."""
     df = spark.read.schema(SESSIONS_SCHEMA).option("mode", mode).json(path)
     if window is not None:
         df = df.where(event_time_window(parse_event_time("timestamp"), window.extract_start,

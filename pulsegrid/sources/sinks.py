@@ -53,8 +53,16 @@ def write_quarantine(quarantined: DataFrame, path: str) -> int:
 
 
 def write_quality_report(report: DataFrame, path: str) -> None:
-    """K5: the one-row quality report as JSON, quarantine counts as a reason -> n map."""
-    report.coalesce(1).write.mode("overwrite").json(path)
+    """K5: the one-row quality report as JSON, with the quarantine counts also as a
+    ``reason -> n`` map in report order (count desc, then canonical order; absent reasons
+    left out)."""
+    from pulsegrid.schemas import DQ_REASONS
+
+    entries = F.array(*[F.struct(F.col(f"q_{r}").alias("n"), F.lit(-i).alias("rank"), F.lit(r).alias("reason"))
+                        for i, r in enumerate(DQ_REASONS)])
+    ordered = F.reverse(F.array_sort(F.filter(entries, lambda e: e["n"] > 0)))
+    quarantine = F.map_from_entries(F.transform(ordered, lambda e: F.struct(e["reason"], e["n"])))
+    report.select("*", quarantine.alias("quarantine")).coalesce(1).write.mode("overwrite").json(path)
 
 
 def write_hourly_ccu_csv(hourly: DataFrame, path: str) -> None:

@@ -17,7 +17,7 @@ from pulsegrid.operators.activity import attach_country
 from pulsegrid.operators.quality import classify_sessions
 from pulsegrid.operators.tables import read_fact_if_exists, upsert_fact
 from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS, SESSIONS_SCHEMA
-from pulsegrid.session import scratch_path
+from pulsegrid.session import scratch_path, stage
 from pulsegrid.streaming.common import checkpoint_location, event_time, run_available_now
 
 # Fixed value: how late (event time) a session may arrive and still be deduplicated in state.
@@ -58,8 +58,12 @@ def run_fact_stream(
     facts = attach_country(grain.drop("event_ts"), accounts_one)
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        # One micro-batch: dedupe within the batch and upsert only the dates it touches.
-        upsert_fact(spark, batch.select(*FACT_COLUMNS).dropDuplicates(FACT_KEYS), fact_path, mode=mode)
+        # One micro-batch: evaluate the stateful plan once by staging its output, then
+        # upsert only the dates it touches. No-data batches (watermark moves) are skipped.
+        staged = stage(spark, batch.select(*FACT_COLUMNS), "stream-batch")
+        if staged.isEmpty():
+            return
+        upsert_fact(spark, staged.dropDuplicates(FACT_KEYS), fact_path, mode=mode)
 
     run_available_now(
         facts.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint_location(spark, "fact", checkpoint))
