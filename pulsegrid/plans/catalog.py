@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pulsegrid.functions.predicates import event_time_window
 from pulsegrid.functions.timestamps import parse_event_time
 from pulsegrid.operators import ccu as ccu_ops
-from pulsegrid.operators import cubes, metrics, quality
+from pulsegrid.operators import checks, cubes, metrics, quality
 from pulsegrid.operators.accounts import latest_account_per_user
 from pulsegrid.operators.activity import build_fact, grain_check
 from pulsegrid.operators.tables import export_fact_csv, read_fact_if_exists, upsert_fact, write_fact
@@ -159,6 +159,15 @@ def fact_grain_check(spark, sf_dir):
     return grain_check(_fact(spark, sf_dir))
 
 
+def fact_data_checks(spark, sf_dir):
+    """The checks read the fact three times; they read it from the fact written once."""
+    return checks.fact_checks(stage(spark, _fact(spark, sf_dir), "fact"))
+
+
+def dq_balance(spark, sf_dir):
+    return checks.quality_balance(quality.classify_sessions(_sessions(spark, sf_dir)))
+
+
 def accounts_one_per_user(spark, sf_dir):
     return latest_account_per_user(_accounts(spark, sf_dir))
 
@@ -434,6 +443,8 @@ QUERIES: dict[str, Query] = {
     "dau_top5_countries": dau_top5_countries,
     "fact_daily_user_activity": fact_daily_user_activity,
     "fact_grain_check": fact_grain_check,
+    "fact_data_checks": fact_data_checks,
+    "dq_balance": dq_balance,
     "accounts_one_per_user": accounts_one_per_user,
     "dq_classified_sessions": dq_classified_sessions,
     "dq_counts": dq_counts,

@@ -339,6 +339,21 @@ ORACLE: dict[str, str] = {
     "fact_daily_user_activity": FACT_SQL,
     "fact_grain_check": BASE + "SELECT COUNT(*) AS fact_rows, COUNT(DISTINCT (activity_date, user_id, platform)) AS distinct_keys, "
     "COUNT(*) = COUNT(DISTINCT (activity_date, user_id, platform)) AS is_unique FROM fact",
+    "fact_data_checks": BASE.rstrip() + """,
+daily AS (SELECT activity_date, COUNT(DISTINCT user_id) AS total FROM fact GROUP BY 1),
+pp AS (SELECT activity_date, MAX(dau) AS mx, SUM(dau) AS sm FROM (
+  SELECT activity_date, platform, COUNT(DISTINCT user_id) AS dau FROM fact GROUP BY 1, 2) GROUP BY 1)
+SELECT COUNT(*) AS fact_rows,
+       COUNT(*) - COUNT(DISTINCT (activity_date, user_id, platform)) AS duplicate_keys,
+       COUNT(*) FILTER (WHERE activity_date IS NULL OR user_id IS NULL OR country IS NULL OR platform IS NULL) AS null_fields,
+       (SELECT COUNT(*) FILTER (WHERE d.total > p.sm OR d.total < p.mx) FROM daily d JOIN pp p USING (activity_date))
+         AS platform_bound_violations
+FROM fact
+""",
+    "dq_balance": BASE + """SELECT COUNT(*) AS sessions_loaded, COUNT(*) FILTER (WHERE dq_reason IS NULL) AS sessions_valid,
+       COUNT(*) FILTER (WHERE dq_reason IS NOT NULL) AS sessions_quarantined,
+       COUNT(*) FILTER (WHERE dq_reason IS NULL) + COUNT(*) FILTER (WHERE dq_reason IS NOT NULL) = COUNT(*) AS balanced
+FROM classified""",
     "accounts_one_per_user": BASE + "SELECT user_id, country, created_at, updated_at FROM accounts_one",
     "dq_classified_sessions": BASE + 'SELECT user_id, "timestamp", duration, platform, dq_reason FROM classified',
     "dq_counts": BASE + "SELECT dq_reason, COUNT(*) AS n FROM classified WHERE dq_reason IS NOT NULL GROUP BY 1",
