@@ -111,7 +111,10 @@ def axis_range_custom(cube: DataFrame, from_date: date | None, to_date: date | N
 
 
 def _bounds(cube: DataFrame, bounds: DataFrame) -> tuple[Column, Column, Column]:
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    """(lo, hi, axis days in [lo, hi]) as scalar subqueries; lo and hi come from one
+    struct-valued subquery, evaluated once and reused."""
+    b = bounds.select(F.struct("lo", "hi")).scalar()
+    lo, hi = b["lo"], b["hi"]
     n_days = date_axis(cube).where(F.col("activity_date").between(lo, hi)).agg(F.count(F.lit(1))).scalar()
     return lo, hi, n_days
 
@@ -166,16 +169,16 @@ def avg_dau_by_country(cube: DataFrame, bounds: DataFrame, allow: list[str] | No
 def avg_dau_by_platform(cube: DataFrame, bounds: DataFrame, allow: list[str] | None = None) -> DataFrame:
     """A23 (+O6): average daily DAU per platform over [lo, hi] under every country filter
     (``country_filter`` NULL = all countries), zero-filled: every platform appears under
-    every filter. Filter x platform pairs come from exploding the (small) platform list."""
+    every filter. The filter x platform pairs keep platforms as distributed rows and explode
+    the country-filter list onto each: countries are a bounded set (the allow-list, or the
+    countries of the world present in the data), platforms are free text and are never
+    collected."""
     lo, hi, n_days = _bounds(cube, bounds)
-    filters = (
-        cube.where(F.col("level").isin(LEVEL_DAY_COUNTRY, LEVEL_DAY_PLATFORM))
-        .select(F.when(F.col("level") == F.lit(LEVEL_DAY_COUNTRY), F.col("country")).alias("country_filter"))
-        .distinct()
-        .where(F.col("country_filter").isNull() | _known(F.col("country_filter"), allow))
-    )
-    platforms = _level(cube, LEVEL_DAY_PLATFORM).agg(F.sort_array(F.collect_set("platform"))).scalar()
-    pairs = filters.select("country_filter", F.explode(platforms).alias("platform"))
+    known = _level(cube, LEVEL_DAY_COUNTRY).select("country").distinct().where(_known(F.col("country"), allow))
+    filters = F.concat(F.array(F.lit(None).cast("string")),
+                       known.agg(F.sort_array(F.collect_list("country"))).scalar())
+    platforms = _level(cube, LEVEL_DAY_PLATFORM).select("platform").distinct()
+    pairs = platforms.select(F.explode(filters).alias("country_filter"), "platform")
     sums = (
         cube.where(
             F.col("level").isin(LEVEL_DAY_PLATFORM, LEVEL_DAY_COUNTRY_PLATFORM)
