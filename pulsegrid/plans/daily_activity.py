@@ -7,7 +7,7 @@ Plan of a run:
   3. quarantine table <- the non-NULL partitions (F7)
   4. fact batch <- grain dedupe of the valid partition, joined to one account per user
   5. upsert the batch into the fact table over the touched dates only (K9 / K10)
-  6. report + summary from the fact table (no date filter, like the reference)
+  6. report + summary from the fact table over the run's dates
 Staging the classified rows cuts the lineage back to the raw JSON: both consumers read
 Parquet, and a lost executor recomputes from the staged files, not from the raw scan.
 """
@@ -122,6 +122,9 @@ def run_daily_activity(spark: SparkSession, cfg: JobConfig) -> RunOutputs:
     fact_path = cfg.fact_path or scratch_path(spark, "fact")
     upsert_fact(spark, batch, fact_path, mode=cfg.upsert_mode,
                 date_bounds=(cfg.window.extract_start, cfg.window.end_date))
-    fact = read_fact_if_exists(spark, fact_path)
+    # The summary covers the run's dates (a static partition filter), like a fresh table
+    # holding only this window; it does not rescan the whole history every run.
+    fact = read_fact_if_exists(spark, fact_path).where(
+        F.col("activity_date").between(F.lit(cfg.window.extract_start), F.lit(cfg.window.end_date)))
     summary = run_summary(staged.select(*SESSION_FIELDS), accounts, fact)
     return RunOutputs(fact_path, quarantine_path, staged_path, counts, fact, summary)

@@ -54,3 +54,15 @@ def test_invariants_on_fixture(spark):
         (F.col("mx") > F.col("total")) | (F.col("total") > F.col("sm")))
     assert bad.count() == 0
     assert fact.where(F.col("country").isNull() | F.col("user_id").isNull() | F.col("platform").isNull()).count() == 0
+
+
+def test_fact_checks_detect_violations(spark):
+    from pulsegrid.operators.checks import fact_checks
+
+    good = spark.createDataFrame([(date(2026, 9, 20), "a", "DE", "W"), (date(2026, 9, 20), "a", "DE", "A")],
+                                 "activity_date date, user_id string, country string, platform string")
+    r = fact_checks(good).first()
+    assert (r["fact_rows"], r["duplicate_keys"], r["null_fields"], r["platform_bound_violations"]) == (2, 0, 0, 0)
+    bad = good.unionByName(spark.createDataFrame([(date(2026, 9, 20), "a", None, "W")], good.schema))
+    r = fact_checks(bad).first()
+    assert (r["duplicate_keys"], r["null_fields"]) == (1, 1)
