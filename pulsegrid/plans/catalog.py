@@ -37,7 +37,7 @@ _PLANS: dict = {}
 
 def _plan(spark: SparkSession, sf_dir: str, key: str, build) -> DataFrame:
     prepare_session(spark)
-    k = (id(spark._jsparkSession), sf_dir, key)
+    k = (spark._jsparkSession.sessionUUID(), sf_dir, key)
     if k not in _PLANS:
         _PLANS[k] = build()
     return _PLANS[k]
