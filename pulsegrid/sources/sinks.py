@@ -36,7 +36,7 @@ def land_typed_sessions(strict_valid: DataFrame, path: str) -> int:
     """Strictly valid typed sessions partitioned by ``event_date`` (the input of the
     range scan S5), clustered by time inside each day."""
     return _observed_write(
-        strict_valid.repartitionByRange("event_date", "timestamp").sortWithinPartitions("event_date", "timestamp"),
+        strict_valid.hint("rebalance", "event_date").sortWithinPartitions("event_date", "timestamp"),
         "typed_sessions_landed",
         lambda d: d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date").parquet(path),
