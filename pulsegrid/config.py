@@ -8,11 +8,9 @@ import re
 from dataclasses import dataclass, field, replace
 from datetime import date, timedelta
 
-# Window defaults.
-DEFAULT_WINDOW_DAYS = 30
-DEFAULT_REPROCESS_DAYS = 7
+from pulsegrid.constants import DEFAULT_REPROCESS_DAYS, DEFAULT_WINDOW_DAYS, TABLE_NAME_PATTERN
 
-_IDENTIFIER = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
+_IDENTIFIER = re.compile(TABLE_NAME_PATTERN)
 
 
 def check_table_name(table: str) -> str:

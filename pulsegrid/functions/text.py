@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: a string is blank when it holds only space separators. ``\z`` (not ``$``) so a
-# lone newline is not blank; ``trim`` alone would only strip U+0020.
-BLANK_PATTERN = r"^\p{Zs}*\z"
+from pulsegrid.constants import BLANK_PATTERN  # only space separators; ``trim`` strips just U+0020
 
 
 def is_blank(col: Column | str) -> Column:

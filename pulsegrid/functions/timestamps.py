@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The raw session timestamp format, and the guard that keeps the lenient cast
-# from accepting bare years, bare times or other partial strings.
-RAW_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
-TIMESTAMP_GUARD = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]|\s*$)"
+from pulsegrid.constants import HOUR_LABEL_FORMAT, RAW_TIMESTAMP_FORMAT, TIMESTAMP_GUARD
 
 
 def _col(col: Column | str) -> Column:
@@ -42,4 +39,4 @@ def hour_bucket(col: Column | str) -> Column:
 
 
 def hour_label(col: Column | str) -> Column:
-    return F.date_format(_col(col), "HH:mm")
+    return F.date_format(_col(col), HOUR_LABEL_FORMAT)

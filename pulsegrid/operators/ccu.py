@@ -7,11 +7,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.constants import CCU_SUM_DECIMAL, PEAK_CCU_DECIMALS
 from pulsegrid.functions.timestamps import hour_bucket, hour_label
 
-# Fixed value: scale of the exact decimal sum behind the hourly mean.
-CCU_SUM_DECIMAL = "decimal(38,9)"
-
 
 def exact_mean(col: str) -> Column:
     """AVG as an exact decimal sum over the non-NULL count, returned as double.
@@ -40,7 +38,7 @@ def hourly_ccu(ccu: DataFrame, start: datetime | None = None, end: datetime | No
 def ccu_peak(hourly: DataFrame) -> DataFrame:
     """The hour with the highest mean after rounding to one decimal (half-up); ties go
     to the earliest hour. Keeps the full hour next to the ``HH:mm`` label."""
-    rounded = hourly.select("hour", F.round("avg_ccu", 1).alias("peak_ccu"))
+    rounded = hourly.select("hour", F.round("avg_ccu", PEAK_CCU_DECIMALS).alias("peak_ccu"))
     return rounded.orderBy(F.desc("peak_ccu"), F.asc("hour")).limit(1).select(
         "hour", hour_label("hour").alias("hour_label"), "peak_ccu"
     )

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pulsegrid.schemas import UNKNOWN_COUNTRY
+from pulsegrid.constants import DAYS_PER_YEAR, UNKNOWN_COUNTRY
 
 # Cube level names by grouping id over (activity_date, country, platform).
 LEVEL_DAY = "day"
@@ -27,7 +27,6 @@ LEVEL_DAY_COUNTRY = "day_country"
 LEVEL_DAY_PLATFORM = "day_platform"
 LEVEL_DAY_COUNTRY_PLATFORM = "day_country_platform"
 LEVEL_BY_GROUPING_ID = {3: LEVEL_DAY, 1: LEVEL_DAY_COUNTRY, 2: LEVEL_DAY_PLATFORM, 0: LEVEL_DAY_COUNTRY_PLATFORM}
-DAYS_PER_YEAR = 365.25
 
 
 def build_cube(fact: DataFrame) -> DataFrame:

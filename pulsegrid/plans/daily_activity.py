@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.config import JobConfig
+from pulsegrid.constants import SUMMARY_TOP_N
 from pulsegrid.operators import metrics
 from pulsegrid.operators.activity import build_fact, build_fact_from_valid
 from pulsegrid.operators.quality import (
@@ -75,10 +76,10 @@ def run_summary(sessions: DataFrame, accounts: DataFrame, fact: DataFrame) -> Da
     )
     reasons = quarantine_counts(classify_sessions(sessions)).select(
         F.lit("quarantine").alias("section"), F.col("dq_reason").alias("key"), F.col("n").cast("double").alias("value"))
-    last5 = metrics.last_n_days(fact, 5).select(
+    last5 = metrics.last_n_days(fact, SUMMARY_TOP_N).select(
         F.lit("dau_last5").alias("section"), F.date_format("activity_date", "yyyy-MM-dd").alias("key"),
         F.col("dau").cast("double").alias("value"))
-    top5 = metrics.top_n_countries(fact, 5).select(
+    top5 = metrics.top_n_countries(fact, SUMMARY_TOP_N).select(
         F.lit("top5_countries").alias("section"), F.col("country").alias("key"), F.col("dau").cast("double").alias("value"))
     platforms = metrics.dau_by(fact, "platform").select(
         F.lit("dau_by_platform").alias("section"), F.col("platform").alias("key"), F.col("dau").cast("double").alias("value"))

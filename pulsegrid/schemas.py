@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from pulsegrid.constants import DQ_REASONS, UNKNOWN_COUNTRY  # noqa: F401  (re-exported)
+
 # Accounts as exported (CSV / JDBC): timestamps stay text at the scan.
 ACCOUNTS_SCHEMA = T.StructType(
     [
@@ -54,15 +56,3 @@ FACT_SCHEMA = T.StructType(
 )
 FACT_COLUMNS = [f.name for f in FACT_SCHEMA.fields]
 FACT_KEYS = ["activity_date", "user_id", "platform"]
-
-# Quarantine reasons in their canonical (first-match) order.
-DQ_REASONS = (
-    "null_user_id",
-    "null_timestamp",
-    "invalid_timestamp",
-    "null_platform",
-    "negative_duration",
-)
-
-# Fixed value: country used when an account is missing or has no country.
-UNKNOWN_COUNTRY = "UNKNOWN"

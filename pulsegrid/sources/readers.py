@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.config import JobConfig, Window, check_table_name
+from pulsegrid.constants import JDBC_FETCH_SIZE
 from pulsegrid.functions.predicates import event_time_window, strict_event_time_window
 from pulsegrid.functions.timestamps import parse_event_time
 from pulsegrid.schemas import (
@@ -18,9 +19,6 @@ from pulsegrid.schemas import (
     SESSIONS_SCHEMA,
 )
 
-# Fixed value: rows per JDBC round trip.
-JDBC_FETCH_SIZE = 10_000
-
 
 def read_accounts_csv(spark: SparkSession, path: str) -> DataFrame:
     """Accounts CSV export with header; all four fields as text."""
