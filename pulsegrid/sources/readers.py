@@ -85,6 +85,11 @@ def read_sessions_json(spark: SparkSession, path: str, window: Window | None = N
     ``null_user_id``."""
     df = spark.read.schema(SESSIONS_SCHEMA).option("mode", mode).json(path)
     if window is not None:
+        if "event_date" in df.columns:
+            # Landed by event date: prune directories first (a partition filter), then the
+            # exact half-open window on the parsed timestamp.
+            d = F.col("event_date")
+            df = df.where(d.isNull() | ((d >= F.lit(window.extract_start)) & (d < F.lit(window.extract_end))))
         df = df.where(event_time_window(parse_event_time("timestamp"), window.extract_start,
                                         window.extract_end))
     return df.select(*SESSION_FIELDS)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.config import check_table_name
+from pulsegrid.functions.timestamps import activity_date, parse_event_time
 from pulsegrid.schemas import ACCOUNT_FIELDS, SESSION_FIELDS
 
 
@@ -24,11 +25,21 @@ def land_accounts_csv(accounts: DataFrame, path: str) -> int:
     )
 
 
-def land_sessions_jsonl(sessions: DataFrame, path: str) -> int:
-    """K2: windowed raw sessions as JSON lines (NULL fields omitted); returns rows."""
+def land_sessions_jsonl(sessions: DataFrame, path: str, partition_by_date: bool = True) -> int:
+    """K2: raw sessions as JSON lines (NULL fields omitted); returns rows.
+
+    Partitioned by the parsed event date (unparseable timestamps land in the NULL partition),
+    so a later windowed read prunes to the window's directories plus the NULL one instead of
+    scanning the whole raw history. Landing is additive per date: a re-landed date replaces
+    only that date."""
+    out = sessions.select(*SESSION_FIELDS)
+    if not partition_by_date:
+        return _observed_write(out, "sessions_landed", lambda d: d.write.mode("overwrite").json(path))
+    dated = out.withColumn("event_date", activity_date(parse_event_time("timestamp")))
     return _observed_write(
-        sessions.select(*SESSION_FIELDS), "sessions_landed",
-        lambda d: d.write.mode("overwrite").json(path),
+        dated.hint("rebalance", "event_date"), "sessions_landed",
+        lambda d: d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date").json(path),
     )
 
 
