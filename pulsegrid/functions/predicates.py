@@ -16,18 +16,25 @@ def _midnight(d: date | datetime) -> datetime:
     return d if isinstance(d, datetime) else datetime.combine(d, time.min)
 
 
+def ntz_literal(value: date | datetime) -> Column:
+    """A naive timestamp literal built from ISO text. A Python ``datetime`` literal would be
+    converted through the driver process's local time zone; text cast to ``timestamp_ntz``
+    is the same wall-clock value on any driver."""
+    return F.lit(_midnight(value).isoformat()).cast("timestamp_ntz")
+
+
 def event_time_window(ts: Column | str, start: date, end: date) -> Column:
     """Half-open ``start <= ts < end``; NULL (unparseable) timestamps pass through so the
     quality layer can count them."""
     c = _col(ts)
-    lo, hi = F.lit(_midnight(start)).cast("timestamp_ntz"), F.lit(_midnight(end)).cast("timestamp_ntz")
+    lo, hi = ntz_literal(start), ntz_literal(end)
     return c.isNull() | ((c >= lo) & (c < hi))
 
 
 def strict_event_time_window(ts: Column | str, start: date, end: date) -> Column:
     """Half-open window without the NULL bypass (typed, landed data)."""
     c = _col(ts)
-    lo, hi = F.lit(_midnight(start)).cast("timestamp_ntz"), F.lit(_midnight(end)).cast("timestamp_ntz")
+    lo, hi = ntz_literal(start), ntz_literal(end)
     return (c >= lo) & (c < hi)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.constants import CCU_SUM_DECIMAL, PEAK_CCU_DECIMALS
+from pulsegrid.functions.predicates import ntz_literal
 from pulsegrid.functions.timestamps import hour_bucket, hour_label
 
 
@@ -24,9 +25,9 @@ def hourly_ccu(ccu: DataFrame, start: datetime | None = None, end: datetime | No
     shuffle keyed by hour. Optional time range is inclusive on both ends."""
     df = ccu
     if start is not None:
-        df = df.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+        df = df.where(F.col("ts") >= ntz_literal(start))
     if end is not None:
-        df = df.where(F.col("ts") <= F.lit(end).cast("timestamp_ntz"))
+        df = df.where(F.col("ts") <= ntz_literal(end))
     return (
         df.where(F.col("ts").isNotNull())
         .groupBy(hour_bucket("ts").alias("hour"))

@@ -69,3 +69,22 @@ def test_session_is_utc(spark):
     df = spark.createDataFrame([("2026-09-20T23:30:00",)], "s string")
     assert str(df.select(parse_event_time("s").cast("date")).first()[0]) == "2026-09-20"
     assert df.select(F.col("s")).count() == 1
+
+
+def test_window_bounds_ignore_driver_time_zone(spark, monkeypatch):
+    """Bounds are wall-clock literals: a non-UTC driver process must not shift them."""
+    import time
+    from datetime import date
+
+    from pulsegrid.functions.predicates import event_time_window
+
+    df = spark.createDataFrame([(datetime(2026, 9, 20, 0, 0),), (datetime(2026, 9, 19, 23, 59, 59),)],
+                               "ts timestamp_ntz")
+    monkeypatch.setenv("TZ", "America/Los_Angeles")
+    time.tzset()
+    try:
+        got = [r[0] for r in df.where(event_time_window("ts", date(2026, 9, 20), date(2026, 9, 21))).collect()]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert got == [datetime(2026, 9, 20, 0, 0)]
