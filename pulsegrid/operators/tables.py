@@ -64,11 +64,22 @@ def write_fact(fact: DataFrame, path: str, dynamic: bool = True) -> None:
     )
 
 
+# Error conditions that mean "no table written there yet"; anything else is re-raised.
+_ABSENT_TABLE_CONDITIONS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def table_absent(err: AnalysisException) -> bool:
+    return (err.getCondition() or "") in _ABSENT_TABLE_CONDITIONS
+
+
 def read_fact_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The fact table at ``path``, or None when nothing has been written there yet."""
     try:
         return spark.read.parquet(path).select(*FACT_COLUMNS)
-    except AnalysisException:
-        return None
+    except AnalysisException as err:
+        if table_absent(err):
+            return None
+        raise
 
 
 def merge_rows(new: DataFrame, old: DataFrame, mode: str = "replace") -> DataFrame:
@@ -136,7 +147,9 @@ def replace_rows(
     new = spark.read.schema(schema).parquet(staged_new).select(*cols)
     try:
         old = spark.read.parquet(path).select(*cols)
-    except AnalysisException:
+    except AnalysisException as err:
+        if not table_absent(err):
+            raise
         old = None
     if old is not None:
         old = old.join(new.select(partition_by).distinct(), partition_by, "left_semi")
