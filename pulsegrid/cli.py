@@ -20,8 +20,11 @@ def main(argv: list[str] | None = None) -> int:
     run_p.add_argument("--upsert-mode", choices=["replace", "insert_only"])
     ccu_p = sub.add_parser("ccu", help="hourly mean of minute-level concurrent users")
     ccu_p.add_argument("--end-date")
-    cubes_p = sub.add_parser("cubes", help="build the DAU cube table and its export from the fact table")
+    cubes_p = sub.add_parser("cubes", help="build or refresh the DAU cube table and its export")
+    cubes_p.add_argument("--start-date")
     cubes_p.add_argument("--end-date")
+    cubes_p.add_argument("--reprocess-window", type=int)
+    cubes_p.add_argument("--full", action="store_true", help="rebuild every date instead of the run window")
     args = ap.parse_args(argv)
 
     overrides = {}
@@ -54,7 +57,9 @@ def main(argv: list[str] | None = None) -> int:
         from pulsegrid.operators.tables import read_fact_if_exists
         from pulsegrid.plans.cube_build import build_cubes
 
-        out = build_cubes(spark, read_fact_if_exists(spark, cfg.fact_path), out_dir=cfg.output_dir)
+        bounds = None if args.full else (cfg.window.extract_start, cfg.window.end_date)
+        out = build_cubes(spark, read_fact_if_exists(spark, cfg.fact_path), out_dir=cfg.output_dir,
+                          date_bounds=bounds)
         out.meta.show(truncate=False)
         print(f"cube table: {out.cube_path}; export: {out.export_path}")
     return 0

@@ -1,5 +1,6 @@
-"""Build the DAU cube table once from the fact table, export it (K7), and compute the
-dashboard metadata (axis, totals, peak CCU). Slices and KPIs then read the cube table."""
+"""Build (or incrementally refresh) the DAU cube table from the fact table, export it
+(K7), and compute the dashboard metadata (axis, totals, peak CCU). Slices and KPIs then read
+the small cube table, never the fact."""
 
 from __future__ import annotations
 
@@ -22,14 +23,29 @@ class CubeOutputs:
     meta: DataFrame
 
 
+def refresh_cube(spark: SparkSession, fact: DataFrame, cube_path: str, date_bounds: tuple | None = None) -> DataFrame:
+    """Write the cube table partitioned by ``activity_date``. Every cube level is per day, so
+    with ``date_bounds`` (inclusive) only those days are recomputed from the fact (a partition
+    filter on the fact table) and only their cube partitions are replaced; a daily run refreshes
+    its touched window instead of rebuilding all history."""
+    if date_bounds is not None:
+        lo, hi = date_bounds
+        fact = fact.where(F.col("activity_date").between(F.lit(lo), F.lit(hi)))
+    (
+        cubes.build_cube(fact).hint("rebalance", "activity_date")
+        .sortWithinPartitions("activity_date", "level", "country", "platform")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if date_bounds else "static")
+        .partitionBy("activity_date").parquet(cube_path)
+    )
+    return spark.read.parquet(cube_path).select("activity_date", "level", "country", "platform", "dau")
+
+
 def build_cubes(spark: SparkSession, fact: DataFrame, ccu: DataFrame | None = None,
-                out_dir: str | None = None) -> CubeOutputs:
+                out_dir: str | None = None, date_bounds: tuple | None = None) -> CubeOutputs:
     prepare_session(spark)
     base = out_dir.rstrip("/") if out_dir else scratch_path(spark, "cubes")
     cube_path, export_path = f"{base}/cube", f"{base}/export"
-    # The cube is small (days x countries x platforms); partition by level for pruning.
-    cubes.build_cube(fact).write.mode("overwrite").partitionBy("level").parquet(cube_path)
-    cube = spark.read.parquet(cube_path).select("activity_date", "level", "country", "platform", "dau")
+    cube = refresh_cube(spark, fact, cube_path, date_bounds)
     sinks.export_cube_json(cubes.cube_export_rows(cube), cubes.date_axis(cube), export_path)
     meta = cubes.axis_meta(fact)
     if ccu is not None:

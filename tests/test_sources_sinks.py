@@ -109,3 +109,18 @@ def test_cli_run(spark, tmp_path, monkeypatch):
     assert cli.main(["run", "--end-date", "2024-01-30", "--start-date", "2024-01-20", "--reprocess-window", "2"]) == 0
     dates = {r[0] for r in spark.read.parquet(str(tmp_path / "fact")).select("activity_date").distinct().collect()}
     assert min(dates) == date(2024, 1, 18) and max(dates) == date(2024, 1, 30)
+
+
+def test_cube_refresh_replaces_only_touched_days(spark, tmp_path):
+    from pulsegrid.plans.cube_build import refresh_cube
+
+    schema = "activity_date date, user_id string, country string, platform string"
+    v1 = spark.createDataFrame([(date(2026, 9, 1), "a", "DE", "W"), (date(2026, 9, 2), "a", "DE", "W")], schema)
+    path = str(tmp_path / "cube")
+    refresh_cube(spark, v1, path)
+    v2 = v1.unionByName(spark.createDataFrame([(date(2026, 9, 2), "b", "US", "W"), (date(2026, 9, 1), "z", "FR", "W")],
+                                              schema))
+    cube = refresh_cube(spark, v2, path, (date(2026, 9, 2), date(2026, 9, 2)))
+    day = {r["activity_date"]: r["dau"] for r in cube.where(F.col("level") == "day").collect()}
+    # 09-02 recomputed (2 users); 09-01 untouched (the later row for it was outside the bounds)
+    assert day == {date(2026, 9, 1): 1, date(2026, 9, 2): 2}
