@@ -12,7 +12,12 @@ from pulsegrid.operators.ccu import CCU_SUM_DECIMAL
 from pulsegrid.operators.tables import replace_rows
 from pulsegrid.schemas import CCU_CSV_SCHEMA
 from pulsegrid.session import scratch_path
-from pulsegrid.streaming.common import checkpoint_location, event_time, run_available_now
+from pulsegrid.streaming.common import (
+    checkpoint_location,
+    default_state_partitions,
+    event_time,
+    run_available_now,
+)
 
 DEFAULT_LATENESS = "1 hour"
 
@@ -35,6 +40,7 @@ def run_ccu_stream(
     table_path: str | None = None,
     checkpoint: str | None = None,
     lateness: str = DEFAULT_LATENESS,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     table_path = table_path or scratch_path(spark, "stream-ccu-hourly")
     raw = spark.readStream.schema(CCU_CSV_SCHEMA).option("header", True).csv(landing_path)
@@ -46,7 +52,8 @@ def run_ccu_stream(
 
     run_available_now(
         hourly.writeStream.outputMode("update").foreachBatch(load)
-        .option("checkpointLocation", checkpoint_location(spark, "ccu", checkpoint))
+        .option("checkpointLocation", checkpoint_location(spark, "ccu", checkpoint)),
+        spark=spark, state_partitions=state_partitions or default_state_partitions(spark),
     )
     table = spark.read.parquet(table_path)
     return table.select(

@@ -21,10 +21,27 @@ def event_time(ts: str = "ts") -> Column:
     return F.col(ts).cast("timestamp").alias("event_ts")
 
 
-def run_available_now(writer: DataStreamWriter, timeout_s: float | None = None) -> StreamingQuery:
+def default_state_partitions(spark: SparkSession) -> int:
+    """One state-store partition per core of the cluster. Stateful operators keep this
+    number for the life of the checkpoint and AQE does not coalesce it, so it is chosen
+    from the cluster, not from the batch-oriented ``spark.sql.shuffle.partitions``."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
+def run_available_now(writer: DataStreamWriter, timeout_s: float | None = None,
+                      spark: SparkSession | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Process everything available now, in as many micro-batches as the source limits
-    allow, then stop."""
-    q = writer.trigger(availableNow=True).start()
+    allow, then stop. ``state_partitions`` applies when the query starts for the first time
+    (it is then recorded in the checkpoint)."""
+    if spark is not None and state_partitions:
+        previous = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        try:
+            q = writer.trigger(availableNow=True).start()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", previous)
+    else:
+        q = writer.trigger(availableNow=True).start()
     q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"streaming query failed: {q.exception()}")

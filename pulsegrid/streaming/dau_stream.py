@@ -13,7 +13,12 @@ from pulsegrid.operators.quality import classify_sessions
 from pulsegrid.operators.tables import replace_rows
 from pulsegrid.schemas import SESSIONS_SCHEMA
 from pulsegrid.session import scratch_path, stage
-from pulsegrid.streaming.common import checkpoint_location, event_time, run_available_now
+from pulsegrid.streaming.common import (
+    checkpoint_location,
+    default_state_partitions,
+    event_time,
+    run_available_now,
+)
 
 DEFAULT_LATENESS = "7 days"
 
@@ -37,6 +42,7 @@ def run_dau_stream(
     table_path: str | None = None,
     checkpoint: str | None = None,
     lateness: str = DEFAULT_LATENESS,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     base = table_path or scratch_path(spark, "stream-dau")
     pairs_path, dau_path = f"{base}/daily_users", f"{base}/dau"
@@ -56,6 +62,7 @@ def run_dau_stream(
 
     run_available_now(
         pairs.writeStream.outputMode("update").foreachBatch(load)
-        .option("checkpointLocation", checkpoint_location(spark, "dau", checkpoint))
+        .option("checkpointLocation", checkpoint_location(spark, "dau", checkpoint)),
+        spark=spark, state_partitions=state_partitions or default_state_partitions(spark),
     )
     return spark.read.parquet(dau_path).select("activity_date", "dau")

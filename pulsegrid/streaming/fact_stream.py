@@ -19,7 +19,12 @@ from pulsegrid.operators.quality import classify_sessions
 from pulsegrid.operators.tables import read_fact_if_exists, upsert_fact
 from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS, SESSIONS_SCHEMA
 from pulsegrid.session import scratch_path, stage
-from pulsegrid.streaming.common import checkpoint_location, event_time, run_available_now
+from pulsegrid.streaming.common import (
+    checkpoint_location,
+    default_state_partitions,
+    event_time,
+    run_available_now,
+)
 
 # Fixed value: how late (event time) a session may arrive and still be counted. At least one
 # day, or a day's later sessions would arrive after their day's state was dropped.
@@ -51,6 +56,7 @@ def run_fact_stream(
     lateness: str = DEFAULT_LATENESS,
     max_files_per_trigger: int | None = None,
     mode: str = "replace",
+    state_partitions: int | None = None,
 ) -> DataFrame:
     fact_path = fact_path or scratch_path(spark, "stream-fact")
     # Materialise the static side once: the join then reads a small staged table per batch
@@ -75,6 +81,7 @@ def run_fact_stream(
 
     run_available_now(
         facts.writeStream.outputMode("update").foreachBatch(load)
-        .option("checkpointLocation", checkpoint_location(spark, "fact", checkpoint))
+        .option("checkpointLocation", checkpoint_location(spark, "fact", checkpoint)),
+        spark=spark, state_partitions=state_partitions or default_state_partitions(spark),
     )
     return read_fact_if_exists(spark, fact_path)
