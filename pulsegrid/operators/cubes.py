@@ -158,10 +158,12 @@ def avg_dau_by_country(cube: DataFrame, bounds: DataFrame, allow: list[str] | No
         rows = rows.where(F.col("country").isin(list(allow)))
     g = rows.groupBy(F.col("platform").alias("platform_filter"), "country").agg(F.sum("dau").alias("s"))
     avg = F.try_divide(F.col("s").cast("double"), n_days.cast("double"))
+    # Ties keep the country list's order: allow-list position, else name.
+    tie = F.array_position(F.array(*[F.lit(c) for c in allow]), F.col("country")) if allow else F.col("country")
     return (
         g.select("platform_filter", "country", avg.alias("avg_dau"))
         .where(F.col("avg_dau") > 0)
-        .orderBy(F.asc_nulls_first("platform_filter"), F.desc("avg_dau"), "country")
+        .orderBy(F.asc_nulls_first("platform_filter"), F.desc("avg_dau"), tie)
     )
 
 

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from pulsegrid.operators import cubes
 from pulsegrid.operators.ccu import ccu_peak, hourly_ccu
-from pulsegrid.session import prepare_session, scratch_path
+from pulsegrid.constants import PEAK_CCU_DECIMALS
+from pulsegrid.functions.timestamps import hour_label
+from pulsegrid.session import prepare_session, scratch_path, stage
 from pulsegrid.sources import sinks
 
 
@@ -47,11 +49,19 @@ def build_cubes(spark: SparkSession, fact: DataFrame, ccu: DataFrame | None = No
     cube_path, export_path = f"{base}/cube", f"{base}/export"
     cube = refresh_cube(spark, fact, cube_path, date_bounds)
     sinks.export_cube_json(cubes.cube_export_rows(cube), cubes.date_axis(cube), export_path)
-    meta = cubes.axis_meta(fact)
+    meta = cubes.axis_meta(fact).withColumn(
+        "generated", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     if ccu is not None:
-        peak = ccu_peak(hourly_ccu(ccu))
+        hourly = stage(spark, hourly_ccu(ccu), "hourly-ccu")
+        # The hourly series as the dashboard shows it: HH:mm label and the mean to 1 decimal.
+        hourly.orderBy("hour").select(
+            "hour", hour_label("hour").alias("hour_label"),
+            F.round("avg_ccu", PEAK_CCU_DECIMALS).alias("avg_ccu"),
+        ).write.mode("overwrite").json(f"{export_path}/ccu")
+        peak = ccu_peak(hourly)
         meta = meta.select(
             "*",
             peak.select(F.struct("hour", "hour_label", "peak_ccu")).scalar().alias("peak_ccu"),
         )
+    meta.coalesce(1).write.mode("overwrite").json(f"{export_path}/meta")
     return CubeOutputs(cube_path, export_path, cube, meta)

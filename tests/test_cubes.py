@@ -97,3 +97,10 @@ def test_allow_list_and_meta(spark):
     assert [r["country"] for r in cubes.country_allow_list(cube).collect()] == ["DE", "US"]
     m = cubes.axis_meta(_fact(spark, ROWS)).first()
     assert (m["n_days"], m["total_users"], m["unknown_users"], m["span_years"]) == (4, 3, 1, 0.0)
+
+
+def test_avg_by_country_ties_follow_allow_list(spark):
+    rows = [(D(2026, 9, 1), "a", "US", "W"), (D(2026, 9, 1), "b", "DE", "W")]
+    cube = cubes.build_cube(_fact(spark, rows))
+    got = cubes.avg_dau_by_country(cube, cubes.axis_range_all(cube), ["US", "DE"]).collect()
+    assert [(r["platform_filter"], r["country"]) for r in got] == [(None, "US"), (None, "DE"), ("W", "US"), ("W", "DE")]
