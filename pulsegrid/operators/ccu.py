@@ -22,7 +22,9 @@ def exact_mean(col: str) -> Column:
 
 def hourly_ccu(ccu: DataFrame, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
     """A14 (+F14): ``(hour, avg_ccu)`` ordered by hour. One partial+final aggregate, a single
-    shuffle keyed by hour. Optional time range is inclusive on both ends."""
+    shuffle keyed by hour. Optional time range is inclusive on both ends. A minute whose
+    timestamp cannot be parsed belongs to no hour and is left out (a plain cast would abort
+    the whole query instead)."""
     df = ccu
     if start is not None:
         df = df.where(F.col("ts") >= ntz_literal(start))
