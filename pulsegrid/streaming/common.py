@@ -28,20 +28,37 @@ def default_state_partitions(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
+# State kept off the JVM heap: days x users x platforms within the watermark is far too
+# large for the default in-memory store at scale. Used unless the session chose a provider.
+ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+
+
 def run_available_now(writer: DataStreamWriter, timeout_s: float | None = None,
                       spark: SparkSession | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Process everything available now, in as many micro-batches as the source limits
-    allow, then stop. ``state_partitions`` applies when the query starts for the first time
-    (it is then recorded in the checkpoint)."""
-    if spark is not None and state_partitions:
-        previous = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    allow, then stop. ``state_partitions`` and the state store provider apply when the query
+    starts for the first time (both are then recorded in the checkpoint); the stream runs on
+    a copy of the session's settings, so they are set only around ``start()``."""
+    if spark is None:
+        q = writer.trigger(availableNow=True).start()
+    else:
+        overrides = {}
+        if state_partitions:
+            overrides["spark.sql.shuffle.partitions"] = str(state_partitions)
+        if not spark.conf.get(_STATE_PROVIDER_CONF, None):
+            overrides[_STATE_PROVIDER_CONF] = ROCKSDB_STATE_STORE
+        previous = {k: spark.conf.get(k, None) for k in overrides}
+        for k, v in overrides.items():
+            spark.conf.set(k, v)
         try:
             q = writer.trigger(availableNow=True).start()
         finally:
-            spark.conf.set("spark.sql.shuffle.partitions", previous)
-    else:
-        q = writer.trigger(availableNow=True).start()
+            for k, v in previous.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
     q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"streaming query failed: {q.exception()}")
