@@ -88,3 +88,26 @@ def test_window_bounds_ignore_driver_time_zone(spark, monkeypatch):
         monkeypatch.undo()
         time.tzset()
     assert got == [datetime(2026, 9, 20, 0, 0)]
+
+
+# Every string below parses identically in this engine and in DuckDB's TRY_CAST(... AS TIMESTAMP),
+# except the documented differences.
+PROBE_STRINGS = [
+    "2026-09-20T10:00:00", "2026-09-20 10:00:00", "2026-09-20", "2026-09-20T10:00", "2026-09-20T10:00:00.123",
+    "2026-09-20T10:00:00Z", "2026-09-20T10:00:00+02:00", "2026-9-2T1:2:3", "2026-9-2", "not-a-date", "", " ",
+    "2026", "2026-09", "10:00:00", "2026/09/20", "20260920", "2026-13-01", "2026-02-30", "epoch", "infinity",
+    "2026-09-20T24:00:00", "12026-09-20", " 2026-09-20T10:00:00", "2026-09-20 ", "2026-09-20T10:00:00 ", "today",
+    "2026-09-20T10:00:00.123456", "0001-01-01", "9999-12-31T23:59:59", "2026-09-20T10", "2026-09-20 10:00:00.5",
+]
+DOCUMENTED_DIFFERENCES = {"2026/09/20", "epoch", "infinity", "2026-09-20T24:00:00", "12026-09-20", "2026-09-20 ",
+                          "2026-09-20T10"}
+
+
+def test_lenient_parse_agrees_with_duckdb_except_documented(spark):
+    import duckdb
+
+    got = {r[0]: r[1] for r in spark.createDataFrame([(s,) for s in PROBE_STRINGS], "s string")
+           .select("s", parse_event_time("s")).collect()}
+    con = duckdb.connect()
+    differ = {s for s in PROBE_STRINGS if con.execute("SELECT TRY_CAST(? AS TIMESTAMP)", [s]).fetchone()[0] != got[s]}
+    assert differ == DOCUMENTED_DIFFERENCES
