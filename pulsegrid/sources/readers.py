@@ -27,7 +27,8 @@ def read_accounts_csv(spark: SparkSession, path: str) -> DataFrame:
 
 # Default split expression for the accounts source database (PostgreSQL): the key is a
 # string, so there is no numeric ``partitionColumn``; partitions are hash buckets instead.
-DEFAULT_JDBC_HASH_SQL = "ABS(hashtext(user_id))"
+# Uses documented functions only: the first 7 hex digits of md5 as a 28-bit, non-negative int.
+DEFAULT_JDBC_HASH_SQL = "('x' || SUBSTR(MD5(user_id), 1, 7))::bit(28)::int"
 
 
 def jdbc_account_predicates(partitions: int, hash_sql: str = DEFAULT_JDBC_HASH_SQL) -> list[str]:
