@@ -50,6 +50,8 @@ def test_strict_parse(spark, text, expected):
 @pytest.mark.parametrize("text,blank,empty", [
     (None, True, True), ("", True, True), ("  ", True, False), (" ", True, False),
     ("\n", False, False), ("a", False, False), (" a ", False, False),
+    ("\u00a0", True, False), (" \u00a0 ", True, False), ("\u3000", True, False), ("\u00a0a", False, False),
+    ("a\u00a0", False, False), ("\t", False, False), ("\u00e9", False, False), (" \u00e9", False, False),
 ])
 def test_blank_and_empty(spark, text, blank, empty):
     df = spark.createDataFrame([(text,)], "s string")
