@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS
-from pulsegrid.session import scratch_path, stage
+from pulsegrid.session import path_exists, scratch_path, stage
 
 FACT_SORT = ["activity_date", "country", "platform", "user_id"]
 
@@ -74,6 +74,8 @@ def table_absent(err: AnalysisException) -> bool:
 
 def read_fact_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """The fact table at ``path``, or None when nothing has been written there yet."""
+    if not path_exists(spark, path):
+        return None
     try:
         return spark.read.parquet(path).select(*FACT_COLUMNS)
     except AnalysisException as err:
@@ -145,12 +147,13 @@ def replace_rows(
     schema = new.schema
     new.write.mode("overwrite").parquet(staged_new)
     new = spark.read.schema(schema).parquet(staged_new).select(*cols)
-    try:
-        old = spark.read.parquet(path).select(*cols)
-    except AnalysisException as err:
-        if not table_absent(err):
-            raise
-        old = None
+    old = None
+    if path_exists(spark, path):
+        try:
+            old = spark.read.parquet(path).select(*cols)
+        except AnalysisException as err:
+            if not table_absent(err):
+                raise
     if old is not None:
         old = old.join(new.select(partition_by).distinct(), partition_by, "left_semi")
         merged = new.unionByName(old.join(new.select(*keys), keys, "left_anti"))

@@ -75,6 +75,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything exists at ``path`` on its filesystem (local, HDFS, object store),
+    asked through the Hadoop FileSystem API instead of by failing a read."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath))
+
+
 def stage(spark: SparkSession, df, name: str):
     """Write ``df`` once as Parquet under the checkpoint root and return a DataFrame over the
     written table. Used where one result feeds several branches of a plan: the branches read
