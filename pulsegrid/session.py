@@ -57,8 +57,8 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the cluster (a shared filesystem). Only when it is unset,
-    as in local tests, a fresh local folder is created and registered.
+    On a cluster this is set by the cluster (a shared filesystem); unset there is an error.
+    Only in local mode, as in tests, an unset value gets a fresh local folder.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -70,6 +70,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not (sc.master or "").startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+            "(staged tables, lineage cuts and stream checkpoints live there)"
+        )
     local = tempfile.mkdtemp(prefix="pulsegrid-ckpt-", dir="/tmp")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
