@@ -27,7 +27,6 @@ from pulsegrid.operators.quality import (
     classify_sessions,
     quality_observations,
     quality_totals,
-    quarantine_counts,
     valid_sessions,
 )
 from pulsegrid.operators.tables import read_fact_if_exists, upsert_fact
@@ -74,8 +73,13 @@ def run_summary(sessions: DataFrame, accounts: DataFrame, fact: DataFrame) -> Da
             )
         ).alias("key", "value"),
     )
-    reasons = quarantine_counts(classify_sessions(sessions)).select(
-        F.lit("quarantine").alias("section"), F.col("dq_reason").alias("key"), F.col("n").cast("double").alias("value"))
+    # The quarantine section comes from the report row's per-reason counts: no second pass
+    # over the sessions.
+    reasons = report.select(
+        F.explode(F.array(*[F.struct(F.lit(r).alias("key"), F.col(f"q_{r}").alias("n")) for r in DQ_REASONS]))
+        .alias("e")
+    ).where(F.col("e.n") > 0).select(
+        F.lit("quarantine").alias("section"), F.col("e.key").alias("key"), F.col("e.n").cast("double").alias("value"))
     last5 = metrics.last_n_days(fact, SUMMARY_TOP_N).select(
         F.lit("dau_last5").alias("section"), F.date_format("activity_date", "yyyy-MM-dd").alias("key"),
         F.col("dau").cast("double").alias("value"))
