@@ -144,6 +144,29 @@ def kpis_by_slice(cube: DataFrame, bounds: DataFrame) -> DataFrame:
     )
 
 
+def slice_series(cube: DataFrame, bounds: DataFrame, country: str | None = None,
+                 platform: str | None = None) -> DataFrame:
+    """The main chart: daily DAU of one slice (``None``/``"All"`` = no filter) for every axis
+    day in [lo, hi], 0 where the slice had no users. Picks the cube level the filters imply
+    (a prefiltered, exact distinct count per day), then left-joins it onto the axis days."""
+    country = None if country == "All" else country
+    platform = None if platform == "All" else platform
+    level = {(False, False): LEVEL_DAY, (True, False): LEVEL_DAY_COUNTRY,
+             (False, True): LEVEL_DAY_PLATFORM, (True, True): LEVEL_DAY_COUNTRY_PLATFORM}[
+        (country is not None, platform is not None)]
+    b = bounds.select(F.struct("lo", "hi")).scalar()
+    in_range = F.col("activity_date").between(b["lo"], b["hi"])
+    rows = _level(cube, level).where(in_range)
+    if country is not None:
+        rows = rows.where(F.col("country") == F.lit(country))
+    if platform is not None:
+        rows = rows.where(F.col("platform") == F.lit(platform))
+    days = date_axis(cube).where(in_range)
+    return days.join(rows.select("activity_date", "dau"), "activity_date", "left").select(
+        "activity_date", F.coalesce(F.col("dau"), F.lit(0)).cast("long").alias("dau")
+    ).orderBy("activity_date")
+
+
 def avg_dau_by_country(cube: DataFrame, bounds: DataFrame, allow: list[str] | None = None) -> DataFrame:
     """A22 (+F15, O6): average daily DAU per country over [lo, hi] under every platform
     filter (``platform_filter`` NULL = all platforms). Countries are the allow-list ones

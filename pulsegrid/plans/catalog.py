@@ -306,6 +306,13 @@ def kpi_custom_range(spark, sf_dir):
     return cubes.kpis_by_slice(cube, cubes.axis_range_custom(cube, S.CUSTOM_FROM, S.CUSTOM_TO))
 
 
+def cube_slice_series(spark, sf_dir):
+    """Main chart for one country x platform slice over a custom range (F11 + F17 on the cube)."""
+    cube = _staged_cube(spark, sf_dir)
+    return cubes.slice_series(cube, cubes.axis_range_custom(cube, S.CUSTOM_FROM, S.CUSTOM_TO),
+                              S.FILTER_COUNTRY, S.FILTER_PLATFORM)
+
+
 def avg_dau_by_country(spark, sf_dir):
     cube = _staged_cube(spark, sf_dir)
     return cubes.avg_dau_by_country(cube, cubes.axis_range_last_n(cube, S.LAST_N_DAYS))
@@ -467,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "cube_export_json": cube_export_json,
     "country_allow_list": country_allow_list,
     "country_list_default": country_list_default,
+    "cube_slice_series": cube_slice_series,
     "kpi_range": kpi_range,
     "kpi_last_n": kpi_last_n,
     "kpi_custom_range": kpi_custom_range,

@@ -403,6 +403,14 @@ LEFT JOIN cube c ON c.level = s.level AND c.country IS NOT DISTINCT FROM s.count
     + ", ".join(f"'{x}'" for x in S.ALLOW_LIST) + "))",
     "country_list_default": CUBE_BASE + "SELECT country, CAST(ROW_NUMBER() OVER (ORDER BY country) AS INTEGER) AS position "
     "FROM (SELECT DISTINCT country FROM cube WHERE level = 'day_country' AND country <> 'UNKNOWN')",
+    "cube_slice_series": CUBE_BASE.rstrip() + f""",
+{_range_custom(S.CUSTOM_FROM, S.CUSTOM_TO)}
+SELECT a.activity_date, CAST(COALESCE(c.dau, 0) AS BIGINT) AS dau
+FROM axis a CROSS JOIN bounds b
+LEFT JOIN cube c ON c.level = 'day_country_platform' AND c.activity_date = a.activity_date
+     AND c.country = '{S.FILTER_COUNTRY}' AND c.platform = '{S.FILTER_PLATFORM}'
+WHERE a.activity_date BETWEEN b.lo AND b.hi
+""",
     "kpi_range": _kpi_sql(_range_all()),
     "kpi_last_n": _kpi_sql(_range_last_n(S.LAST_N_DAYS)),
     "kpi_custom_range": _kpi_sql(_range_custom(S.CUSTOM_FROM, S.CUSTOM_TO)),

@@ -41,9 +41,13 @@ def run_ccu_stream(
     checkpoint: str | None = None,
     lateness: str = DEFAULT_LATENESS,
     state_partitions: int | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     table_path = table_path or scratch_path(spark, "stream-ccu-hourly")
-    raw = spark.readStream.schema(CCU_CSV_SCHEMA).option("header", True).csv(landing_path)
+    reader = spark.readStream.schema(CCU_CSV_SCHEMA).option("header", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.csv(landing_path)
     hourly = hourly_ccu_stream(raw.select(parse_event_time("timestamp").alias("ts"), "ccu"), lateness)
 
     def load(batch: DataFrame, epoch_id: int) -> None:

@@ -104,3 +104,12 @@ def test_avg_by_country_ties_follow_allow_list(spark):
     cube = cubes.build_cube(_fact(spark, rows))
     got = cubes.avg_dau_by_country(cube, cubes.axis_range_all(cube), ["US", "DE"]).collect()
     assert [(r["platform_filter"], r["country"]) for r in got] == [(None, "US"), (None, "DE"), ("W", "US"), ("W", "DE")]
+
+
+def test_slice_series_zero_fills_axis_days(spark):
+    cube = cubes.build_cube(_fact(spark, ROWS))
+    got = [(r["activity_date"], r["dau"]) for r in
+           cubes.slice_series(cube, cubes.axis_range_all(cube), "US", "W").collect()]
+    assert got == [(D(2026, 9, 1), 1), (D(2026, 9, 2), 0), (D(2026, 9, 5), 0), (D(2026, 9, 6), 1)]
+    got = [r["dau"] for r in cubes.slice_series(cube, cubes.axis_range_last_n(cube, 2), "All", "All").collect()]
+    assert got == [2, 1]

@@ -59,3 +59,25 @@ def test_restart_resumes_from_checkpoint(spark, tmp_path):
     fact = run_fact_stream(spark, str(landing), accounts, **kw)
     assert sorted(r["user_id"] for r in fact.collect()) == ["a", "b"]
     assert fact.where(F.col("user_id") == "a").count() == 1
+
+
+def test_ccu_stream_drops_minutes_beyond_watermark(spark, tmp_path):
+    from datetime import datetime
+
+    from pulsegrid.streaming.ccu_stream import run_ccu_stream
+
+    landing = tmp_path / "ccu"
+    landing.mkdir()
+    files = [
+        ["2026-09-20T10:00:00,10.0", "2026-09-20T10:30:00,30.0"],
+        ["2026-09-20T14:00:00,5.0"],                             # watermark -> 13:00 (1 hour lateness)
+        ["2026-09-20T14:10:00,7.0"],                             # spacer
+        ["2026-09-20T10:45:00,1000.0", "2026-09-20T13:30:00,9.0"],  # 10:45 too late; 13:30 kept
+    ]
+    for i, rows in enumerate(files):
+        (landing / f"part-{i}.csv").write_text("timestamp,ccu\n" + "\n".join(rows) + "\n")
+        time.sleep(0.05)
+    out = run_ccu_stream(spark, str(landing), table_path=str(tmp_path / "t"), checkpoint=str(tmp_path / "c"),
+                         max_files_per_trigger=1)
+    got = {r["hour"]: r["avg_ccu"] for r in out.collect()}
+    assert got == {datetime(2026, 9, 20, 10): 20.0, datetime(2026, 9, 20, 13): 9.0, datetime(2026, 9, 20, 14): 6.0}
