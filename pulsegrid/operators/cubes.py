@@ -17,7 +17,6 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from pulsegrid.constants import DAYS_PER_YEAR, UNKNOWN_COUNTRY
 
@@ -67,19 +66,19 @@ def axis_meta(fact: DataFrame) -> DataFrame:
 
 def country_allow_list(cube: DataFrame, allow: list[str] | None = None) -> DataFrame:
     """The countries offered for slicing, in order: those of ``allow`` present in
-    the data (allow-list order), or all known (non-UNKNOWN) countries by name. The window
-    runs over the distinct country list, a small dimension."""
+    the data (allow-list order), or all known (non-UNKNOWN) countries by name. Positions come
+    from the ordered country list as a scalar (a bounded set: the countries of the world)."""
     present = _level(cube, LEVEL_DAY_COUNTRY).select("country").distinct().where(
         F.col("country") != F.lit(UNKNOWN_COUNTRY))
     if allow:
-        arr = F.array(*[F.lit(c) for c in allow])
-        present = present.where(F.col("country").isin(list(allow))).withColumn("sort_key", F.array_position(arr, F.col("country")))
-        order = [F.col("sort_key")]
+        present = present.where(F.col("country").isin(list(allow)))
+        found = present.agg(F.collect_set("country")).scalar()
+        # array_intersect keeps the order of its first argument: the allow-list order.
+        ordered = F.array_intersect(F.array(*[F.lit(c) for c in dict.fromkeys(allow)]), found)
     else:
-        present = present.withColumn("sort_key", F.lit(0))
-        order = [F.col("country")]
-    w = Window.orderBy(*order, F.col("country"))
-    return present.select("country", F.row_number().over(w).alias("position")).orderBy("position")
+        ordered = present.agg(F.sort_array(F.collect_list("country"))).scalar()
+    position = F.array_position(ordered, F.col("country")).cast("int")
+    return present.select("country", position.alias("position")).orderBy("position")
 
 
 # ---- axis ranges (F16, F17): each returns a one-row DataFrame (lo, hi) ----
