@@ -56,26 +56,26 @@ def classified_cte(name: str = "classified", source: str = "sessions_raw") -> st
 
 
 def accounts_cte(suffix: str = "", snapshot: int = 1) -> str:
-    base_filter = f"c_custkey % {FX.NO_ACCOUNT_EVERY} <> 0"
     parts = [
         f"SELECT c_custkey, c_nationkey, 0 AS shift, '{FX.ACCOUNT_UPDATED_AT}' AS updated_at, "
-        f"(c_custkey % {FX.NULL_COUNTRY_EVERY} = 0) AS null_country FROM customer WHERE {base_filter}",
+        f"(c_custkey % {FX.NULL_COUNTRY_EVERY} = 0) AS null_country FROM customer",
         f"SELECT c_custkey, c_nationkey, 1, '{FX.NEWER_UPDATED_AT}', false FROM customer "
-        f"WHERE {base_filter} AND c_custkey % {FX.NEWER_ACCOUNT_EVERY} = 0",
+        f"WHERE c_custkey % {FX.NEWER_ACCOUNT_EVERY} = 0",
         f"SELECT c_custkey, c_nationkey, 2, '{FX.ACCOUNT_UPDATED_AT}', false FROM customer "
-        f"WHERE {base_filter} AND c_custkey % {FX.TIED_ACCOUNT_EVERY} = 0",
+        f"WHERE c_custkey % {FX.TIED_ACCOUNT_EVERY} = 0",
     ]
     if snapshot >= 2:
         parts.append(
             f"SELECT c_custkey, c_nationkey, 3, '{FX.MOVED_UPDATED_AT}', false FROM customer "
-            f"WHERE {base_filter} AND c_custkey % {FX.MOVED_ACCOUNT_EVERY} = 1"
+            f"WHERE c_custkey % {FX.MOVED_ACCOUNT_EVERY} = 1"
         )
     union = "\n  UNION ALL ".join(parts)
     return f"""
 account_variants{suffix} AS (
   {union}),
 accounts_raw{suffix} AS (
-  SELECT CAST(v.c_custkey AS VARCHAR) AS user_id,
+  SELECT CASE WHEN v.c_custkey % {FX.NO_ACCOUNT_EVERY} = 0 THEN CAST(v.c_custkey AS VARCHAR) || '{FX.CLOSED_ACCOUNT_SUFFIX}'
+              ELSE CAST(v.c_custkey AS VARCHAR) END AS user_id,
          CASE WHEN v.null_country THEN NULL ELSE n.n_name END AS country,
          '{FX.ACCOUNT_CREATED_AT}' AS created_at, v.updated_at
   FROM account_variants{suffix} v LEFT JOIN nation n ON n.n_nationkey = (v.c_nationkey + v.shift) % {FX.NATION_COUNT}),

@@ -25,7 +25,8 @@ DUPLICATE_EVERY = 50
 BAD_TIMESTAMP_TEXT = "not-a-date"
 BLANK_PLATFORM_TEXT = "  "
 
-NO_ACCOUNT_EVERY = 10  # orphans: these customers have no account row at all
+NO_ACCOUNT_EVERY = 10  # orphans: these customers' accounts carry a closed-account id no session uses
+CLOSED_ACCOUNT_SUFFIX = "-closed"
 NULL_COUNTRY_EVERY = 7
 NEWER_ACCOUNT_EVERY = 11  # a second, newer account row with another country
 TIED_ACCOUNT_EVERY = 13  # a second account row with the same updated_at, another country
@@ -89,10 +90,11 @@ def sessions_from_events(events: DataFrame, dirty: bool = True) -> DataFrame:
 def accounts_from_customers(customer: DataFrame, nation: DataFrame, snapshot: int = 1) -> DataFrame:
     """Accounts export ``(user_id, country, created_at, updated_at)``, all text.
 
-    Every customer except the orphans gets a base row (country NULL on one residue);
-    some get a second, newer row or a tied row with another country, so the
-    one-account-per-user reduction has work to do. Snapshot 2 adds a newer row that moves
-    a quarter of the users to another country (for upsert scenarios).
+    Every customer gets a base row (country NULL on one residue); some get a second, newer
+    row or a tied row with another country, so the one-account-per-user reduction has work
+    to do. One residue of customers is under a closed-account id that no session uses, so
+    their sessions are orphans (no row is dropped). Snapshot 2 adds a newer row that moves a
+    quarter of the users to another country (for upsert scenarios).
     """
     key = F.col("c_custkey")
     variants = [
@@ -110,7 +112,7 @@ def accounts_from_customers(customer: DataFrame, nation: DataFrame, snapshot: in
                      F.lit(MOVED_UPDATED_AT).alias("updated_at"), F.lit(False).alias("null_country"))
         )
     rows = (
-        customer.where(key % NO_ACCOUNT_EVERY != 0)
+        customer
         .select(key, "c_nationkey", F.explode(F.filter(F.array(*variants), lambda v: v["keep"])).alias("v"))
         .select(
             key,
@@ -121,8 +123,10 @@ def accounts_from_customers(customer: DataFrame, nation: DataFrame, snapshot: in
     )
     # nation is a fixed 25-row dimension; the optimizer broadcasts it from its file size.
     named = rows.join(nation.select("n_nationkey", "n_name"), rows.nk == nation.n_nationkey, "left")
+    user_id = F.when(key % NO_ACCOUNT_EVERY == 0, F.concat(key.cast("string"), F.lit(CLOSED_ACCOUNT_SUFFIX))) \
+        .otherwise(key.cast("string"))
     return named.select(
-        key.cast("string").alias("user_id"),
+        user_id.alias("user_id"),
         F.when(F.col("null_country"), F.lit(None).cast("string")).otherwise(F.col("n_name")).alias("country"),
         F.lit(ACCOUNT_CREATED_AT).alias("created_at"),
         F.col("updated_at"),
