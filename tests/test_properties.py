@@ -64,3 +64,34 @@ def test_kpis_match_brute_force(spark, rows, n):
         assert abs(k["avg_dau"] - sum(v for v, _ in daily) / len(window)) < 1e-12
         assert k["peak_dau"] == peak[0]
         assert k["peak_date"] == (peak[1] if peak[0] > 0 else window[-1])
+
+
+ACC_SCHEMA = "user_id string, country string, created_at string, updated_at string"
+UPDATED = [None, "garbage", "2026-01-01T00:00:00", "2026-02-01T00:00:00", "2026-02-01 00:00:00"]
+account = st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from([None, "DE", "AT", "US"]),
+                    st.sampled_from(UPDATED))
+
+
+@FAST
+@given(st.lists(account, min_size=1, max_size=12))
+def test_latest_account_matches_brute_force(spark, rows):
+    from datetime import datetime
+
+    from pulsegrid.operators.accounts import latest_account_per_user
+
+    def parsed(u):
+        try:
+            return datetime.fromisoformat(u) if u else None
+        except ValueError:
+            return None
+
+    def key(r):  # latest updated_at first (unparseable last), then smallest country (NULL last)
+        p = parsed(r[2])
+        return (p is None, -(p.timestamp() if p else 0), r[1] is None, r[1] or "")
+
+    expected = {}
+    for u in {r[0] for r in rows}:
+        expected[u] = sorted((r for r in rows if r[0] == u), key=key)[0][1]
+    df = spark.createDataFrame([(u, c, "2026-01-01T00:00:00", t) for u, c, t in rows], ACC_SCHEMA)
+    got = {r["user_id"]: r["country"] for r in latest_account_per_user(df).collect()}
+    assert got == expected
