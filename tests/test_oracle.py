@@ -16,10 +16,10 @@ NAMES = [n for n in queries() if not n.startswith("stream_")]
 
 
 def _norm(v):
-    if isinstance(v, float):
-        return "NaN" if math.isnan(v) else float(f"{v:.12g}")
+    if isinstance(v, float):  # exact: means are exact decimal sums, averages integer ratios
+        return "NaN" if math.isnan(v) else v
     if isinstance(v, Decimal):
-        return float(f"{float(v):.12g}")
+        return float(v)
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
