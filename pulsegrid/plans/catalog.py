@@ -237,6 +237,21 @@ def fact_merge_insert_only(spark, sf_dir):
     return _two_loads(spark, sf_dir, "insert_only")
 
 
+def cube_incremental_refresh(spark, sf_dir):
+    """E3 incrementally: after each of the two overlapping loads, refresh only that load's
+    dates in the cube table. The result equals the cube of the final fact table."""
+    from pulsegrid.plans.cube_build import refresh_cube
+
+    fact_path, cube_path = scratch_path(spark, "fact-incr"), scratch_path(spark, "cube-incr")
+    sessions = _sessions(spark, sf_dir)
+    for window, snapshot in ((S.FIRST_LOAD, 1), (S.SECOND_LOAD, 2)):
+        bounds = (window.extract_start, window.end_date)
+        batch = build_fact(_windowed(sessions, window), _accounts(spark, sf_dir, snapshot))
+        upsert_fact(spark, batch, fact_path, mode="replace", date_bounds=bounds)
+        cube = refresh_cube(spark, read_fact_if_exists(spark, fact_path), cube_path, bounds)
+    return cube
+
+
 def fact_rerun_idempotent(spark, sf_dir):
     """The same full load twice into one table: the table equals one load."""
     path = scratch_path(spark, "fact-rerun")
@@ -464,6 +479,7 @@ QUERIES: dict[str, Query] = {
     "fact_upsert_replace": fact_upsert_replace,
     "fact_merge_insert_only": fact_merge_insert_only,
     "fact_rerun_idempotent": fact_rerun_idempotent,
+    "cube_incremental_refresh": cube_incremental_refresh,
     "ccu_hourly": ccu_hourly,
     "ccu_hourly_range": ccu_hourly_range,
     "ccu_peak": ccu_peak,

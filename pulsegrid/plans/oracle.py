@@ -213,7 +213,8 @@ LEFT JOIN cube c ON c.level = '{level}' AND c.{by} = g.{by} AND c.activity_date
 """
 
 
-def _two_loads_sql(mode: str) -> str:
+def _two_loads_ctes(mode: str) -> list[str]:
+    """CTEs ending in ``fact``: the table after FIRST_LOAD then SECOND_LOAD in ``mode``."""
     w1, w2 = S.FIRST_LOAD, S.SECOND_LOAD
     ctes = [
         SESSIONS_CTE,
@@ -226,21 +227,19 @@ def _two_loads_sql(mode: str) -> str:
         fact_cte("batch1", "classified1", "accounts_one_s1"),
         fact_cte("batch2", "classified2", "accounts_one_s2"),
     ]
-    if mode == "replace":
-        final = """
-SELECT * FROM batch2
-UNION ALL
-SELECT * FROM batch1 o WHERE NOT EXISTS (
-  SELECT 1 FROM batch2 n WHERE n.activity_date = o.activity_date AND n.user_id = o.user_id AND n.platform = o.platform)
-"""
-    else:
-        final = """
-SELECT * FROM batch1
-UNION ALL
-SELECT * FROM batch2 n WHERE NOT EXISTS (
-  SELECT 1 FROM batch1 o WHERE n.activity_date = o.activity_date AND n.user_id = o.user_id AND n.platform = o.platform)
-"""
-    return with_ctes(*ctes) + final
+    winners, losers = ("batch2", "batch1") if mode == "replace" else ("batch1", "batch2")
+    ctes.append(f"""
+fact AS (
+  SELECT * FROM {winners}
+  UNION ALL
+  SELECT * FROM {losers} l WHERE NOT EXISTS (
+    SELECT 1 FROM {winners} w
+    WHERE w.activity_date = l.activity_date AND w.user_id = l.user_id AND w.platform = l.platform))""")
+    return ctes
+
+
+def _two_loads_sql(mode: str) -> str:
+    return with_ctes(*_two_loads_ctes(mode)) + "SELECT activity_date, user_id, country, platform FROM fact\n"
 
 
 FACT_SQL = BASE + "SELECT activity_date, user_id, country, platform FROM fact\n"
@@ -373,6 +372,8 @@ WHERE user_id IS NOT NULL AND TRY_CAST("timestamp" AS TIMESTAMP) IS NOT NULL AND
     "fact_upsert_replace": _two_loads_sql("replace"),
     "fact_merge_insert_only": _two_loads_sql("insert_only"),
     "fact_rerun_idempotent": FACT_SQL,
+    "cube_incremental_refresh": with_ctes(*_two_loads_ctes("replace"), CUBE_CTE)
+    + "SELECT activity_date, level, country, platform, dau FROM cube\n",
     "ccu_hourly": CCU_SQL,
     "ccu_hourly_range": CCU_RANGE_SQL,
     "ccu_peak": f"""
