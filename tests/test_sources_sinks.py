@@ -124,3 +124,24 @@ def test_cube_refresh_replaces_only_touched_days(spark, tmp_path):
     day = {r["activity_date"]: r["dau"] for r in cube.where(F.col("level") == "day").collect()}
     # 09-02 recomputed (2 users); 09-01 untouched (the later row for it was outside the bounds)
     assert day == {date(2026, 9, 1): 1, date(2026, 9, 2): 2}
+
+
+def test_cli_ccu_and_cubes(spark, tmp_path, monkeypatch):
+    from pulsegrid import cli
+
+    ccu_csv = str(tmp_path / "ccu")
+    spark.createDataFrame([("2026-09-20T10:00:00", 4.0), ("2026-09-20T10:30:00", 6.0)], "timestamp string, ccu double") \
+        .write.option("header", True).csv(ccu_csv)
+    fact = spark.createDataFrame([(date(2026, 9, 20), "a", "DE", "W")],
+                                 "activity_date date, user_id string, country string, platform string")
+    write_fact(fact, str(tmp_path / "fact"))
+    for k, v in {"PULSEGRID_CCU_PATH": ccu_csv, "PULSEGRID_OUTPUT_DIR": str(tmp_path / "out"),
+                 "PULSEGRID_FACT_PATH": str(tmp_path / "fact"), "PULSEGRID_END_DATE": "2026-09-20"}.items():
+        monkeypatch.setenv(k, v)
+    assert cli.main(["ccu"]) == 0
+    hourly = spark.read.schema("hour timestamp_ntz, avg_ccu double").option("header", True).csv(
+        str(tmp_path / "out" / "hourly_ccu"))
+    assert [r["avg_ccu"] for r in hourly.collect()] == [5.0]
+    assert cli.main(["cubes", "--full"]) == 0
+    cube = spark.read.parquet(str(tmp_path / "out" / "cube"))
+    assert cube.where(F.col("level") == "day").first()["dau"] == 1
