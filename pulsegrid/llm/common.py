@@ -55,8 +55,8 @@ def bounded_arrow_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch brings into a Python worker, by bytes, however long the
     texts are. Only lowers the session's setting, never raises it."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = int(spark.conf.get(key, str(1 << 62)))
-    if now <= 0 or now > ARROW_BATCH_BYTES:
+    now = spark.conf.get(key, "64m").rstrip("b")
+    if not now.isdigit() or int(now) > ARROW_BATCH_BYTES:
         spark.conf.set(key, str(ARROW_BATCH_BYTES))
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .exact_dedup import OP4_SQL, op4_exact_dedup
+from .sentencepiece_ids import op5_sentencepiece
 
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_sentencepiece": op5_sentencepiece,
 }
 
 ORACLE = {
