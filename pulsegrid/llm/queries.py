@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .exact_dedup import OP4_SQL, op4_exact_dedup
+from .language_id import op3_language_id
 from .sentencepiece_ids import op5_sentencepiece
 
 QUERIES = {
+    "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sentencepiece": op5_sentencepiece,
 }
