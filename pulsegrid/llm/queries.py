@@ -5,11 +5,13 @@ from __future__ import annotations
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .language_id import op3_language_id
 from .sentencepiece_ids import op5_sentencepiece
+from .toxicity import op7_toxicity
 
 QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sentencepiece": op5_sentencepiece,
+    "op7_toxicity": op7_toxicity,
 }
 
 ORACLE = {
