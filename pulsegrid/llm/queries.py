@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .language_id import op3_language_id
+from .license_scan import OP10_SQL, op10_license_scan
 from .sentencepiece_ids import op5_sentencepiece
 from .toxicity import op7_toxicity
 
@@ -12,8 +13,10 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_toxicity": op7_toxicity,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE = {
     "op4_exact_dedup": OP4_SQL,
+    "op10_license_scan": OP10_SQL,
 }
