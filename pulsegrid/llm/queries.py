@@ -5,6 +5,7 @@ from __future__ import annotations
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .language_id import op3_language_id
 from .license_scan import OP10_SQL, op10_license_scan
+from .mixing import op8_mixing
 from .sentencepiece_ids import op5_sentencepiece
 from .toxicity import op7_toxicity
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_toxicity": op7_toxicity,
+    "op8_mixing": op8_mixing,
     "op10_license_scan": op10_license_scan,
 }
 
