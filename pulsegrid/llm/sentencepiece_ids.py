@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_arrow_batches, documents
+from .common import bounded_arrow_batches, byte_slices, documents
 
 # Entries after which a task starts its table anew: a bound on memory, not on the words.
 TABLE_WORDS = 1 << 18
@@ -111,11 +111,13 @@ def encode_decode(df: DataFrame, model_file: str, id_col: str = "doc_id", text_c
         table = None
         for batch in batches:
             table = table or WordTable(model_file)
-            ids, ends = table.encode(batch.column(1).to_pylist())
-            decoded = table.decode(ids, ends)
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), lists, pa.array(decoded, pa.string())], names=["id", "ids", "decoded"])
+            for a, b, _, _ in byte_slices(batch.column(1)):
+                ids, ends = table.encode(batch.column(1).slice(a, b - a).to_pylist())
+                decoded = table.decode(ids, ends)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), lists, pa.array(decoded, pa.string())],
+                    names=["id", "ids", "decoded"])
 
     return narrow.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
