@@ -208,9 +208,10 @@ def mixed_documents(df: DataFrame, text_col: str = "text", n_chars_col: str | No
     mix = plan_mix(df, df.columns)
     spans = mix.spans().groupBy("row").agg(F.array_sort(F.collect_list(F.struct("word", "words", "times"))).alias("spans"))
     words = F.regexp_extract_all(F.col("kept").getField(text_col), F.lit(f"({WORD})"), 1)
-    cut = mix.rows.join(spans, "row").withColumn("all", words)
-    text = F.expr("""array_join(flatten(transform(spans, s -> flatten(
-        array_repeat(slice(all, cast(s.word as int) + 1, cast(s.words as int)), cast(s.times as int))))), ' ')""")
+    # As the one element of an array the words are a variable, made once and not for each span.
+    cut = mix.rows.join(spans, "row").withColumn("held", F.array(words))
+    text = F.expr("""array_join(transform(held, w -> flatten(transform(spans, s -> flatten(
+        array_repeat(slice(w, cast(s.word as int) + 1, cast(s.words as int)), cast(s.times as int))))))[0], ' ')""")
     made = cut.withColumn("mixed", text)
     kinds = dict(df.dtypes)
 

@@ -36,10 +36,15 @@ def terms(text: Column) -> Column:
     its whole sequence as the one term, an empty or null text none."""
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE), lambda w: w != "")
     hashes = F.transform(words, lambda w: F.xxhash64(w))
-    count = F.size(hashes)
-    starts = F.when(count > 0, F.sequence(F.lit(1), F.greatest(count - (SHINGLE - 1), F.lit(1)))).otherwise(
-        F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, SHINGLE)))
+
+    def windows(held: Column) -> Column:
+        count = F.size(held)
+        starts = F.when(count > 0, F.sequence(F.lit(1), F.greatest(count - (SHINGLE - 1), F.lit(1)))).otherwise(
+            F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.xxhash64(F.slice(held, i, SHINGLE)))
+
+    # As the one element of an array the hashes are a variable, made once and not for each window.
+    return F.transform(F.array(hashes), windows)[0]
 
 
 def fingerprints(df: DataFrame, keys: list[str], texts: dict[str, Column]) -> DataFrame:
