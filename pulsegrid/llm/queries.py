@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .exact_dedup import OP4_SQL, op4_exact_dedup
+from .jaccard_join import op9_jaccard_join
 from .language_id import op3_language_id
 from .license_scan import OP10_SQL, op10_license_scan
 from .mixing import op8_mixing
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_sentencepiece": op5_sentencepiece,
     "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_license_scan": op10_license_scan,
 }
 
