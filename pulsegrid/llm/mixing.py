@@ -114,11 +114,12 @@ class Mix:
     def spans(self) -> DataFrame:
         """(row, word, words, times): how often each stretch of a document is taken."""
         times = self.slots.groupBy("number", "block").agg(F.count("*").alias("times"))
-        return self.fragments.join(times, ["number", "block"]).select("row", "word", "words", "times")
+        # The slots come from a short table of draws; without the hint Spark takes them for short.
+        return self.fragments.join(times.hint("merge"), ["number", "block"]).select("row", "word", "words", "times")
 
     def blocks(self) -> DataFrame:
         """(shard, slot, row, word, words): the mix itself, block after block."""
-        return self.slots.join(self.fragments, ["number", "block"]).select("shard", "slot", "row", "word", "words")
+        return self.slots.hint("merge").join(self.fragments, ["number", "block"]).select("shard", "slot", "row", "word", "words")
 
 
 def plan_mix(df: DataFrame, keep: list[str], text_col: str = "text", source_col: str = "source", id_col: str = "doc_id") -> Mix:
@@ -209,7 +210,7 @@ def mixed_documents(df: DataFrame, text_col: str = "text", n_chars_col: str | No
     spans = mix.spans().groupBy("row").agg(F.array_sort(F.collect_list(F.struct("word", "words", "times"))).alias("spans"))
     words = F.regexp_extract_all(F.col("kept").getField(text_col), F.lit(f"({WORD})"), 1)
     # As the one element of an array the words are a variable, made once and not for each span.
-    cut = mix.rows.join(spans, "row").withColumn("held", F.array(words))
+    cut = mix.rows.join(spans.hint("merge"), "row").withColumn("held", F.array(words))
     text = F.expr("""array_join(transform(held, w -> flatten(transform(spans, s -> flatten(
         array_repeat(slice(w, cast(s.word as int) + 1, cast(s.words as int)), cast(s.times as int))))))[0], ' ')""")
     made = cut.withColumn("mixed", text)
@@ -228,6 +229,6 @@ def mixed_documents(df: DataFrame, text_col: str = "text", n_chars_col: str | No
 def op8_mixing(spark, sf_dir: str) -> DataFrame:
     mix = plan_mix(documents(spark, sf_dir), [])
     rows = mix.rows.join(F.broadcast(mix.sources.select("number", "source_size", "target")), "number")
-    return rows.join(mix.taken(), "row", "left").select(
+    return rows.join(mix.taken().hint("merge"), "row", "left").select(
         F.col("id").alias("doc_id"), "size", "source_size", "target",
         F.coalesce("words", F.lit(0)).cast("long").alias("taken"))
