@@ -9,10 +9,12 @@ from .license_scan import OP10_SQL, op10_license_scan
 from .mixing import op8_mixing
 from .sentencepiece_ids import op5_sentencepiece
 from .simhash import op1_simhash
+from .suffix_dedup import op2_suffix_dedup
 from .toxicity import op7_toxicity
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sentencepiece": op5_sentencepiece,
