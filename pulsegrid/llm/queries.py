@@ -6,6 +6,7 @@ from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .jaccard_join import op9_jaccard_join
 from .language_id import op3_language_id
 from .license_scan import OP10_SQL, op10_license_scan
+from .lm_score import op6_lm_score
 from .mixing import op8_mixing
 from .sentencepiece_ids import op5_sentencepiece
 from .simhash import op1_simhash
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_lm_score": op6_lm_score,
     "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
     "op9_jaccard_join": op9_jaccard_join,
