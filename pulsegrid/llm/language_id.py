@@ -26,6 +26,9 @@ MAX_LANGUAGES = 1_000
 
 UNDETERMINED = "und"
 
+# Closeness below which a text is taken for none of the learned languages.
+LEAST_SCORE = 0.3
+
 # Grams of three characters: each character takes 21 bits, 0 where there is none, 1 for the
 # break between two words. A code point is stored as itself + 2.
 _BITS = np.uint64(21)
@@ -218,6 +221,23 @@ def identify(df: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col
     return narrow.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
+def keep_identified(df: DataFrame, profiles: Profiles, least: float = LEAST_SCORE, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text has a learned language with a closeness of ``least`` or
+    more, all columns as they are. Null texts and texts without letters go. No shuffle."""
+    bounded_arrow_batches(df.sparkSession)
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, texts in _text_runs(batch.column(at)):
+                grams, first, letters = gram_runs([t or "" for t in texts])
+                keep = [b > c and profiles.predict(codes(_most_frequent(grams[c:b]), letters))[1] >= least
+                        for c, b in zip(first[:-1].tolist(), first[1:].tolist())]
+                yield batch.slice(a, len(keep)).filter(pa.array(keep, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """The documents nothing is learned from: crc32(doc_id as text) mod 3 is 1."""
     return F.coalesce(id_residue(doc_id, 3) == 1, F.lit(False))

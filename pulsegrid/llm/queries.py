@@ -13,7 +13,16 @@ from .simhash import op1_simhash
 from .suffix_dedup import op2_suffix_dedup
 from .toxicity import op7_toxicity
 
+
+def pipeline(spark, sf_dir: str):
+    """All stages of corpus_pipeline.py, which stands beside the package."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_simhash": op1_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_language_id": op3_language_id,
