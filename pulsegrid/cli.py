@@ -8,6 +8,18 @@ import argparse
 import sys
 
 from pulsegrid.config import JobConfig
+from pulsegrid.constants import PLATFORM_ORDER
+
+
+def _list(text: str | None) -> list[str] | None:
+    return [x.strip() for x in text.split(",") if x.strip()] if text else None
+
+
+def _print_all(df) -> None:
+    """Every row, a partition at a time, so that a long result is neither cut nor gathered."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join(str(x) for x in row))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -25,6 +37,9 @@ def main(argv: list[str] | None = None) -> int:
     cubes_p.add_argument("--end-date")
     cubes_p.add_argument("--reprocess-window", type=int)
     cubes_p.add_argument("--full", action="store_true", help="rebuild every date instead of the run window")
+    cubes_p.add_argument("--countries", help="comma-separated countries to offer, in order (default: all present)")
+    cubes_p.add_argument("--platforms", default=",".join(PLATFORM_ORDER),
+                         help="comma-separated platforms to offer, in order; empty: those present")
     args = ap.parse_args(argv)
 
     overrides = {}
@@ -45,22 +60,25 @@ def main(argv: list[str] | None = None) -> int:
         from pulsegrid.plans.daily_activity import run_daily_activity
 
         out = run_daily_activity(spark, cfg)
-        out.summary.show(100, truncate=False)
-        print(f"fact table: {out.fact_path}")
+        _print_all(out.summary)
+        print(f"fact table: {out.fact_path}; CSV: {out.csv_path}; report: {out.report_path}; quarantine: {out.quarantine_path}")
     elif args.command == "ccu":
         from pulsegrid.plans.hourly_ccu import run_hourly_ccu
 
         out = run_hourly_ccu(spark, cfg)
-        out.hourly.orderBy("hour").show(48, truncate=False)
-        out.peak.show(truncate=False)
+        _print_all(out.hourly.orderBy("hour"))
+        _print_all(out.peak)
+        print(f"hourly means: {out.hourly_path}; minutes left out: {out.rejects or 'none'}")
     else:
         from pulsegrid.operators.tables import read_fact_if_exists
         from pulsegrid.plans.cube_build import build_cubes
+        from pulsegrid.sources.readers import read_ccu_csv
 
         bounds = None if args.full else (cfg.window.extract_start, cfg.window.end_date)
-        out = build_cubes(spark, read_fact_if_exists(spark, cfg.fact_path), out_dir=cfg.output_dir,
-                          date_bounds=bounds)
-        out.meta.show(truncate=False)
+        ccu = read_ccu_csv(spark, cfg.ccu_path) if cfg.ccu_path else None
+        out = build_cubes(spark, read_fact_if_exists(spark, cfg.fact_path), ccu, out_dir=cfg.output_dir,
+                          date_bounds=bounds, countries=_list(args.countries), platforms=_list(args.platforms))
+        _print_all(out.meta)
         print(f"cube table: {out.cube_path}; export: {out.export_path}")
     return 0
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 import re
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 
 from pulsegrid.constants import DEFAULT_REPROCESS_DAYS, DEFAULT_WINDOW_DAYS, TABLE_NAME_PATTERN
@@ -53,10 +53,6 @@ class Window:
         """Exclusive upper bound of the extraction window."""
         return self.end_date + timedelta(days=1)
 
-    @property
-    def last_touched_date(self) -> date:
-        return self.end_date
-
 
 @dataclass(frozen=True)
 class JobConfig:
@@ -77,7 +73,6 @@ class JobConfig:
     quarantine_path: str | None = None
     output_dir: str | None = None
     upsert_mode: str = "replace"  # replace | insert_only
-    extra: dict = field(default_factory=dict)
 
     @classmethod
     def from_env(cls, env: dict | None = None, **overrides) -> "JobConfig":

@@ -42,8 +42,21 @@ HOUR_LABEL_FORMAT = "HH:mm"
 # The run summary shows the last 5 days of DAU and the top 5 countries.
 SUMMARY_TOP_N = 5
 
+# The dashboard's platform list: its order, and what is shown as zero when absent.
+PLATFORM_ORDER = ("Windows", "Android", "iOS")
+
 # ---- This engine's own fixed choices ----
 
+# A line that is not a JSON document is a reason of its own, after the canonical ones. (The
+# reference stops at such a line.)
+MALFORMED_REASON = "malformed_record"
+
+# CSV as RFC 4180 has it: a header, and a quote inside quotes doubled.
+CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
+
+# Files one micro-batch of a stream takes at most.
+MAX_FILES_PER_TRIGGER = 1_000
+
 # Blank = only space separators (``\z``, not ``$``, so a lone newline is not blank).
 BLANK_PATTERN = r"^\p{Zs}*\z"
 

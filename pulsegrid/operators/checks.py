@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.operators import metrics
-from pulsegrid.schemas import FACT_KEYS
+from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS
 
 
 def fact_checks(fact: DataFrame) -> DataFrame:
@@ -39,3 +39,14 @@ def quality_balance(classified: DataFrame) -> DataFrame:
         F.count_if(F.col("dq_reason").isNull()).alias("sessions_valid"),
         F.count_if(F.col("dq_reason").isNotNull()).alias("sessions_quarantined"),
     ).withColumn("balanced", F.col("sessions_valid") + F.col("sessions_quarantined") == F.col("sessions_loaded"))
+
+
+def enforce_fact(fact: DataFrame) -> None:
+    """K8: raise ValueError when a key of the fact repeats or a field is NULL. One pass over
+    the rows given, without the figures that :func:`fact_checks` adds."""
+    keys = fact.groupBy(*FACT_KEYS).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.greatest(*(F.col(c).isNull().cast("int") for c in FACT_COLUMNS))).alias("no_value"))
+    found = keys.agg(F.count_if(F.col("n") > 1).alias("repeated"), F.count_if(F.col("no_value") > 0).alias("nulls")).first()
+    if found["repeated"] or found["nulls"]:
+        raise ValueError(f"fact table: {found['repeated']} keys repeat, {found['nulls']} keys have NULL fields")

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.constants import DAYS_PER_YEAR, UNKNOWN_COUNTRY
@@ -64,21 +64,34 @@ def axis_meta(fact: DataFrame) -> DataFrame:
     )
 
 
+def _ranked(present: DataFrame, name: str, order: list[str] | None) -> DataFrame:
+    """``(name, position)`` of a distinct list: in the given order, else by name. The window
+    holds one row for each distinct value; with an order, no more than the order has."""
+    key = F.col(name)
+    if order:
+        places = F.array(*[F.lit(x) for x in dict.fromkeys(order)])
+        present = present.where(key.isin(list(order)))
+        by = [F.array_position(places, key)]
+    else:
+        by = [key]
+    return present.select(name, F.row_number().over(Window.orderBy(*by)).cast("int").alias("position")).orderBy("position")
+
+
 def country_allow_list(cube: DataFrame, allow: list[str] | None = None) -> DataFrame:
     """The countries offered for slicing, in order: those of ``allow`` present in
-    the data (allow-list order), or all known (non-UNKNOWN) countries by name. Positions come
-    from the ordered country list as a scalar (a bounded set: the countries of the world)."""
+    the data (allow-list order), or all known (non-UNKNOWN) countries by name."""
     present = _level(cube, LEVEL_DAY_COUNTRY).select("country").distinct().where(
         F.col("country") != F.lit(UNKNOWN_COUNTRY))
-    if allow:
-        present = present.where(F.col("country").isin(list(allow)))
-        found = present.agg(F.collect_set("country")).scalar()
-        # array_intersect keeps the order of its first argument: the allow-list order.
-        ordered = F.array_intersect(F.array(*[F.lit(c) for c in dict.fromkeys(allow)]), found)
-    else:
-        ordered = present.agg(F.sort_array(F.collect_list("country"))).scalar()
-    position = F.array_position(ordered, F.col("country")).cast("int")
-    return present.select("country", position.alias("position")).orderBy("position")
+    return _ranked(present, "country", allow)
+
+
+def platform_list(cube: DataFrame, platforms: list[str] | None = None) -> DataFrame:
+    """``(platform, position)``. A given list is offered as it is, absent platforms too;
+    without one, the platforms present by name."""
+    if platforms:
+        rows = [(p, i + 1) for i, p in enumerate(dict.fromkeys(platforms))]
+        return cube.sparkSession.createDataFrame(rows, "platform string, position int")
+    return _ranked(_level(cube, LEVEL_DAY_PLATFORM).select("platform").distinct(), "platform", None)
 
 
 # ---- axis ranges (F16, F17): each returns a one-row DataFrame (lo, hi) ----
@@ -109,30 +122,35 @@ def axis_range_custom(cube: DataFrame, from_date: date | None, to_date: date | N
 
 
 def _bounds(cube: DataFrame, bounds: DataFrame) -> tuple[Column, Column, Column]:
-    """(lo, hi, axis days in [lo, hi]) as scalar subqueries; lo and hi come from one
-    struct-valued subquery, evaluated once and reused."""
-    b = bounds.select(F.struct("lo", "hi")).scalar()
-    lo, hi = b["lo"], b["hi"]
-    n_days = date_axis(cube).where(F.col("activity_date").between(lo, hi)).agg(F.count(F.lit(1))).scalar()
-    return lo, hi, n_days
+    """(lo, hi, axis days in [lo, hi]) as literals from one row, so a range is a static
+    partition filter on a cube stored by date."""
+    b = bounds.first()
+    inside = F.col("activity_date").between(F.lit(b["lo"]), F.lit(b["hi"]))
+    n = date_axis(cube).where(inside).count() if b["lo"] is not None else 0
+    return F.lit(b["lo"]).cast("date"), F.lit(b["hi"]).cast("date"), F.lit(n).cast("long")
 
 
 def kpis_by_slice(cube: DataFrame, bounds: DataFrame) -> DataFrame:
     """A19-A21 for every slice (level, country, platform) of the cube over [lo, hi]:
     average daily DAU over the axis days in range (absent days count as 0), peak daily DAU
     and its date (ties -> latest date; no data -> 0 on the last day of the range), and
-    player-days (sum of daily DAU). One aggregation over the cube, no join."""
+    player-days (sum of daily DAU). Figures are read from the range's dates only; the list of
+    slices, three columns of the small cube, adds those without data in the range."""
     lo, hi, n_days = _bounds(cube, bounds)
-    in_range = F.col("activity_date").between(lo, hi)
-    agg = cube.groupBy("level", "country", "platform").agg(
-        F.sum(F.when(in_range, F.col("dau"))).alias("s"),
-        F.max(F.when(in_range, F.struct(F.col("dau").alias("dau"), F.col("activity_date").alias("d")))).alias("pk"),
+    names = ["level", "country", "platform"]
+    slices = cube.select(*names).distinct()
+    agg = cube.where(F.col("activity_date").between(lo, hi)).groupBy(*(F.col(c).alias(f"_{c}") for c in names)).agg(
+        F.sum("dau").alias("s"),
+        F.max(F.struct(F.col("dau").alias("dau"), F.col("activity_date").alias("d"))).alias("pk"),
     )
+    joined = slices.join(agg, (F.col("level") == F.col("_level")) & F.col("country").eqNullSafe(F.col("_country"))
+                         & F.col("platform").eqNullSafe(F.col("_platform")), "left")
+    return joined.select(*names, *_kpi_columns(lo, hi, n_days))
+
+
+def _kpi_columns(lo: Column, hi: Column, n_days: Column) -> list[Column]:
     player_days = F.coalesce(F.col("s"), F.lit(0)).cast("long")
-    return agg.select(
-        "level",
-        "country",
-        "platform",
+    return [
         lo.alias("range_start"),
         hi.alias("range_end"),
         n_days.alias("n_days"),
@@ -140,26 +158,44 @@ def kpis_by_slice(cube: DataFrame, bounds: DataFrame) -> DataFrame:
         F.coalesce(F.col("pk.dau"), F.lit(0)).cast("long").alias("peak_dau"),
         F.coalesce(F.col("pk.d"), hi).alias("peak_date"),
         player_days.alias("player_days"),
-    )
+    ]
 
 
-def slice_series(cube: DataFrame, bounds: DataFrame, country: str | None = None,
-                 platform: str | None = None) -> DataFrame:
-    """The main chart: daily DAU of one slice (``None``/``"All"`` = no filter) for every axis
-    day in [lo, hi], 0 where the slice had no users. Picks the cube level the filters imply
-    (a prefiltered, exact distinct count per day), then left-joins it onto the axis days."""
-    country = None if country == "All" else country
-    platform = None if platform == "All" else platform
+def kpis_of_slice(cube: DataFrame, bounds: DataFrame, country: str | None = None, platform: str | None = None) -> DataFrame:
+    """A19-A21 for one chosen slice, in one row: zeros for one that the data never saw."""
+    lo, hi, n_days = _bounds(cube, bounds)
+    rows = _slice(cube, country, platform).where(F.col("activity_date").between(lo, hi))
+    agg = rows.agg(F.sum("dau").alias("s"), F.max(F.struct(F.col("dau").alias("dau"), F.col("activity_date").alias("d"))).alias("pk"))
+    return agg.select(F.lit(_chosen(country)).cast("string").alias("country"), F.lit(_chosen(platform)).cast("string").alias("platform"),
+                      *_kpi_columns(lo, hi, n_days))
+
+
+def _chosen(name: str | None) -> str | None:
+    return None if name == "All" else name
+
+
+def _slice(cube: DataFrame, country: str | None, platform: str | None) -> DataFrame:
+    """The rows of one slice (``None``/``"All"`` = no filter), from the level that the filters
+    imply: a prefiltered, exact distinct count per day."""
+    country, platform = _chosen(country), _chosen(platform)
     level = {(False, False): LEVEL_DAY, (True, False): LEVEL_DAY_COUNTRY,
              (False, True): LEVEL_DAY_PLATFORM, (True, True): LEVEL_DAY_COUNTRY_PLATFORM}[
         (country is not None, platform is not None)]
-    b = bounds.select(F.struct("lo", "hi")).scalar()
-    in_range = F.col("activity_date").between(b["lo"], b["hi"])
-    rows = _level(cube, level).where(in_range)
+    rows = _level(cube, level)
     if country is not None:
         rows = rows.where(F.col("country") == F.lit(country))
     if platform is not None:
         rows = rows.where(F.col("platform") == F.lit(platform))
+    return rows
+
+
+def slice_series(cube: DataFrame, bounds: DataFrame, country: str | None = None,
+                 platform: str | None = None) -> DataFrame:
+    """The main chart: daily DAU of one slice for every axis day in [lo, hi], 0 where the
+    slice had no users."""
+    lo, hi, _ = _bounds(cube, bounds)
+    in_range = F.col("activity_date").between(lo, hi)
+    rows = _slice(cube, country, platform).where(in_range)
     days = date_axis(cube).where(in_range)
     return days.join(rows.select("activity_date", "dau"), "activity_date", "left").select(
         "activity_date", F.coalesce(F.col("dau"), F.lit(0)).cast("long").alias("dau")
@@ -190,33 +226,33 @@ def avg_dau_by_country(cube: DataFrame, bounds: DataFrame, allow: list[str] | No
 
 
 def avg_dau_by_platform(cube: DataFrame, bounds: DataFrame, allow: list[str] | None = None) -> DataFrame:
-    """A23 (+O6): average daily DAU per platform over [lo, hi] under every country filter
-    (``country_filter`` NULL = all countries), zero-filled: every platform appears under
-    every filter. The filter x platform pairs keep platforms as distributed rows and explode
-    the country-filter list onto each: countries are a bounded set (the allow-list, or the
-    countries of the world present in the data), platforms are free text and are never
-    collected."""
+    """A23 (+O6): average daily DAU per platform over [lo, hi] under every country filter that
+    has data in the range (``country_filter`` NULL = all countries), in one pass over the
+    range. :func:`avg_dau_by_platform_in` fills in the zeros for a chosen filter."""
     lo, hi, n_days = _bounds(cube, bounds)
-    known = _level(cube, LEVEL_DAY_COUNTRY).select("country").distinct().where(_known(F.col("country"), allow))
-    filters = F.concat(F.array(F.lit(None).cast("string")),
-                       known.agg(F.sort_array(F.collect_list("country"))).scalar())
-    platforms = _level(cube, LEVEL_DAY_PLATFORM).select("platform").distinct()
-    pairs = platforms.select(F.explode(filters).alias("country_filter"), "platform")
-    sums = (
-        cube.where(
-            F.col("level").isin(LEVEL_DAY_PLATFORM, LEVEL_DAY_COUNTRY_PLATFORM)
-            & F.col("activity_date").between(lo, hi)
-        )
-        .groupBy(F.col("country").alias("cf"), F.col("platform").alias("pf"))
-        .agg(F.sum("dau").alias("s"))
-    )
-    joined = pairs.join(
-        sums, F.col("country_filter").eqNullSafe(F.col("cf")) & (F.col("platform") == F.col("pf")), "left"
+    rows = cube.where(
+        F.col("level").isin(LEVEL_DAY_PLATFORM, LEVEL_DAY_COUNTRY_PLATFORM)
+        & F.col("activity_date").between(lo, hi)
+        & (F.col("country").isNull() | _known(F.col("country"), allow))
     )
+    g = rows.groupBy(F.col("country").alias("country_filter"), "platform").agg(F.sum("dau").alias("s"))
+    return g.select(
+        "country_filter", "platform", F.try_divide(F.col("s").cast("double"), n_days.cast("double")).alias("avg_dau")
+    ).orderBy(F.asc_nulls_first("country_filter"), F.desc("avg_dau"), "platform")
+
+
+def avg_dau_by_platform_in(cube: DataFrame, bounds: DataFrame, country: str | None = None,
+                           platforms: list[str] | None = None) -> DataFrame:
+    """A23 for one country filter, as the chart shows it: every platform of the list appears, 0
+    where it had no users; ties keep the order of the list."""
+    lo, hi, n_days = _bounds(cube, bounds)
+    country = _chosen(country)
+    rows = _level(cube, LEVEL_DAY_PLATFORM) if country is None else _level(cube, LEVEL_DAY_COUNTRY_PLATFORM).where(
+        F.col("country") == F.lit(country))
+    sums = rows.where(F.col("activity_date").between(lo, hi)).groupBy("platform").agg(F.sum("dau").alias("s"))
+    joined = platform_list(cube, platforms).join(sums, "platform", "left")
     avg = F.try_divide(F.coalesce(F.col("s"), F.lit(0)).cast("double"), n_days.cast("double"))
-    return joined.select("country_filter", "platform", avg.alias("avg_dau")).orderBy(
-        F.asc_nulls_first("country_filter"), F.desc("avg_dau"), "platform"
-    )
+    return joined.select("platform", "position", avg.alias("avg_dau")).orderBy(F.desc("avg_dau"), "position")
 
 
 def _known(col: Column, allow: list[str] | None) -> Column:

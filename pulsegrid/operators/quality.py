@@ -7,28 +7,33 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions.text import is_blank, is_empty
 from pulsegrid.functions.timestamps import activity_date, parse_event_time, parse_strict_timestamp
+from pulsegrid.constants import MALFORMED_REASON
 from pulsegrid.schemas import DQ_REASONS, SESSION_FIELDS
 
 
-def dq_reason() -> Column:
+def dq_reason(malformed: Column | None = None) -> Column:
     """First matching reason, or NULL for a valid row. Expects ``ts`` = parsed timestamp.
 
-    A NULL duration is valid (``NULL < 0`` is not true), as is NaN.
+    A NULL duration is valid (``NULL < 0`` is not true), as is NaN. A line that was no JSON
+    document has no fields to judge, so that is its reason.
     """
-    return (
-        F.when(is_blank("user_id"), F.lit(DQ_REASONS[0]))
-        .when(F.col("timestamp").isNull(), F.lit(DQ_REASONS[1]))
-        .when(F.col("ts").isNull(), F.lit(DQ_REASONS[2]))
-        .when(is_blank("platform"), F.lit(DQ_REASONS[3]))
-        .when(F.col("duration") < 0, F.lit(DQ_REASONS[4]))
-    )
+    rules = [
+        (is_blank("user_id"), DQ_REASONS[0]),
+        (F.col("timestamp").isNull(), DQ_REASONS[1]),
+        (F.col("ts").isNull(), DQ_REASONS[2]),
+        (is_blank("platform"), DQ_REASONS[3]),
+        (F.col("duration") < 0, DQ_REASONS[4]),
+    ]
+    if malformed is not None:
+        rules.insert(0, (malformed, MALFORMED_REASON))
+    return F.coalesce(*(F.when(rule, F.lit(reason)) for rule, reason in rules))
 
 
 def classify_sessions(raw: DataFrame) -> DataFrame:
     """raw sessions + ``ts`` (parsed, NTZ) + ``dq_reason``. A narrow projection: no shuffle."""
-    return raw.select(*SESSION_FIELDS, parse_event_time("timestamp").alias("ts")).withColumn(
-        "dq_reason", dq_reason()
-    )
+    malformed = F.col("malformed") if "malformed" in raw.columns else None
+    return raw.withColumn("ts", parse_event_time("timestamp")).withColumn("dq_reason", dq_reason(malformed)).select(
+        *SESSION_FIELDS, "ts", "dq_reason")
 
 
 def valid_sessions(classified: DataFrame) -> DataFrame:

@@ -16,13 +16,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS
-from pulsegrid.session import path_exists, scratch_path, stage
+from pulsegrid.constants import CSV_DIALECT
+from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS, FACT_SCHEMA
+from pulsegrid.session import drop_scratch, path_exists, scratch_path
 
 FACT_SORT = ["activity_date", "country", "platform", "user_id"]
 
-# Fixed value: DDL of the fact table for catalog-managed deployments (K8). Uniqueness and
-# NOT NULL are enforced by checks (grain_check), since Parquet tables do not.
+# Fixed value: DDL of the fact table for catalog-managed deployments (K8). Parquet tables
+# enforce neither uniqueness nor NOT NULL; the run job checks both (``enforce_fact``).
 FACT_DDL = """CREATE TABLE IF NOT EXISTS {name} (
   activity_date DATE NOT NULL,
   user_id STRING NOT NULL,
@@ -72,18 +73,24 @@ def table_absent(err: AnalysisException) -> bool:
     return (err.getCondition() or "") in _ABSENT_TABLE_CONDITIONS
 
 
-def read_fact_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    """The fact table at ``path``, or None when nothing has been written there yet."""
+def _existing(spark: SparkSession, path: str, columns: list[str]) -> DataFrame | None:
+    """What is stored at ``path``, or None when nothing has been written there yet."""
     if not path_exists(spark, path):
         return None
     try:
-        return spark.read.parquet(path).select(*FACT_COLUMNS)
+        return spark.read.parquet(path).select(*columns)
     except AnalysisException as err:
         if table_absent(err):
             return None
         raise
 
 
+def read_fact_if_exists(spark: SparkSession, path: str) -> DataFrame:
+    """The fact table at ``path``; empty when nothing has been written there yet."""
+    stored = _existing(spark, path, FACT_COLUMNS)
+    return spark.createDataFrame([], FACT_SCHEMA) if stored is None else stored
+
+
 def merge_rows(new: DataFrame, old: DataFrame, mode: str = "replace") -> DataFrame:
     """The rows of the touched dates after a load.
 
@@ -102,32 +109,47 @@ def merge_rows(new: DataFrame, old: DataFrame, mode: str = "replace") -> DataFra
     raise ValueError(f"unknown upsert mode {mode!r}")
 
 
-def upsert_fact(
-    spark: SparkSession,
-    new: DataFrame,
-    path: str,
-    mode: str = "replace",
-    date_bounds: tuple | None = None,
-) -> None:
+def _touched(old: DataFrame, batch: DataFrame, partition_by: str) -> DataFrame:
+    """The rows of ``old`` in the partitions that ``batch`` (a written table) has rows for: a
+    static filter on its least and greatest value, then exactly its values."""
+    ends = batch.agg(F.min(partition_by).alias("a"), F.max(partition_by).alias("b")).first()
+    inside = old.where(F.col(partition_by).between(F.lit(ends.a), F.lit(ends.b)))
+    return inside.join(batch.select(partition_by).distinct(), partition_by, "left_semi")
+
+
+def _commit(spark: SparkSession, path: str, scratch: list[str], write) -> None:
+    """Run the final write, then drop the scratch folders. If the write fails the merged rows
+    are still there, and the error says where and how to finish."""
+    try:
+        write()
+    except Exception as err:
+        raise RuntimeError(
+            f"replacing partitions of {path} failed; the merged rows are complete in {scratch[-1]}: "
+            f"read that folder and write it again with write_fact or replace_rows") from err
+    drop_scratch(spark, *scratch)
+    spark.catalog.refreshByPath(path)
+
+
+def upsert_fact(spark: SparkSession, new: DataFrame, path: str, mode: str = "replace") -> None:
     """Load a batch into the fact table at ``path``.
 
-    ``date_bounds`` (inclusive, driver-side) restricts the read of existing rows to the
-    batch's window, a static partition filter. Without it the existing rows are semi-joined
-    to the batch's dates (dynamic partition pruning)."""
-    new = new.select(*FACT_COLUMNS)
-    old = read_fact_if_exists(spark, path)
-    if old is None:
-        write_fact(new, path)
-        return
-    if date_bounds is not None:
-        lo, hi = date_bounds
-        old = old.where(F.col("activity_date").between(F.lit(lo), F.lit(hi)))
+    The batch is written once to scratch; its dates, its keys and its rows are read from there,
+    so its sources are scanned once. Only the dates it has rows for are read and replaced, and
+    every row of those dates stays unless the batch replaces its key. An empty batch changes
+    nothing. The scratch folders go when the load is committed."""
+    batch_path = scratch_path(spark, "fact-batch")
+    new.select(*FACT_COLUMNS).write.mode("overwrite").parquet(batch_path)
+    batch = spark.read.schema(FACT_SCHEMA).parquet(batch_path)
+    old = _existing(spark, path, FACT_COLUMNS)
+    if batch.isEmpty():
+        drop_scratch(spark, batch_path)
+    elif old is None:
+        _commit(spark, path, [batch_path], lambda: write_fact(batch, path))
     else:
-        old = old.join(new.select("activity_date").distinct(), "activity_date", "left_semi")
-    # Stage the merged rows plainly (no layout work), then lay out and overwrite once.
-    merged = stage(spark, merge_rows(new, old, mode), "fact-merge")
-    write_fact(merged, path)
-    spark.catalog.refreshByPath(path)
+        merged_path = scratch_path(spark, "fact-merge")
+        merge_rows(batch, _touched(old, batch, "activity_date"), mode).write.mode("overwrite").parquet(merged_path)
+        merged = spark.read.schema(FACT_SCHEMA).parquet(merged_path)
+        _commit(spark, path, [batch_path, merged_path], lambda: write_fact(merged, path))
 
 
 def replace_rows(
@@ -141,34 +163,43 @@ def replace_rows(
     """Generic insert-or-replace on ``keys`` for a Parquet table partitioned by
     ``partition_by`` (used by the streaming sinks): only the partitions the batch touches are
     read, merged, staged and overwritten."""
-    cols = new.columns
+    cols, schema = new.columns, new.schema
     sort_by = sort_by or [partition_by, *[k for k in keys if k != partition_by]]
-    staged_new = scratch_path(spark, "batch")
-    schema = new.schema
-    new.write.mode("overwrite").parquet(staged_new)
-    new = spark.read.schema(schema).parquet(staged_new).select(*cols)
-    old = None
-    if path_exists(spark, path):
-        try:
-            old = spark.read.parquet(path).select(*cols)
-        except AnalysisException as err:
-            if not table_absent(err):
-                raise
+    scratch = [scratch_path(spark, "batch")]
+    new.write.mode("overwrite").parquet(scratch[0])
+    rows = spark.read.schema(schema).parquet(scratch[0]).select(*cols)
+    if rows.isEmpty():
+        drop_scratch(spark, *scratch)
+        return
+    old = _existing(spark, path, cols)
     if old is not None:
-        old = old.join(new.select(partition_by).distinct(), partition_by, "left_semi")
-        merged = new.unionByName(old.join(new.select(*keys), keys, "left_anti"))
-        staged = scratch_path(spark, "merge")
-        merged.write.mode("overwrite").parquet(staged)
-        new = spark.read.schema(schema).parquet(staged).select(*cols)
-    (
-        new.hint("rebalance", partition_by).sortWithinPartitions(*sort_by)
+        kept = _touched(old, rows, partition_by).join(rows.select(*keys), keys, "left_anti")
+        scratch.append(scratch_path(spark, "merge"))
+        rows.unionByName(kept).write.mode("overwrite").parquet(scratch[1])
+        rows = spark.read.schema(schema).parquet(scratch[1]).select(*cols)
+    _commit(spark, path, scratch, lambda: (
+        rows.hint("rebalance", partition_by).sortWithinPartitions(*sort_by)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by).parquet(path)
-    )
-    spark.catalog.refreshByPath(path)
+        .partitionBy(partition_by).parquet(path)))
+
+
+def append_new_keys(spark: SparkSession, new: DataFrame, path: str, keys: list[str], partition_by: str) -> DataFrame:
+    """Add the rows of ``new`` (unique on ``keys``, a written table) whose key is not stored
+    yet, and return their partition values. Stored rows are never rewritten, so a small batch
+    into a large partition costs one anti join and one small file. Doing it again adds nothing."""
+    cols = new.columns
+    added_path = scratch_path(spark, "added")
+    old = None if new.isEmpty() else _existing(spark, path, cols)
+    fresh = new if old is None else new.join(_touched(old, new, partition_by).select(*keys), keys, "left_anti")
+    fresh.select(*cols).write.mode("overwrite").parquet(added_path)
+    added = spark.read.schema(new.schema).parquet(added_path)
+    if not added.isEmpty():
+        added.hint("rebalance", partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
+        spark.catalog.refreshByPath(path)
+    return added.select(partition_by).distinct()
 
 
 def export_fact_csv(fact: DataFrame, path: str) -> None:
     """K4: the fact as CSV with header, ordered by (date, user, platform). A global sort is a
     range shuffle; files are written in key order."""
-    fact.select(*FACT_COLUMNS).orderBy(*FACT_KEYS).write.mode("overwrite").option("header", True).csv(path)
+    fact.select(*FACT_COLUMNS).orderBy(*FACT_KEYS).write.mode("overwrite").options(**CSV_DIALECT).csv(path)

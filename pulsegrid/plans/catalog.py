@@ -18,9 +18,12 @@ from pulsegrid.functions.timestamps import parse_event_time
 from pulsegrid.operators import ccu as ccu_ops
 from pulsegrid.operators import checks, cubes, metrics, quality
 from pulsegrid.operators.accounts import latest_account_per_user
-from pulsegrid.operators.activity import build_fact, grain_check
+from pulsegrid.operators.activity import build_fact, build_fact_from_valid, grain_check
 from pulsegrid.operators.tables import export_fact_csv, read_fact_if_exists, upsert_fact, write_fact
+from pulsegrid.config import Window
+from pulsegrid.constants import CSV_DIALECT
 from pulsegrid.plans import scenarios as S
+from pulsegrid.plans.cube_build import build_cubes
 from pulsegrid.plans.daily_activity import quality_report, run_summary
 from pulsegrid.schemas import FACT_COLUMNS, FACT_SCHEMA, SESSION_FIELDS
 from pulsegrid.session import prepare_session, scratch_path, stage
@@ -64,7 +67,9 @@ def _cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _staged_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cube written once for this query; the KPI plans read it several times (range
     bounds, axis counts, slices), as they would read the cube table in production."""
-    return stage(spark, _cube(spark, sf_dir), "cube")
+    from pulsegrid.plans.cube_build import refresh_cube
+
+    return refresh_cube(spark, _fact(spark, sf_dir), scratch_path(spark, "cube"))
 
 
 def _windowed(sessions: DataFrame, window) -> DataFrame:
@@ -211,9 +216,12 @@ def quality_report_query(spark, sf_dir):
 
 
 def run_summary_query(spark, sf_dir):
-    """The summary reads the fact six times; it reads it from the fact written once."""
-    fact = stage(spark, _fact(spark, sf_dir), "fact")
-    return run_summary(_sessions(spark, sf_dir), _accounts(spark, sf_dir), fact)
+    """Sessions are read once and staged classified; the fact, which the summary reads several
+    times, is staged too."""
+    classified = stage(spark, quality.classify_sessions(_sessions(spark, sf_dir)), "classified")
+    accounts = _accounts(spark, sf_dir)
+    fact = stage(spark, build_fact_from_valid(quality.valid_sessions(classified), accounts), "fact")
+    return run_summary(quality_report(classified, accounts, fact), fact)
 
 
 # ---- loads: window + upsert ----
@@ -225,7 +233,7 @@ def _two_loads(spark, sf_dir, mode: str) -> DataFrame:
     sessions = _sessions(spark, sf_dir)
     for window, snapshot in ((S.FIRST_LOAD, 1), (S.SECOND_LOAD, 2)):
         batch = build_fact(_windowed(sessions, window), _accounts(spark, sf_dir, snapshot))
-        upsert_fact(spark, batch, path, mode=mode, date_bounds=(window.extract_start, window.end_date))
+        upsert_fact(spark, batch, path, mode=mode)
     return read_fact_if_exists(spark, path)
 
 
@@ -247,7 +255,7 @@ def cube_incremental_refresh(spark, sf_dir):
     for window, snapshot in ((S.FIRST_LOAD, 1), (S.SECOND_LOAD, 2)):
         bounds = (window.extract_start, window.end_date)
         batch = build_fact(_windowed(sessions, window), _accounts(spark, sf_dir, snapshot))
-        upsert_fact(spark, batch, fact_path, mode="replace", date_bounds=bounds)
+        upsert_fact(spark, batch, fact_path, mode="replace")
         cube = refresh_cube(spark, read_fact_if_exists(spark, fact_path), cube_path, bounds)
     return cube
 
@@ -260,6 +268,44 @@ def fact_rerun_idempotent(spark, sf_dir):
     return read_fact_if_exists(spark, path)
 
 
+def fact_upsert_any_dates(spark, sf_dir):
+    """A load of one window, then a batch that reaches far outside it on both sides, with the
+    second accounts snapshot: no row of any date is lost."""
+    path = scratch_path(spark, "fact-any")
+    sessions = _sessions(spark, sf_dir)
+    upsert_fact(spark, build_fact(_windowed(sessions, S.RUN_WINDOW), _accounts(spark, sf_dir)), path)
+    upsert_fact(spark, build_fact(sessions, _accounts(spark, sf_dir, 2)), path)
+    return read_fact_if_exists(spark, path)
+
+
+def fact_empty_then_load(spark, sf_dir):
+    """A window without valid sessions into a fresh table, then a normal load."""
+    path = scratch_path(spark, "fact-empty")
+    sessions = _sessions(spark, sf_dir)
+    nothing = _windowed(sessions, Window(end_date="1999-12-31"))
+    for batch in (nothing, sessions, nothing):
+        upsert_fact(spark, build_fact(batch, _accounts(spark, sf_dir)), path)
+    return read_fact_if_exists(spark, path)
+
+
+def quarantine_two_runs(spark, sf_dir):
+    """Two overlapping runs, the first of them run again, into one quarantine table: each
+    run's rows stand once under its window."""
+    path = scratch_path(spark, "quarantine-runs")
+    for w in (S.FIRST_LOAD, S.SECOND_LOAD, S.FIRST_LOAD):
+        rows = quality.quarantined_sessions(quality.classify_sessions(_windowed(_sessions(spark, sf_dir), w)))
+        sinks.write_quarantine(rows, path, run=f"{w.extract_start}_{w.end_date}")
+    return spark.read.parquet(path).select(*SESSION_FIELDS, "dq_reason", "run")
+
+
+def sessions_json_policy(spark, sf_dir):
+    """JSON lines with cut-off lines and quoted numbers, read and classified."""
+    prepare_session(spark)
+    path = scratch_path(spark, "session-lines")
+    fixtures.session_lines_from_events(fixtures.table(spark, sf_dir, "events")).write.text(path)
+    return quality.classify_sessions(readers.read_sessions_json(spark, path)).select(*SESSION_FIELDS, "dq_reason")
+
+
 # ---- CCU ----
 
 def ccu_hourly(spark, sf_dir):
@@ -278,12 +324,28 @@ def ccu_hourly_from_csv(spark, sf_dir):
     """S6 + K6: land the minute series as its CSV export, scan it back, aggregate, write the
     hourly CSV, read that back."""
     prepare_session(spark)
-    raw_path, out_path = scratch_path(spark, "ccu-csv"), scratch_path(spark, "ccu-hourly-csv")
-    fixtures.raw_ccu_from_events(fixtures.table(spark, sf_dir, "events")).write.option("header", True).csv(raw_path)
-    sinks.write_hourly_ccu_csv(ccu_ops.hourly_ccu(readers.read_ccu_csv(spark, raw_path)), out_path)
+    out_path = scratch_path(spark, "ccu-hourly-csv")
+    sinks.write_hourly_ccu_csv(ccu_ops.hourly_ccu(_ccu_csv(spark, sf_dir, dirty=False)), out_path)
     return spark.read.schema("hour timestamp_ntz, avg_ccu double").option("header", True).csv(out_path)
 
 
+def _ccu_csv(spark, sf_dir, dirty):
+    prepare_session(spark)
+    path = scratch_path(spark, "ccu-csv")
+    fixtures.raw_ccu_from_events(fixtures.table(spark, sf_dir, "events"), dirty).write.options(**CSV_DIALECT).csv(path)
+    return readers.read_ccu_csv(spark, path)
+
+
+def ccu_hourly_dirty_csv(spark, sf_dir):
+    """Minutes without a usable time or value stay out of the means ..."""
+    return ccu_ops.hourly_ccu(_ccu_csv(spark, sf_dir, dirty=True))
+
+
+def ccu_reject_counts(spark, sf_dir):
+    """... and are counted by reason."""
+    return ccu_ops.ccu_rejects(_ccu_csv(spark, sf_dir, dirty=True))
+
+
 # ---- cubes, axis, KPIs ----
 
 def axis_meta(spark, sf_dir):
@@ -321,6 +383,27 @@ def kpi_custom_range(spark, sf_dir):
     return cubes.kpis_by_slice(cube, cubes.axis_range_custom(cube, S.CUSTOM_FROM, S.CUSTOM_TO))
 
 
+def kpi_gap_range(spark, sf_dir):
+    """a range that lies in a gap of the axis takes its two neighbours."""
+    cube = _staged_cube(spark, sf_dir)
+    return cubes.kpis_by_slice(cube, cubes.axis_range_custom(cube, S.GAP, S.GAP))
+
+
+def kpi_slice(spark, sf_dir):
+    cube = _staged_cube(spark, sf_dir)
+    return cubes.kpis_of_slice(cube, cubes.axis_range_last_n(cube, S.LAST_N_DAYS), S.FILTER_COUNTRY, S.FILTER_PLATFORM)
+
+
+def kpi_slice_never_seen(spark, sf_dir):
+    cube = _staged_cube(spark, sf_dir)
+    return cubes.kpis_of_slice(cube, cubes.axis_range_custom(cube, S.CUSTOM_FROM, S.CUSTOM_TO), "NATION_99", "fridge")
+
+
+def avg_dau_by_platform_in(spark, sf_dir):
+    cube = _staged_cube(spark, sf_dir)
+    return cubes.avg_dau_by_platform_in(cube, cubes.axis_range_custom(cube, S.CUSTOM_FROM, S.CUSTOM_TO), S.FILTER_COUNTRY, S.PLATFORMS)
+
+
 def cube_slice_series(spark, sf_dir):
     """Main chart for one country x platform slice over a custom range (F11 + F17 on the cube)."""
     cube = _staged_cube(spark, sf_dir)
@@ -343,12 +426,16 @@ def avg_dau_by_country_allow_list(spark, sf_dir):
     return cubes.avg_dau_by_country(cube, cubes.axis_range_all(cube), S.ALLOW_LIST)
 
 
+def _cube_export(spark, sf_dir) -> str:
+    """K7: the job's export of the cube, with totals and lists; returns its folder."""
+    fact = stage(spark, _fact(spark, sf_dir), "fact")
+    return build_cubes(spark, fact, countries=S.ALLOW_LIST, platforms=S.PLATFORMS).export_path
+
+
 def cube_export_json(spark, sf_dir):
     """K7 round trip: export per-slice dense series as JSON, read back, and flatten to
     (level, country, platform, activity_date, dau) by position on the exported axis."""
-    cube = _staged_cube(spark, sf_dir)
-    path = scratch_path(spark, "cube-json")
-    sinks.export_cube_json(cubes.cube_export_rows(cube), cubes.date_axis(cube), path)
+    path = _cube_export(spark, sf_dir)
     axis = spark.read.schema("date string").json(f"{path}/axis").select(F.col("date").cast("date").alias("activity_date"))
     axis_arr = axis.agg(F.sort_array(F.collect_list("activity_date"))).scalar()
     series = spark.read.schema("level string, country string, platform string, series array<bigint>").json(f"{path}/series")
@@ -357,6 +444,14 @@ def cube_export_json(spark, sf_dir):
     ).select("level", "country", "platform", F.element_at(axis_arr, F.col("i") + 1).alias("activity_date"), "dau")
 
 
+def cube_export_totals(spark, sf_dir):
+    return spark.read.schema("by string, name string, users long").json(f"{_cube_export(spark, sf_dir)}/totals")
+
+
+def cube_export_lists(spark, sf_dir):
+    return spark.read.schema("list string, name string, position int").json(f"{_cube_export(spark, sf_dir)}/lists")
+
+
 # ---- sources and sinks round trips ----
 
 def roundtrip_accounts_csv(spark, sf_dir):
@@ -366,11 +461,18 @@ def roundtrip_accounts_csv(spark, sf_dir):
     return readers.read_accounts_csv(spark, path)
 
 
+def roundtrip_accounts_csv_quoted(spark, sf_dir):
+    """K1 -> S1 with quotes and commas in a field."""
+    path = scratch_path(spark, "accounts-csv")
+    sinks.land_accounts_csv(fixtures.quoted_accounts(_accounts(spark, sf_dir)), path)
+    return readers.read_accounts_csv(spark, path)
+
+
 def roundtrip_sessions_jsonl(spark, sf_dir):
     """K2 -> S4: land the run window's sessions as JSON lines, read back with the window."""
     path = scratch_path(spark, "sessions-jsonl")
     sinks.land_sessions_jsonl(_windowed(_sessions(spark, sf_dir), S.RUN_WINDOW), path)
-    return readers.read_sessions_json(spark, path, S.RUN_WINDOW)
+    return readers.read_sessions_json(spark, path, S.RUN_WINDOW).select(*SESSION_FIELDS)
 
 
 def roundtrip_typed_sessions(spark, sf_dir):
@@ -392,13 +494,13 @@ def roundtrip_fact_csv(spark, sf_dir):
     """K4: ordered CSV export, read back with the fact schema."""
     path = scratch_path(spark, "fact-csv")
     export_fact_csv(_fact(spark, sf_dir), path)
-    return spark.read.schema(FACT_SCHEMA).option("header", True).csv(path).select(*FACT_COLUMNS)
+    return spark.read.schema(FACT_SCHEMA).options(**CSV_DIALECT).csv(path).select(*FACT_COLUMNS)
 
 
 def roundtrip_quarantine(spark, sf_dir):
     """F7 as a table partitioned by reason, read back."""
     path = scratch_path(spark, "quarantine")
-    sinks.write_quarantine(quality.quarantined_sessions(quality.classify_sessions(_sessions(spark, sf_dir))), path)
+    sinks.write_quarantine(quality.quarantined_sessions(quality.classify_sessions(_sessions(spark, sf_dir))), path, run="all")
     return spark.read.parquet(path).select(*SESSION_FIELDS, "dq_reason")
 
 
@@ -418,13 +520,26 @@ def quality_report_columns() -> list[str]:
 
 # ---- streaming ----
 
-def stream_fact(spark, sf_dir):
+def _run_fact_stream(spark, sf_dir) -> tuple[DataFrame, str]:
+    """The landed sessions, one file a day, through several micro-batches in the order the
+    files happened to be written."""
     from pulsegrid.streaming.fact_stream import run_fact_stream
 
     prepare_session(spark)
-    landing = scratch_path(spark, "stream-sessions")
+    landing, quarantine = scratch_path(spark, "stream-sessions"), scratch_path(spark, "stream-quarantine")
     sinks.land_sessions_jsonl(_sessions(spark, sf_dir), landing)
-    return run_fact_stream(spark, landing, _accounts(spark, sf_dir))
+    fact = run_fact_stream(spark, landing, _accounts(spark, sf_dir), quarantine_path=quarantine,
+                           max_files_per_trigger=S.STREAM_FILES)
+    return fact, quarantine
+
+
+def stream_fact(spark, sf_dir):
+    return _run_fact_stream(spark, sf_dir)[0]
+
+
+def stream_quarantine(spark, sf_dir):
+    """What the stream set aside, over all micro-batches."""
+    return spark.read.parquet(_run_fact_stream(spark, sf_dir)[1]).select(*SESSION_FIELDS, "dq_reason")
 
 
 def stream_ccu_hourly(spark, sf_dir):
@@ -432,8 +547,10 @@ def stream_ccu_hourly(spark, sf_dir):
 
     prepare_session(spark)
     landing = scratch_path(spark, "stream-ccu")
-    fixtures.raw_ccu_from_events(fixtures.table(spark, sf_dir, "events")).write.option("header", True).csv(landing)
-    return run_ccu_stream(spark, landing)
+    # Ten files, each with minutes of every day.
+    fixtures.raw_ccu_from_events(fixtures.table(spark, sf_dir, "events")).repartition(10, "ccu") \
+        .write.options(**CSV_DIALECT).csv(landing)
+    return run_ccu_stream(spark, landing, max_files_per_trigger=4)
 
 
 def stream_dau(spark, sf_dir):
@@ -442,7 +559,7 @@ def stream_dau(spark, sf_dir):
     prepare_session(spark)
     landing = scratch_path(spark, "stream-dau")
     sinks.land_sessions_jsonl(_sessions(spark, sf_dir), landing)
-    return run_dau_stream(spark, landing)
+    return run_dau_stream(spark, landing, max_files_per_trigger=S.STREAM_FILES)
 
 
 QUERIES: dict[str, Query] = {
@@ -509,4 +626,18 @@ QUERIES: dict[str, Query] = {
     "stream_fact": stream_fact,
     "stream_ccu_hourly": stream_ccu_hourly,
     "stream_dau": stream_dau,
+    "sessions_json_policy": sessions_json_policy,
+    "ccu_hourly_dirty_csv": ccu_hourly_dirty_csv,
+    "ccu_reject_counts": ccu_reject_counts,
+    "roundtrip_accounts_csv_quoted": roundtrip_accounts_csv_quoted,
+    "quarantine_two_runs": quarantine_two_runs,
+    "fact_upsert_any_dates": fact_upsert_any_dates,
+    "fact_empty_then_load": fact_empty_then_load,
+    "stream_quarantine": stream_quarantine,
+    "kpi_gap_range": kpi_gap_range,
+    "kpi_slice": kpi_slice,
+    "kpi_slice_never_seen": kpi_slice_never_seen,
+    "avg_dau_by_platform_in": avg_dau_by_platform_in,
+    "cube_export_totals": cube_export_totals,
+    "cube_export_lists": cube_export_lists,
 }

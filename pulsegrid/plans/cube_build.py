@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.operators import cubes
+from pulsegrid.operators import cubes, metrics
 from pulsegrid.operators.ccu import ccu_peak, hourly_ccu
 from pulsegrid.constants import PEAK_CCU_DECIMALS
 from pulsegrid.functions.timestamps import hour_label
@@ -42,13 +42,29 @@ def refresh_cube(spark: SparkSession, fact: DataFrame, cube_path: str, date_boun
     return spark.read.parquet(cube_path).select("activity_date", "level", "country", "platform", "dau")
 
 
+def export_totals(fact: DataFrame) -> DataFrame:
+    """``(by, name, users)``: distinct users over all days by known country and by platform."""
+    parts = [metrics.dau_by(fact, by, exclude_unknown=by == "country").select(
+        F.lit(by).alias("by"), F.col(by).alias("name"), F.col("dau").alias("users")) for by in ("country", "platform")]
+    return parts[0].unionByName(parts[1])
+
+
+def export_lists(cube: DataFrame, countries: list[str] | None, platforms: list[str] | None) -> DataFrame:
+    """``(list, name, position)``: the countries and platforms offered for slicing."""
+    a = cubes.country_allow_list(cube, countries).select(F.lit("countries").alias("list"), F.col("country").alias("name"), "position")
+    b = cubes.platform_list(cube, platforms).select(F.lit("platforms").alias("list"), F.col("platform").alias("name"), "position")
+    return a.unionByName(b)
+
+
 def build_cubes(spark: SparkSession, fact: DataFrame, ccu: DataFrame | None = None,
-                out_dir: str | None = None, date_bounds: tuple | None = None) -> CubeOutputs:
+                out_dir: str | None = None, date_bounds: tuple | None = None,
+                countries: list[str] | None = None, platforms: list[str] | None = None) -> CubeOutputs:
     prepare_session(spark)
     base = out_dir.rstrip("/") if out_dir else scratch_path(spark, "cubes")
     cube_path, export_path = f"{base}/cube", f"{base}/export"
     cube = refresh_cube(spark, fact, cube_path, date_bounds)
-    sinks.export_cube_json(cubes.cube_export_rows(cube), cubes.date_axis(cube), export_path)
+    sinks.export_cube_json(cubes.cube_export_rows(cube), cubes.date_axis(cube), export_path,
+                           export_totals(fact), export_lists(cube, countries, platforms))
     meta = cubes.axis_meta(fact).withColumn(
         "generated", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     if ccu is not None:

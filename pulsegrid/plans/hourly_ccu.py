@@ -8,7 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from pulsegrid.config import JobConfig
-from pulsegrid.operators.ccu import ccu_peak, hourly_ccu
+from pulsegrid.constants import CSV_DIALECT
+from pulsegrid.operators.ccu import ccu_peak, ccu_rejects, hourly_ccu
 from pulsegrid.session import prepare_session, scratch_path
 from pulsegrid.sources import readers, sinks
 
@@ -18,13 +19,16 @@ class CcuOutputs:
     hourly_path: str
     hourly: DataFrame
     peak: DataFrame
+    rejects: dict
 
 
 def run_hourly_ccu(spark: SparkSession, cfg: JobConfig, start: datetime | None = None,
                    end: datetime | None = None) -> CcuOutputs:
     prepare_session(spark)
-    hourly = hourly_ccu(readers.read_ccu_csv(spark, cfg.ccu_path), start, end)
+    minutes = readers.read_ccu_csv(spark, cfg.ccu_path)
+    hourly = hourly_ccu(minutes, start, end)
     out = f"{cfg.output_dir.rstrip('/')}/hourly_ccu" if cfg.output_dir else scratch_path(spark, "hourly-ccu")
     sinks.write_hourly_ccu_csv(hourly, out)
-    written = spark.read.schema("hour timestamp_ntz, avg_ccu double").option("header", True).csv(out)
-    return CcuOutputs(out, written, ccu_peak(written))
+    written = spark.read.schema("hour timestamp_ntz, avg_ccu double").options(**CSV_DIALECT).csv(out)
+    rejects = {r["reject"]: r["n"] for r in ccu_rejects(minutes).collect()}  # two reasons at most
+    return CcuOutputs(out, written, ccu_peak(written), rejects)

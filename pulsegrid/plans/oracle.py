@@ -26,32 +26,40 @@ def _ts(x: date | datetime) -> str:
 
 
 SESSIONS_CTE = f"""
+moved AS (SELECT * REPLACE (CASE WHEN CAST(ts AS DATE) = DATE '{FX.GAP_DAY}' THEN ts + INTERVAL 1 DAY ELSE ts END AS ts) FROM events),
 sessions_base AS (
   SELECT event_id,
-    CASE WHEN event_id % {FX.NULL_USER_EVERY} = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS user_id,
+    CASE WHEN event_id % {FX.NULL_USER_EVERY} = 0 THEN NULL WHEN event_id % {FX.BLANK_USER_EVERY} = 0 THEN ''
+         ELSE CAST(user_id AS VARCHAR) END AS user_id,
     CASE WHEN event_id % {FX.NULL_TIMESTAMP_EVERY} = 0 THEN NULL
          WHEN event_id % {FX.BAD_TIMESTAMP_EVERY} = 0 THEN '{FX.BAD_TIMESTAMP_TEXT}'
+         WHEN event_id % {FX.SPACE_TIMESTAMP_EVERY} = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
          ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS "timestamp",
-    CAST(CASE WHEN event_id % {FX.NEGATIVE_DURATION_EVERY} = 0 THEN -value ELSE value END AS DOUBLE) AS duration,
-    CASE WHEN event_id % {FX.BLANK_PLATFORM_EVERY} = 0 THEN '{FX.BLANK_PLATFORM_TEXT}' ELSE event_type END AS platform
-  FROM events),
+    CAST(CASE WHEN event_id % {FX.NULL_DURATION_EVERY} = 0 THEN NULL
+              WHEN event_id % {FX.NEGATIVE_DURATION_EVERY} = 0 THEN -value ELSE value END AS DOUBLE) AS duration,
+    CASE WHEN event_id % {FX.BLANK_PLATFORM_EVERY} = 0 THEN '{FX.BLANK_PLATFORM_TEXT}'
+         WHEN event_id % {FX.NULL_PLATFORM_EVERY} = 0 THEN NULL ELSE event_type END AS platform
+  FROM moved),
 sessions_raw AS (
   SELECT user_id, "timestamp", duration, platform FROM sessions_base
   UNION ALL
   SELECT user_id, "timestamp", duration, platform FROM sessions_base WHERE event_id % {FX.DUPLICATE_EVERY} = 0)"""
 
+# What each rule finds wrong with a row; the first that applies is the row's reason.
+_FAULTS = {
+    "null_user_id": "coalesce(trim(user_id), '') = ''",
+    "null_timestamp": '"timestamp" IS NULL',
+    "invalid_timestamp": 'TRY_CAST("timestamp" AS TIMESTAMP) IS NULL',
+    "null_platform": "coalesce(trim(platform), '') = ''",
+    "negative_duration": "coalesce(duration, 0) < 0",
+}
+
 
 def classified_cte(name: str = "classified", source: str = "sessions_raw") -> str:
+    faults = ", ".join(f"IF({fault}, '{reason}', NULL)" for reason, fault in _FAULTS.items())
     return f"""
 {name} AS (
-  SELECT user_id, "timestamp", duration, platform,
-    TRY_CAST("timestamp" AS TIMESTAMP) AS ts,
-    CASE WHEN user_id IS NULL OR length(trim(user_id)) = 0 THEN '{DQ_REASONS[0]}'
-         WHEN "timestamp" IS NULL THEN '{DQ_REASONS[1]}'
-         WHEN TRY_CAST("timestamp" AS TIMESTAMP) IS NULL THEN '{DQ_REASONS[2]}'
-         WHEN platform IS NULL OR length(trim(platform)) = 0 THEN '{DQ_REASONS[3]}'
-         WHEN duration < 0 THEN '{DQ_REASONS[4]}'
-    END AS dq_reason
+  SELECT user_id, "timestamp", duration, platform, TRY_CAST("timestamp" AS TIMESTAMP) AS ts, COALESCE({faults}) AS dq_reason
   FROM {source})"""
 
 
@@ -187,19 +195,39 @@ HAVING SUM(c.dau) > 0
 def _avg_by_platform_sql(bounds_cte: str) -> str:
     return CUBE_BASE.rstrip() + f""",
 {bounds_cte},
-nd AS (SELECT COUNT(*) AS n_days FROM axis, bounds WHERE activity_date BETWEEN lo AND hi),
-filters AS (
-  SELECT NULL AS country_filter
-  UNION ALL SELECT DISTINCT country FROM cube WHERE level = 'day_country' AND country <> 'UNKNOWN'),
-platforms AS (SELECT DISTINCT platform FROM cube WHERE level = 'day_platform'),
-sums AS (
-  SELECT c.country AS cf, c.platform AS pf, SUM(c.dau) AS s FROM cube c, bounds b
-  WHERE c.level IN ('day_platform', 'day_country_platform') AND c.activity_date BETWEEN b.lo AND b.hi
-  GROUP BY c.country, c.platform)
-SELECT f.country_filter, p.platform,
-       CAST(COALESCE(s.s, 0) AS DOUBLE) / CAST(nd.n_days AS DOUBLE) AS avg_dau
-FROM filters f CROSS JOIN platforms p CROSS JOIN nd
-LEFT JOIN sums s ON s.cf IS NOT DISTINCT FROM f.country_filter AND s.pf = p.platform
+nd AS (SELECT COUNT(*) AS n_days FROM axis, bounds WHERE activity_date BETWEEN lo AND hi)
+SELECT c.country AS country_filter, c.platform, CAST(SUM(c.dau) AS DOUBLE) / CAST(MAX(nd.n_days) AS DOUBLE) AS avg_dau
+FROM cube c, bounds b, nd
+WHERE c.level IN ('day_platform', 'day_country_platform') AND c.activity_date BETWEEN b.lo AND b.hi
+  AND c.country IS DISTINCT FROM 'UNKNOWN'
+GROUP BY c.country, c.platform
+"""
+
+
+def _avg_by_platform_in_sql(bounds_cte: str, country: str, platforms: list[str]) -> str:
+    listed = ", ".join(f"('{p}', {i + 1})" for i, p in enumerate(platforms))
+    return CUBE_BASE.rstrip() + f""",
+{bounds_cte},
+listed(platform, position) AS (VALUES {listed}),
+days AS (SELECT a.activity_date FROM axis a, bounds WHERE a.activity_date BETWEEN lo AND hi),
+counted AS (SELECT platform, COUNT(DISTINCT (activity_date, user_id)) AS s FROM fact JOIN days USING (activity_date)
+            WHERE country = '{country}' GROUP BY platform)
+SELECT l.platform, CAST(l.position AS INTEGER) AS position,
+       CAST(COALESCE(c.s, 0) AS DOUBLE) / CAST((SELECT COUNT(*) FROM days) AS DOUBLE) AS avg_dau
+FROM listed l LEFT JOIN counted c USING (platform)
+"""
+
+
+def _kpi_slice_sql(bounds_cte: str, country: str, platform: str) -> str:
+    return CUBE_BASE.rstrip() + f""",
+{bounds_cte},
+series AS (SELECT a.activity_date, COUNT(DISTINCT f.user_id) AS dau FROM axis a CROSS JOIN bounds b
+  LEFT JOIN fact f ON f.activity_date = a.activity_date AND f.country = '{country}' AND f.platform = '{platform}'
+  WHERE a.activity_date BETWEEN b.lo AND b.hi GROUP BY 1)
+SELECT '{country}' AS country, '{platform}' AS platform, lo AS range_start, hi AS range_end, COUNT(*) AS n_days,
+       AVG(dau) AS avg_dau, MAX(dau) AS peak_dau, arg_max(activity_date, (dau, activity_date)) AS peak_date,
+       CAST(SUM(dau) AS BIGINT) AS player_days
+FROM series, bounds GROUP BY lo, hi
 """
 
 
@@ -311,7 +339,47 @@ FACT_WINDOW_SQL = with_ctes(
 
 _FILTERS = (f"activity_date BETWEEN {_d(S.FILTER_START)} AND {_d(S.FILTER_END)}")
 
+_BAD_LINE = f"event_id % {FX.MALFORMED_LINE_EVERY} = 0"
+JSON_POLICY_SQL = with_ctes(SESSIONS_CTE, classified_cte("c", "(SELECT * FROM sessions_base) x")) + f"""
+SELECT IF({_BAD_LINE}, NULL, b.user_id) AS user_id, IF({_BAD_LINE}, NULL, b."timestamp") AS "timestamp",
+       IF({_BAD_LINE}, NULL, b.duration) AS duration, IF({_BAD_LINE}, NULL, b.platform) AS platform,
+       IF({_BAD_LINE}, 'malformed_record', COALESCE({", ".join(f"IF({fault}, '{reason}', NULL)" for reason, fault in _FAULTS.items())})) AS dq_reason
+FROM sessions_base b
+"""
+
+_USABLE = f"event_id % {FX.BAD_MINUTE_EVERY} <> 0 AND event_id % {FX.BAD_CCU_EVERY} <> 0"
+
+
+def _two_runs_sql() -> str:
+    parts = [f"""SELECT user_id, "timestamp", duration, platform, dq_reason, '{w.extract_start}_{w.end_date}' AS run
+FROM classified{i} WHERE dq_reason IS NOT NULL""" for i, w in ((1, S.FIRST_LOAD), (2, S.SECOND_LOAD))]
+    return with_ctes(SESSIONS_CTE, window_cte("win1", S.FIRST_LOAD), window_cte("win2", S.SECOND_LOAD),
+                     classified_cte("classified1", "win1"), classified_cte("classified2", "win2")) + "\nUNION ALL ".join(parts)
+
+
 ORACLE: dict[str, str] = {
+    "sessions_json_policy": JSON_POLICY_SQL,
+    "ccu_hourly_dirty_csv": _ccu_sql("AND " + _USABLE),
+    "ccu_reject_counts": f"""
+SELECT IF(event_id % {FX.BAD_MINUTE_EVERY} = 0, 'bad_time', 'bad_value') AS reject, COUNT(*) AS n FROM events WHERE NOT ({_USABLE}) GROUP BY 1""",
+    "roundtrip_accounts_csv_quoted": BASE + """SELECT user_id, '"The", ' || country || ' "of" old' AS country,
+       created_at, updated_at FROM accounts_raw""",
+    "quarantine_two_runs": _two_runs_sql(),
+    "fact_upsert_any_dates": with_ctes(SESSIONS_CTE, classified_cte(), accounts_cte("", 2), fact_cte())
+    + "SELECT activity_date, user_id, country, platform FROM fact",
+    "fact_empty_then_load": FACT_SQL,
+    "stream_quarantine": BASE + 'SELECT user_id, "timestamp", duration, platform, dq_reason FROM classified WHERE dq_reason IS NOT NULL',
+    "kpi_gap_range": _kpi_sql(_range_custom(S.GAP, S.GAP)),
+    "kpi_slice": _kpi_slice_sql(_range_last_n(S.LAST_N_DAYS), S.FILTER_COUNTRY, S.FILTER_PLATFORM),
+    "kpi_slice_never_seen": _kpi_slice_sql(_range_custom(S.CUSTOM_FROM, S.CUSTOM_TO), "NATION_99", "fridge"),
+    "avg_dau_by_platform_in": _avg_by_platform_in_sql(_range_custom(S.CUSTOM_FROM, S.CUSTOM_TO), S.FILTER_COUNTRY, S.PLATFORMS),
+    "cube_export_totals": BASE + """
+SELECT 'country' AS "by", country AS name, COUNT(DISTINCT user_id) AS users FROM fact WHERE country <> 'UNKNOWN' GROUP BY 2
+UNION ALL SELECT 'platform', platform, COUNT(DISTINCT user_id) FROM fact GROUP BY 2""",
+    "cube_export_lists": CUBE_BASE + "SELECT 'countries' AS list, country AS name, CAST(ROW_NUMBER() OVER (ORDER BY list_position(["
+    + ", ".join(f"'{x}'" for x in S.ALLOW_LIST) + "], country)) AS INTEGER) AS position FROM "
+    "(SELECT DISTINCT country FROM cube WHERE level = 'day_country' AND country IN (" + ", ".join(f"'{x}'" for x in S.ALLOW_LIST) + "))"
+    + "".join(f" UNION ALL SELECT 'platforms', '{p}', {i + 1}" for i, p in enumerate(S.PLATFORMS)),
     "dau_daily": BASE + "SELECT activity_date, COUNT(DISTINCT user_id) AS dau FROM fact GROUP BY 1",
     "dau_daily_filtered": BASE + f"SELECT activity_date, COUNT(DISTINCT user_id) AS dau FROM fact WHERE {_FILTERS} "
     f"AND country = '{S.FILTER_COUNTRY}' AND platform = '{S.FILTER_PLATFORM}' GROUP BY 1",

@@ -22,3 +22,6 @@ LAST_N_DAYS = 7
 CUSTOM_FROM = date(2024, 1, 5)
 CUSTOM_TO = date(2024, 1, 12)
 ALLOW_LIST = ["NATION_3", "NATION_0", "NATION_24", "NATION_7", "NATION_99"]
+GAP = date(2024, 1, 14)  # a day of the fixtures without sessions
+PLATFORMS = ["view", "fridge", "click", "purchase"]  # offered in this order; "fridge" is never seen
+STREAM_FILES = 12  # files a micro-batch takes: the landed sessions make several batches

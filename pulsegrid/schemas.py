@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from pulsegrid.constants import DQ_REASONS, UNKNOWN_COUNTRY  # noqa: F401  (re-exported)
+from pulsegrid.constants import DQ_REASONS as CANONICAL_REASONS
+from pulsegrid.constants import MALFORMED_REASON, UNKNOWN_COUNTRY  # noqa: F401  (re-exported)
+
+DQ_REASONS = (*CANONICAL_REASONS, MALFORMED_REASON)
 
 # Accounts as exported (CSV / JDBC): timestamps stay text at the scan.
 ACCOUNTS_SCHEMA = T.StructType(
@@ -29,20 +32,18 @@ SESSIONS_SCHEMA = T.StructType(
 )
 SESSION_FIELDS = [f.name for f in SESSIONS_SCHEMA.fields]
 
-# Typed, strictly valid sessions as landed for range scans.
-TYPED_SESSIONS_SCHEMA = T.StructType(
+# The same as they stand in JSON lines: the duration as text, so that a quoted or odd number
+# costs one value and not the read, and the line itself where it is no JSON document.
+SESSIONS_JSON_SCHEMA = T.StructType(
     [
-        T.StructField("user_id", T.StringType()),
-        T.StructField("timestamp", T.TimestampNTZType()),
-        T.StructField("duration", T.DoubleType()),
-        T.StructField("platform", T.StringType()),
-        T.StructField("event_date", T.DateType()),
+        *(f if f.name != "duration" else T.StructField("duration", T.StringType()) for f in SESSIONS_SCHEMA.fields),
+        T.StructField("_corrupt_record", T.StringType()),
     ]
 )
 
-# Minute-level concurrent users as a CSV export.
+# Minute-level concurrent users as a CSV export; both as text, so that odd values are counted.
 CCU_CSV_SCHEMA = T.StructType(
-    [T.StructField("timestamp", T.StringType()), T.StructField("ccu", T.DoubleType())]
+    [T.StructField("timestamp", T.StringType()), T.StructField("ccu", T.StringType())]
 )
 
 # Fact table: one row per (activity_date, user_id, platform).

@@ -87,6 +87,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath))
 
 
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete folders that :func:`scratch_path` named, once what was read from them has been
+    committed elsewhere. Anything outside the scratch area is refused."""
+    area = f"{checkpoint_root(spark).rstrip('/')}/pulsegrid/"
+    for path in paths:
+        if not path.startswith(area):
+            raise ValueError(f"not a scratch folder: {path}")
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def stage(spark: SparkSession, df, name: str):
     """Write ``df`` once as Parquet under the checkpoint root and return a DataFrame over the
     written table. Used where one result feeds several branches of a plan: the branches read

@@ -22,7 +22,18 @@ BAD_TIMESTAMP_EVERY = 83
 BLANK_PLATFORM_EVERY = 79
 NEGATIVE_DURATION_EVERY = 73
 DUPLICATE_EVERY = 50
+NULL_DURATION_EVERY = 71
+BLANK_USER_EVERY = 67
+NULL_PLATFORM_EVERY = 61
+SPACE_TIMESTAMP_EVERY = 59  # "yyyy-MM-dd HH:mm:ss": the lenient parser takes it, the strict one does not
+MALFORMED_LINE_EVERY = 53  # JSON lines only: cut short
+QUOTED_DURATION_EVERY = 47  # JSON lines only: the number as a string
+BAD_MINUTE_EVERY = 43  # CCU CSV only: a timestamp that is none
+BAD_CCU_EVERY = 41  # CCU CSV only: a value that is no number
+GAP_DAY = "2024-01-14"  # sessions of this day happen a day later, so the axis has a gap
 BAD_TIMESTAMP_TEXT = "not-a-date"
+BAD_CCU_TEXT = "n/a"
+SPACE_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 BLANK_PLATFORM_TEXT = "  "
 
 NO_ACCOUNT_EVERY = 10  # orphans: these customers' accounts carry a closed-account id no session uses
@@ -55,36 +66,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def sessions_from_events(events: DataFrame, dirty: bool = True) -> DataFrame:
-    """Raw sessions ``(user_id, timestamp, duration, platform)`` as text/double.
-
-    With ``dirty``: NULL users, NULL and malformed timestamps, blank platforms and
-    negative durations on fixed ``event_id`` residues, and every 50th event twice
-    (duplicate sessions). Duplicates come from one scan via ``explode``.
-    """
+def _session_fields(dirty: bool) -> list:
     eid = F.col("event_id")
     user = F.col("user_id").cast("string")
     ts = format_raw_timestamp("ts")
     duration = F.col("value")
     platform = F.col("event_type")
-    src = events
     if dirty:
-        user = F.when(eid % NULL_USER_EVERY == 0, F.lit(None).cast("string")).otherwise(user)
+        moved = F.when(F.col("ts").cast("date") == F.lit(GAP_DAY).cast("date"), F.col("ts") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("ts"))
+        user = F.when(eid % NULL_USER_EVERY == 0, F.lit(None).cast("string")).when(
+            eid % BLANK_USER_EVERY == 0, F.lit("")).otherwise(user)
         ts = (
             F.when(eid % NULL_TIMESTAMP_EVERY == 0, F.lit(None).cast("string"))
             .when(eid % BAD_TIMESTAMP_EVERY == 0, F.lit(BAD_TIMESTAMP_TEXT))
-            .otherwise(ts)
+            .when(eid % SPACE_TIMESTAMP_EVERY == 0, F.date_format(moved, SPACE_TIMESTAMP_FORMAT))
+            .otherwise(format_raw_timestamp(moved))
         )
-        duration = F.when(eid % NEGATIVE_DURATION_EVERY == 0, -duration).otherwise(duration)
-        platform = F.when(eid % BLANK_PLATFORM_EVERY == 0, F.lit(BLANK_PLATFORM_TEXT)).otherwise(platform)
-        copies = F.when(eid % DUPLICATE_EVERY == 0, F.lit(2)).otherwise(F.lit(1))
-        src = events.select("*", F.explode(F.sequence(F.lit(1), copies)).alias("_copy"))
-    return src.select(
-        user.alias("user_id"),
-        ts.alias("timestamp"),
-        duration.cast("double").alias("duration"),
-        platform.alias("platform"),
-    )
+        duration = F.when(eid % NULL_DURATION_EVERY == 0, F.lit(None).cast("double")).when(
+            eid % NEGATIVE_DURATION_EVERY == 0, -duration).otherwise(duration)
+        platform = F.when(eid % BLANK_PLATFORM_EVERY == 0, F.lit(BLANK_PLATFORM_TEXT)).when(
+            eid % NULL_PLATFORM_EVERY == 0, F.lit(None).cast("string")).otherwise(platform)
+    return [user.alias("user_id"), ts.alias("timestamp"), duration.cast("double").alias("duration"), platform.alias("platform")]
+
+
+def sessions_from_events(events: DataFrame, dirty: bool = True) -> DataFrame:
+    """Raw sessions ``(user_id, timestamp, duration, platform)`` as text/double.
+
+    With ``dirty``: NULL and blank users, NULL, malformed and space-form timestamps, blank and
+    NULL platforms, NULL and negative durations on fixed ``event_id`` residues, a day without
+    sessions, and every 50th event twice (duplicate sessions, from one scan via ``explode``).
+    """
+    if not dirty:
+        return events.select(*_session_fields(False))
+    copies = F.when(F.col("event_id") % DUPLICATE_EVERY == 0, F.lit(2)).otherwise(F.lit(1))
+    return events.select("*", F.explode(F.sequence(F.lit(1), copies)).alias("_copy")).select(*_session_fields(True))
+
+
+def session_lines_from_events(events: DataFrame) -> DataFrame:
+    """The dirty sessions as JSON lines ``(value)``, some cut short, some with their duration quoted."""
+    eid = F.col("event_id")
+    fields = events.select("event_id", *_session_fields(True))
+    plain = F.to_json(F.struct("user_id", "timestamp", "duration", "platform"))
+    quoted = F.to_json(F.struct("user_id", "timestamp", F.col("duration").cast("string").alias("duration"), "platform"))
+    return fields.select(
+        F.when(eid % MALFORMED_LINE_EVERY == 0, F.lit('{"user_id": "12'))
+        .when(eid % QUOTED_DURATION_EVERY == 0, quoted).otherwise(plain).alias("value"))
 
 
 def accounts_from_customers(customer: DataFrame, nation: DataFrame, snapshot: int = 1) -> DataFrame:
@@ -138,9 +164,20 @@ def ccu_from_events(events: DataFrame) -> DataFrame:
     return events.select(F.col("ts"), F.col("value").alias("ccu"))
 
 
-def raw_ccu_from_events(events: DataFrame) -> DataFrame:
-    """The CCU series as its CSV export shape ``(timestamp text, ccu)``."""
-    return events.select(format_raw_timestamp("ts").alias("timestamp"), F.col("value").alias("ccu"))
+def raw_ccu_from_events(events: DataFrame, dirty: bool = False) -> DataFrame:
+    """The CCU series as its CSV export shape ``(timestamp, ccu)``, both text; with ``dirty``
+    some minutes have no usable time or value."""
+    eid = F.col("event_id")
+    ts, ccu = format_raw_timestamp("ts"), F.col("value").cast("string")
+    if dirty:
+        ts = F.when(eid % BAD_MINUTE_EVERY == 0, F.lit(BAD_TIMESTAMP_TEXT)).otherwise(ts)
+        ccu = F.when(eid % BAD_CCU_EVERY == 0, F.lit(BAD_CCU_TEXT)).otherwise(ccu)
+    return events.select(ts.alias("timestamp"), ccu.alias("ccu"))
+
+
+def quoted_accounts(accounts: DataFrame) -> DataFrame:
+    """Accounts whose countries need CSV quoting: quotes and commas."""
+    return accounts.withColumn("country", F.concat(F.lit('"The", '), F.col("country"), F.lit(' "of" old')))
 
 
 def load_inputs(spark: SparkSession, sf_dir: str, snapshot: int = 1, dirty: bool = True):

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.config import JobConfig, Window, check_table_name
-from pulsegrid.constants import JDBC_FETCH_SIZE
+from pulsegrid.constants import CSV_DIALECT, JDBC_FETCH_SIZE, RAW_TIMESTAMP_FORMAT
 from pulsegrid.functions.predicates import event_time_window, strict_event_time_window
 from pulsegrid.functions.timestamps import parse_event_time
 from pulsegrid.schemas import (
@@ -16,13 +16,13 @@ from pulsegrid.schemas import (
     CCU_CSV_SCHEMA,
     FACT_COLUMNS,
     SESSION_FIELDS,
-    SESSIONS_SCHEMA,
+    SESSIONS_JSON_SCHEMA,
 )
 
 
 def read_accounts_csv(spark: SparkSession, path: str) -> DataFrame:
     """Accounts CSV export with header; all four fields as text."""
-    return spark.read.schema(ACCOUNTS_SCHEMA).option("header", True).csv(path)
+    return spark.read.schema(ACCOUNTS_SCHEMA).options(**CSV_DIALECT).csv(path)
 
 
 # Default split expression for the accounts source database (PostgreSQL): the key is a
@@ -69,22 +69,27 @@ def read_accounts_jdbc(
     return df.select(*[F.col(c).cast("string").alias(c) for c in ACCOUNT_FIELDS])
 
 
+def session_columns(df: DataFrame) -> DataFrame:
+    """Rows of SESSIONS_JSON_SCHEMA -> raw sessions plus boolean ``malformed``: the one policy
+    for JSON sessions, batch and stream. A duration that is no number is NULL."""
+    return df.withColumn("duration", F.col("duration").try_cast("double")).withColumn(
+        "malformed", F.col("_corrupt_record").isNotNull()).drop("_corrupt_record")
+
+
 def parse_sessions_json(value: Column | str) -> Column:
-    """One JSON session document in a string column (message-bus style input) ->
-    struct with the raw sessions schema; select ``"s.*"`` from it."""
+    """One JSON session document in a string column (message-bus style input) -> struct
+    of SESSIONS_JSON_SCHEMA; select ``"s.*"`` from it and pass that to :func:`session_columns`."""
     c = F.col(value) if isinstance(value, str) else value
-    return F.from_json(c, SESSIONS_SCHEMA)
+    return F.from_json(c, SESSIONS_JSON_SCHEMA)
 
 
-def read_sessions_json(spark: SparkSession, path: str, window: Window | None = None,
-                       mode: str = "FAILFAST") -> DataFrame:
+def read_sessions_json(spark: SparkSession, path: str, window: Window | None = None) -> DataFrame:
     """JSON-lines sessions (blank lines skipped, unknown fields ignored), optionally
     restricted to the extraction window with unparseable timestamps let through (F2).
 
-    ``FAILFAST`` (default) aborts on a malformed line, as a line-by-line JSON reader would;
-    ``PERMISSIVE`` turns such a line into an all-NULL row, which is then quarantined as
-    ``null_user_id``."""
-    df = spark.read.schema(SESSIONS_SCHEMA).option("mode", mode).json(path)
+    A line that is no JSON document comes out with ``malformed`` set and is quarantined under
+    its own reason; a quoted number counts as the number."""
+    df = session_columns(spark.read.schema(SESSIONS_JSON_SCHEMA).option("mode", "PERMISSIVE").json(path))
     if window is not None:
         if "event_date" in df.columns:
             # Landed by event date: prune directories first (a partition filter), then the
@@ -93,7 +98,7 @@ def read_sessions_json(spark: SparkSession, path: str, window: Window | None = N
             df = df.where(d.isNull() | ((d >= F.lit(window.extract_start)) & (d < F.lit(window.extract_end))))
         df = df.where(event_time_window(parse_event_time("timestamp"), window.extract_start,
                                         window.extract_end))
-    return df.select(*SESSION_FIELDS)
+    return df.select(*SESSION_FIELDS, "malformed")
 
 
 def read_landed_sessions(spark: SparkSession, path: str, window: Window | None = None) -> DataFrame:
@@ -115,10 +120,18 @@ def read_landed_sessions(spark: SparkSession, path: str, window: Window | None =
     )
 
 
+def ccu_columns(df: DataFrame) -> DataFrame:
+    """CSV text rows -> ``(ts, ccu, reject)``. ``reject`` says why a minute cannot be used:
+    ``bad_time`` (no or no valid timestamp: it belongs to no hour) or ``bad_value`` (text that
+    is no number). An empty value is a missing measurement, which a mean leaves out."""
+    ts, ccu = parse_event_time("timestamp"), F.col("ccu").try_cast("double")
+    reject = F.when(ts.isNull(), F.lit("bad_time")).when(F.col("ccu").isNotNull() & ccu.isNull(), F.lit("bad_value"))
+    return df.select(ts.alias("ts"), ccu.alias("ccu"), reject.alias("reject"))
+
+
 def read_ccu_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Minute CCU CSV ``(timestamp text, ccu double)`` -> ``(ts, ccu)``."""
-    df = spark.read.schema(CCU_CSV_SCHEMA).option("header", True).csv(path)
-    return df.select(parse_event_time("timestamp").alias("ts"), "ccu")
+    """Minute CCU CSV -> ``(ts, ccu, reject)``; see :func:`ccu_columns`."""
+    return ccu_columns(spark.read.schema(CCU_CSV_SCHEMA).options(**CSV_DIALECT).csv(path))
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -126,6 +139,25 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*FACT_COLUMNS)
 
 
+def read_sessions_parquet(spark: SparkSession, path: str, window: Window) -> DataFrame:
+    """Sessions from Parquet, in raw form. A typed timestamp is compared before it is made
+    text, so the window reaches the scan as a pushed filter; an ``event_date`` partition
+    column prunes folders. NULL timestamps pass, to be quarantined."""
+    df = spark.read.parquet(path)
+    if "event_date" in df.columns:
+        d = F.col("event_date")
+        df = df.where(d.isNull() | ((d >= F.lit(window.extract_start)) & (d < F.lit(window.extract_end))))
+    kind = df.schema["timestamp"].dataType.simpleString()
+    if kind.startswith("timestamp"):
+        df = df.where(F.col("timestamp").isNull() | strict_event_time_window("timestamp", window.extract_start, window.extract_end))
+        text = F.date_format("timestamp", RAW_TIMESTAMP_FORMAT)
+    else:
+        df = df.where(event_time_window(parse_event_time("timestamp"), window.extract_start, window.extract_end))
+        text = F.col("timestamp").cast("string")
+    return df.select(F.col("user_id").cast("string").alias("user_id"), text.alias("timestamp"),
+                     F.col("duration").cast("double").alias("duration"), F.col("platform").cast("string").alias("platform"))
+
+
 def read_accounts(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     """Pick the accounts reader from configuration (JDBC when a URL is set)."""
     if cfg.accounts_format == "jdbc" or cfg.jdbc_url:
@@ -142,9 +174,5 @@ def read_sessions(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     if cfg.sessions_format == "landed":
         return read_landed_sessions(spark, cfg.sessions_path, cfg.window)
     if cfg.sessions_format == "parquet":
-        df = spark.read.parquet(cfg.sessions_path).select(
-            F.col("user_id").cast("string"), F.col("timestamp").cast("string"),
-            F.col("duration").cast("double"), F.col("platform").cast("string"))
-        return df.where(event_time_window(parse_event_time("timestamp"), cfg.window.extract_start,
-                                          cfg.window.extract_end))
+        return read_sessions_parquet(spark, cfg.sessions_path, cfg.window)
     return read_sessions_json(spark, cfg.sessions_path, cfg.window)

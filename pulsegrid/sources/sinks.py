@@ -3,10 +3,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pulsegrid.config import check_table_name
+from pulsegrid.constants import CSV_DIALECT
 from pulsegrid.functions.timestamps import activity_date, parse_event_time
 from pulsegrid.schemas import ACCOUNT_FIELDS, SESSION_FIELDS
 
@@ -21,7 +22,7 @@ def land_accounts_csv(accounts: DataFrame, path: str) -> int:
     """K1: accounts projected to the four export fields, CSV with header; returns rows."""
     return _observed_write(
         accounts.select(*ACCOUNT_FIELDS), "accounts_landed",
-        lambda d: d.write.mode("overwrite").option("header", True).csv(path),
+        lambda d: d.write.mode("overwrite").options(**CSV_DIALECT).csv(path),
     )
 
 
@@ -54,12 +55,13 @@ def land_typed_sessions(strict_valid: DataFrame, path: str) -> int:
     )
 
 
-def write_quarantine(quarantined: DataFrame, path: str) -> int:
-    """F7 as a table: quarantined rows partitioned by reason."""
+def write_quarantine(quarantined: DataFrame, path: str, run: str) -> int:
+    """F7 as a table: quarantined rows by run and reason. ``run`` names the run's window; a
+    run replaces what an earlier run of the same window wrote, all of it, and nothing else."""
     return _observed_write(
-        quarantined, "quarantine_landed",
-        lambda d: d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dq_reason").parquet(path),
+        quarantined.hint("rebalance", "dq_reason"), "quarantine_landed",
+        lambda d: d.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("dq_reason").parquet(f"{path.rstrip('/')}/run={run}"),
     )
 
 
@@ -78,14 +80,17 @@ def write_quality_report(report: DataFrame, path: str) -> None:
 
 def write_hourly_ccu_csv(hourly: DataFrame, path: str) -> None:
     """K6."""
-    hourly.orderBy("hour").write.mode("overwrite").option("header", True).csv(path)
+    hourly.orderBy("hour").write.mode("overwrite").options(**CSV_DIALECT).csv(path)
 
 
-def export_cube_json(export_rows: DataFrame, axis: DataFrame, path: str) -> None:
-    """K7: per-slice dense series as JSON lines, plus the axis under ``path/axis``."""
+def export_cube_json(export_rows: DataFrame, axis: DataFrame, path: str, totals: DataFrame, lists: DataFrame) -> None:
+    """K7: per-slice dense series as JSON lines, plus the axis, the totals over all days and
+    the lists of countries and platforms in their order, under ``path``."""
     export_rows.write.mode("overwrite").json(f"{path}/series")
     axis.orderBy("activity_date").select(F.date_format("activity_date", "yyyy-MM-dd").alias("date")) \
         .write.mode("overwrite").json(f"{path}/axis")
+    totals.orderBy("by", F.desc("users"), "name").write.mode("overwrite").json(f"{path}/totals")
+    lists.orderBy("list", "position").write.mode("overwrite").json(f"{path}/lists")
 
 
 def reload_accounts_jdbc(accounts: DataFrame, url: str, table: str, user: str | None = None,
@@ -102,7 +107,3 @@ def reload_accounts_jdbc(accounts: DataFrame, url: str, table: str, user: str |
         d.write.mode("overwrite").options(**props).jdbc(url, check_table_name(table))
 
     return _observed_write(accounts.select(*ACCOUNT_FIELDS), "accounts_reloaded", _write)
-
-
-def read_back_json(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).json(path)

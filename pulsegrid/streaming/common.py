@@ -1,12 +1,19 @@
-"""Shared streaming plumbing: checkpoint locations and running a query to completion."""
+"""Shared streaming plumbing: checkpoint locations, the sessions source, classified
+micro-batches, and running a query to completion."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from pulsegrid.session import scratch_path
+from pulsegrid.operators.quality import classify_sessions
+from pulsegrid.schemas import SESSION_FIELDS, SESSIONS_JSON_SCHEMA
+from pulsegrid.session import drop_scratch, scratch_path
+from pulsegrid.sources.readers import session_columns
 
 
 def checkpoint_location(spark: SparkSession, name: str, given: str | None = None) -> str:
@@ -15,50 +22,34 @@ def checkpoint_location(spark: SparkSession, name: str, given: str | None = None
     return given or scratch_path(spark, f"stream-ckpt-{name}")
 
 
-def event_time(ts: str = "ts") -> Column:
-    """Watermarks need a session-zone timestamp; with the session pinned to UTC the cast
-    from the naive UTC timestamp keeps the same instant."""
-    return F.col(ts).cast("timestamp").alias("event_ts")
-
-
-def default_state_partitions(spark: SparkSession) -> int:
-    """One state-store partition per core of the cluster. Stateful operators keep this
-    number for the life of the checkpoint and AQE does not coalesce it, so it is chosen
-    from the cluster, not from the batch-oriented ``spark.sql.shuffle.partitions``."""
-    return max(1, spark.sparkContext.defaultParallelism)
+@contextmanager
+def classified_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, quarantine_path: str) -> Iterator[DataFrame]:
+    """A micro-batch of raw sessions, classified and written once: the source files are read
+    once, and what is quarantined goes to the slice of this micro-batch before the rest is used."""
+    path = scratch_path(spark, "stream-classified")
+    classified = classify_sessions(batch)
+    classified.write.mode("overwrite").parquet(path)
+    staged = spark.read.schema(classified.schema).parquet(path)
+    staged.where(F.col("dq_reason").isNotNull()).select(*SESSION_FIELDS, "dq_reason") \
+        .write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/epoch={epoch_id}")
+    yield staged
+    drop_scratch(spark, path)
 
 
-# State kept off the JVM heap: days x users x platforms within the watermark is far too
-# large for the default in-memory store at scale. Used unless the session chose a provider.
-ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+def run_sessions_stream(spark: SparkSession, landing_path: str, load: Callable[[DataFrame, int], None], name: str,
+                        checkpoint: str | None, max_files_per_trigger: int) -> StreamingQuery:
+    """Run ``load`` over the landed JSON-lines sessions, ``max_files_per_trigger`` files at most
+    in a micro-batch, so that a backlog of any size is worked off in bounded steps."""
+    raw = spark.readStream.schema(SESSIONS_JSON_SCHEMA).option("mode", "PERMISSIVE") \
+        .option("maxFilesPerTrigger", max_files_per_trigger).json(landing_path)
+    return run_available_now(session_columns(raw).writeStream.foreachBatch(load)
+                             .option("checkpointLocation", checkpoint_location(spark, name, checkpoint)))
 
 
-def run_available_now(writer: DataStreamWriter, timeout_s: float | None = None,
-                      spark: SparkSession | None = None, state_partitions: int | None = None) -> StreamingQuery:
+def run_available_now(writer: DataStreamWriter, timeout_s: float | None = None) -> StreamingQuery:
     """Process everything available now, in as many micro-batches as the source limits
-    allow, then stop. ``state_partitions`` and the state store provider apply when the query
-    starts for the first time (both are then recorded in the checkpoint); the stream runs on
-    a copy of the session's settings, so they are set only around ``start()``."""
-    if spark is None:
-        q = writer.trigger(availableNow=True).start()
-    else:
-        overrides = {}
-        if state_partitions:
-            overrides["spark.sql.shuffle.partitions"] = str(state_partitions)
-        if not spark.conf.get(_STATE_PROVIDER_CONF, None):
-            overrides[_STATE_PROVIDER_CONF] = ROCKSDB_STATE_STORE
-        previous = {k: spark.conf.get(k, None) for k in overrides}
-        for k, v in overrides.items():
-            spark.conf.set(k, v)
-        try:
-            q = writer.trigger(availableNow=True).start()
-        finally:
-            for k, v in previous.items():
-                if v is None:
-                    spark.conf.unset(k)
-                else:
-                    spark.conf.set(k, v)
+    allow, then stop."""
+    q = writer.trigger(availableNow=True).start()
     q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"streaming query failed: {q.exception()}")

@@ -1,50 +1,26 @@
-"""The fact flow as a stream. Raw JSON-lines sessions -> quality rules -> distinct grain
-keys per one-day event-time window (watermarked aggregation, update mode) -> stream-static
-join to one account per user -> idempotent upsert of each micro-batch into the partitioned
-fact table (``foreachBatch`` + K9).
+"""The fact flow as a stream. Raw JSON-lines sessions -> quality rules -> distinct grain keys
+of the micro-batch -> join to one account per user -> the fact table (``foreachBatch``).
 
-Exactly-once: the source offsets and dedupe state are in the checkpoint, and a replayed
-micro-batch upserts the same keys again, which leaves the table unchanged.
+The table is the state: a key that is stored already is not stored again. So no session is too
+late or too early to count, whatever the order and size of the micro-batches, and nothing has to
+be remembered between them. Quarantined rows go to a table by micro-batch.
+
+Exactly once: the source offsets are in the checkpoint, and a micro-batch that is run again adds
+no key twice and rewrites its own slice of the quarantine.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from pulsegrid.functions.timestamps import activity_date
+from pulsegrid.constants import MAX_FILES_PER_TRIGGER
 from pulsegrid.operators.accounts import latest_account_per_user
-from pulsegrid.operators.activity import attach_country
-from pulsegrid.operators.quality import classify_sessions
-from pulsegrid.operators.tables import read_fact_if_exists, upsert_fact
-from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS, SESSIONS_SCHEMA
-from pulsegrid.session import scratch_path, stage
-from pulsegrid.streaming.common import (
-    checkpoint_location,
-    default_state_partitions,
-    event_time,
-    run_available_now,
-)
-
-# Fixed value: how late (event time) a session may arrive and still be counted. At least one
-# day, or a day's later sessions would arrive after their day's state was dropped.
-DEFAULT_LATENESS = "7 days"
-
-
-def valid_grain_stream(sessions_stream: DataFrame, lateness: str = DEFAULT_LATENESS) -> DataFrame:
-    """Distinct (activity_date, user_id, platform) as a watermarked streaming aggregation over
-    one-day tumbling windows (UTC days, since windows align to the epoch and the session is
-    UTC). Unlike streaming dedupe, the aggregation combines map-side before its shuffle, so a
-    user with a third of a micro-batch's sessions sends one row per key per task; state for a
-    day is dropped once the watermark passes it."""
-    valid = classify_sessions(sessions_stream).where(F.col("dq_reason").isNull())
-    return (
-        valid.select("user_id", "platform", event_time("ts"))
-        .withWatermark("event_ts", lateness)
-        .groupBy(F.window("event_ts", "1 day").alias("day"), "user_id", "platform")
-        .agg(F.count(F.lit(1)).alias("sessions"))
-        .select(activity_date(F.col("day.start").cast("timestamp_ntz")).alias("activity_date"), "user_id", "platform")
-    )
+from pulsegrid.operators.activity import attach_country, sessions_to_grain
+from pulsegrid.operators.quality import valid_sessions
+from pulsegrid.operators.tables import append_new_keys, read_fact_if_exists, upsert_fact
+from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS
+from pulsegrid.session import drop_scratch, scratch_path
+from pulsegrid.streaming.common import classified_batch, run_sessions_stream
 
 
 def run_fact_stream(
@@ -53,35 +29,33 @@ def run_fact_stream(
     accounts: DataFrame,
     fact_path: str | None = None,
     checkpoint: str | None = None,
-    lateness: str = DEFAULT_LATENESS,
-    max_files_per_trigger: int | None = None,
-    mode: str = "replace",
-    state_partitions: int | None = None,
+    quarantine_path: str | None = None,
+    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+    mode: str = "insert_only",
 ) -> DataFrame:
+    """Process what has landed and return the fact table.
+
+    ``insert_only`` adds new keys and never rewrites stored rows. ``replace`` lets a session
+    seen again take the country of the present accounts, and rewrites the dates it touches."""
     fact_path = fact_path or scratch_path(spark, "stream-fact")
+    quarantine_path = quarantine_path or f"{fact_path.rstrip('/')}_quarantine"
     # Materialise the static side once: the join then reads a small staged table per batch
     # instead of re-aggregating the accounts source every micro-batch.
     accounts_path = scratch_path(spark, "stream-accounts")
     latest_account_per_user(accounts).write.mode("overwrite").parquet(accounts_path)
     accounts_one = spark.read.parquet(accounts_path)
 
-    reader = spark.readStream.schema(SESSIONS_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    grain = valid_grain_stream(reader.json(landing_path), lateness)
-    facts = attach_country(grain, accounts_one)
-
     def load(batch: DataFrame, epoch_id: int) -> None:
-        # One micro-batch: evaluate the stateful plan once by staging its output, then
-        # upsert only the dates it touches. No-data batches (watermark moves) are skipped.
-        staged = stage(spark, batch.select(*FACT_COLUMNS), "stream-batch")
-        if staged.isEmpty():
-            return
-        upsert_fact(spark, staged.dropDuplicates(FACT_KEYS), fact_path, mode=mode)
-
-    run_available_now(
-        facts.writeStream.outputMode("update").foreachBatch(load)
-        .option("checkpointLocation", checkpoint_location(spark, "fact", checkpoint)),
-        spark=spark, state_partitions=state_partitions or default_state_partitions(spark),
-    )
+        with classified_batch(spark, batch, epoch_id, quarantine_path) as sessions:
+            facts = attach_country(sessions_to_grain(valid_sessions(sessions)), accounts_one).select(*FACT_COLUMNS)
+            if mode == "replace":
+                upsert_fact(spark, facts, fact_path, mode=mode)
+                return
+            staged = scratch_path(spark, "stream-batch")
+            facts.write.mode("overwrite").parquet(staged)
+            append_new_keys(spark, spark.read.schema(facts.schema).parquet(staged), fact_path, FACT_KEYS, "activity_date")
+            drop_scratch(spark, staged)
+
+    run_sessions_stream(spark, landing_path, load, "fact", checkpoint, max_files_per_trigger)
+    drop_scratch(spark, accounts_path)
     return read_fact_if_exists(spark, fact_path)

@@ -71,12 +71,20 @@ def test_avg_by_country_drops_zero_and_unknown(spark):
         (None, "US", 1.0), ("W", "US", 1.0)]
 
 
-def test_avg_by_platform_is_zero_filled(spark):
+def test_platforms_of_a_chosen_country_are_zero_filled(spark):
     cube = cubes.build_cube(_fact(spark, ROWS))
-    got = cubes.avg_dau_by_platform(cube, cubes.axis_range_last_n(cube, 1)).collect()
-    rows = {(r["country_filter"], r["platform"]): r["avg_dau"] for r in got}
-    assert rows == {(None, "W"): 1.0, (None, "A"): 0.0, ("DE", "W"): 0.0, ("DE", "A"): 0.0,
-                    ("US", "W"): 1.0, ("US", "A"): 0.0}
+    last = cubes.axis_range_last_n(cube, 1)  # 6 September: only b, US, W
+    assert [tuple(r) for r in cubes.avg_dau_by_platform_in(cube, last, "US").collect()] == [("W", 2, 1.0), ("A", 1, 0.0)]
+    assert [tuple(r) for r in cubes.avg_dau_by_platform_in(cube, last, "DE", ["Z", "W"]).collect()] == [("Z", 1, 0.0), ("W", 2, 0.0)]
+    assert {tuple(r) for r in cubes.avg_dau_by_platform(cube, last).collect()} == {(None, "W", 1.0), ("US", "W", 1.0)}
+
+
+def test_slice_without_data_is_all_zero(spark):
+    cube = cubes.build_cube(_fact(spark, ROWS))
+    r = cubes.kpis_of_slice(cube, cubes.axis_range_all(cube), "XX", "Z").first()
+    assert (r["n_days"], r["avg_dau"], r["peak_dau"], r["peak_date"], r["player_days"]) == (4, 0.0, 0, D(2026, 9, 6), 0)
+    r = cubes.kpis_of_slice(cube, cubes.axis_range_all(cube), "All", "W").first()
+    assert (r["avg_dau"], r["peak_dau"], r["peak_date"], r["player_days"]) == (1.25, 2, D(2026, 9, 5), 5)
 
 
 def test_dense_series_and_export(spark):

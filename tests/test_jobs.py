@@ -2,9 +2,10 @@
 
 from datetime import date
 
+import pytest
+from conftest import SF_TINY, as_set, json_lines
 from pyspark.sql import functions as F
 
-from conftest import SF_TINY
 from pulsegrid.config import JobConfig, Window
 from pulsegrid.operators import metrics
 from pulsegrid.operators.activity import build_fact, grain_check
@@ -37,9 +38,36 @@ def test_run_daily_activity_end_to_end(spark, tmp_path):
     assert spark.read.parquet(out.quarantine_path).count() == c["sessions_quarantined"]
     summary = {(r["section"], r["key"]): r["value"] for r in out.summary.collect()}
     assert summary[("counts", "fact_rows")] == len(expected)
-    # re-run: idempotent
+    written = spark.read.option("header", True).csv(out.csv_path)
+    assert written.count() == len(expected)
+    report = spark.read.json(out.report_path).first()
+    assert (report["fact_rows"], report["sessions_loaded"]) == (len(expected), n_sess)
+    # re-run: idempotent, also in the quarantine
     out2 = run_daily_activity(spark, cfg)
     assert out2.fact.count() == len(expected)
+    assert spark.read.parquet(out2.quarantine_path).count() == c["sessions_quarantined"]
+
+
+def test_window_without_valid_sessions(spark, tmp_path):
+    raw = json_lines(tmp_path / "raw.json", (None, "2025-07-04T10:00:00", 1, "tv"))
+    accounts = tmp_path / "accounts.csv"
+    accounts.write_text("user_id,country,created_at,updated_at\n")
+    cfg = JobConfig(window=Window("2025-07-04"), accounts_path=str(accounts), sessions_path=raw,
+                    fact_path=str(tmp_path / "fact"), output_dir=str(tmp_path / "out"))
+    out = run_daily_activity(spark, cfg)
+    assert out.fact.count() == 0 and out.counts["q_null_user_id"] == 1
+    assert ("counts", "fact_rows", 0.0) in as_set(out.summary)
+
+
+def test_broken_fact_table_stops_the_run(spark):
+    from pulsegrid.operators.checks import enforce_fact
+
+    rows = [(date(2025, 7, 4), "a", "NO", "tv"), (date(2025, 7, 4), "b", "NO", "tv")]
+    schema = "activity_date date, user_id string, country string, platform string"
+    enforce_fact(spark.createDataFrame(rows, schema))
+    for bad in (rows[0], (date(2025, 7, 5), "c", None, "tv")):
+        with pytest.raises(ValueError):
+            enforce_fact(spark.createDataFrame([*rows, bad], schema))
 
 
 def test_invariants_on_fixture(spark):

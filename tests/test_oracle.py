@@ -10,9 +10,11 @@ import duckdb
 import pytest
 
 from conftest import SF_TINY
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from pulsegrid.plans.catalog import QUERIES
+from pulsegrid.plans.oracle import ORACLE
 
-NAMES = [n for n in queries() if not n.startswith("stream_")]
+NAMES = [n for n in QUERIES if not n.startswith("stream_")]
 
 
 def _norm(v):
@@ -43,7 +45,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_smoke(spark):
@@ -54,8 +56,8 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF_TINY)
-    res = con.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, SF_TINY)
+    res = con.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _canon(df.columns, df.collect()) == _canon(ocols, res.fetchall())

@@ -2,12 +2,14 @@
 
 import json
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_TINY, session
+from conftest import SF_TINY, as_set, json_lines, members, visits
 from pulsegrid.config import JobConfig, Window
+from pulsegrid.operators.quality import classify_sessions
 from pulsegrid.operators.tables import create_fact_table, write_fact
 from pulsegrid.plans.cube_build import build_cubes
 from pulsegrid.plans.daily_activity import quality_report
@@ -15,36 +17,68 @@ from pulsegrid.plans.hourly_ccu import run_hourly_ccu
 from pulsegrid.sources import fixtures, readers, sinks
 
 
-def test_quality_report_json_has_ordered_quarantine_map(spark, make_sources, tmp_path):
-    acc, sess = make_sources([], [
-        {"user_id": "u", "timestamp": "2026-09-20T10:00:00", "duration": -1, "platform": "W"},
-        {"user_id": "u", "timestamp": "2026-09-20T10:00:00", "duration": -1, "platform": "W"},
-        {"user_id": None, "timestamp": "2026-09-20T10:00:00", "duration": 1, "platform": "W"},
-        {"user_id": "u", "timestamp": "x", "duration": 1, "platform": "W"},
-    ])
-    report = quality_report(readers.read_sessions_json(spark, sess), readers.read_accounts_csv(spark, acc))
-    out = str(tmp_path / "report")
-    sinks.write_quality_report(report, out)
+def test_quality_report_json_has_ordered_quarantine_map(spark, tmp_path):
+    moment = "2025-07-04T10:00:00"
+    raw = visits(spark, ("u", moment, -1.0, "tv"), ("u", moment, -1.0, "tv"), (None, moment, 1.0, "tv"), ("u", "x", 1.0, "tv"))
+    sinks.write_quality_report(quality_report(raw, members(spark)), str(tmp_path / "report"))
     line = open(next((tmp_path / "report").glob("part-*.json"))).read()
     assert '"quarantine":{"negative_duration":2,"null_user_id":1,"invalid_timestamp":1}' in line
     row = json.loads(line)
     assert (row["sessions_loaded"], row["sessions_valid"], row["fact_rows"]) == (4, 0, 0)
 
 
-def test_malformed_json_line_fails_fast_or_is_quarantined(spark, tmp_path):
-    p = tmp_path / "s.ndjson"
-    p.write_text(json.dumps(session("u", "2026-09-20T10:00:00", 1, "W")) + "\n{not json\n\n")
-    with pytest.raises(Exception):
-        readers.read_sessions_json(spark, str(p)).collect()
-    rows = readers.read_sessions_json(spark, str(p), mode="PERMISSIVE").collect()
-    assert len(rows) == 2 and sum(r["user_id"] is None for r in rows) == 1
-
-
-def test_parse_sessions_json_column(spark):
-    df = spark.createDataFrame([('{"user_id": "u", "timestamp": "2026-09-20T10:00:00", "duration": 3, "x": 1}',)],
-                               "value string")
-    row = df.select(readers.parse_sessions_json("value").alias("s")).select("s.*").first()
-    assert (row["user_id"], row["timestamp"], row["duration"], row["platform"]) == ("u", "2026-09-20T10:00:00", 3.0, None)
+def test_one_policy_for_json_lines(spark, tmp_path):
+    path = json_lines(
+        tmp_path / "s.json", ("u", "2025-07-04T10:00:00", 1.5, "tv"), "{not json", "",
+        '{"user_id": 7, "timestamp": "2025-07-04", "duration": "100", "platform": "tv", "more": [1]}',
+        '{"user_id": "v", "timestamp": "2025-07-04", "duration": "long", "platform": "tv"}')
+    raw = readers.read_sessions_json(spark, path)
+    assert as_set(classify_sessions(raw), "user_id", "duration", "dq_reason") == {
+        ("u", 1.5, None), (None, None, "malformed_record"), ("7", 100.0, None), ("v", None, None)}
+    column = spark.read.text(path).where("value <> ''").select(readers.parse_sessions_json("value").alias("s")).select("s.*")
+    assert as_set(readers.session_columns(column), "user_id", "malformed") == as_set(raw, "user_id", "malformed")
+
+
+def test_csv_fields_with_quotes_and_commas(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('user_id,country,created_at,updated_at\nu,"Korea ""S"", The",x,y\nv,,x,y\n')
+    first = readers.read_accounts_csv(spark, str(path))
+    assert as_set(first, "user_id", "country") == {("u", 'Korea "S", The'), ("v", None)}
+    sinks.land_accounts_csv(first, str(tmp_path / "again"))
+    assert as_set(readers.read_accounts_csv(spark, str(tmp_path / "again"))) == as_set(first)
+
+
+def test_typed_parquet_sessions_are_filtered_in_the_scan(spark, tmp_path):
+    path = str(tmp_path / "typed")
+    rows = [("u", datetime(2025, 7, d, 12), 1.0, "tv") for d in (1, 4, 9)] + [("w", None, 1.0, "tv")]
+    spark.createDataFrame(rows, "user_id string, timestamp timestamp_ntz, duration double, platform string").write.parquet(path)
+    got = readers.read_sessions_parquet(spark, path, Window("2025-07-05", "2025-07-03", 0))
+    assert as_set(got, "user_id", "timestamp") == {("u", "2025-07-04T12:00:00"), ("w", None)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(IsNull(timestamp)" in plan
+
+
+def test_quarantine_keeps_every_run(spark, tmp_path):
+    path = str(tmp_path / "bad")
+    rows = lambda *r: spark.createDataFrame(list(r), "user_id string, timestamp string, duration double, platform string, dq_reason string")
+    sinks.write_quarantine(rows((None, "t", 1.0, "tv", "null_user_id"), ("u", "t", -1.0, "tv", "negative_duration")), path, "a")
+    sinks.write_quarantine(rows(("v", None, 1.0, "tv", "null_timestamp")), path, "b")
+    sinks.write_quarantine(rows(("u", "t", -2.0, "tv", "negative_duration")), path, "a")
+    assert as_set(spark.read.parquet(path), "run", "dq_reason", "duration") == {("a", "negative_duration", -2.0), ("b", "null_timestamp", 1.0)}
+
+
+def test_scratch_goes_after_a_load(spark, tmp_path):
+    from pulsegrid.operators.tables import upsert_fact
+    from pulsegrid.session import checkpoint_root, drop_scratch
+
+    area = Path(checkpoint_root(spark).removeprefix("file:")) / "pulsegrid"
+    before = set(area.glob("fact-*"))
+    row = spark.createDataFrame([(date(2025, 7, 4), "u", "NO", "tv")], "activity_date date, user_id string, country string, platform string")
+    for _ in range(2):
+        upsert_fact(spark, row, str(tmp_path / "fact"))
+    assert set(area.glob("fact-*")) == before
+    with pytest.raises(ValueError):
+        drop_scratch(spark, str(tmp_path))
 
 
 def test_fact_ddl_registers_partitioned_table(spark, tmp_path):
@@ -142,6 +176,11 @@ def test_cli_ccu_and_cubes(spark, tmp_path, monkeypatch):
     hourly = spark.read.schema("hour timestamp_ntz, avg_ccu double").option("header", True).csv(
         str(tmp_path / "out" / "hourly_ccu"))
     assert [r["avg_ccu"] for r in hourly.collect()] == [5.0]
-    assert cli.main(["cubes", "--full"]) == 0
+    assert cli.main(["cubes", "--full", "--platforms", "W,Z"]) == 0
+    export = tmp_path / "out" / "export"
+    assert spark.read.json(str(export / "ccu")).count() == 1
+    assert as_set(spark.read.json(str(export / "totals")), "by", "name", "users") == {("country", "DE", 1), ("platform", "W", 1)}
+    assert as_set(spark.read.json(str(export / "lists")), "list", "name", "position") == {
+        ("countries", "DE", 1), ("platforms", "W", 1), ("platforms", "Z", 2)}
     cube = spark.read.parquet(str(tmp_path / "out" / "cube"))
     assert cube.where(F.col("level") == "day").first()["dau"] == 1

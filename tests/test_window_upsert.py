@@ -3,32 +3,32 @@
 from datetime import date
 
 import pytest
-from conftest import session
+from conftest import as_set, json_lines, members, visits
 
 from pulsegrid.config import JobConfig, Window, check_table_name
 from pulsegrid.operators.accounts import latest_account_per_user
 from pulsegrid.operators.activity import build_fact
 from pulsegrid.operators.tables import merge_rows, read_fact_if_exists, upsert_fact
-from pulsegrid.sources.readers import read_accounts_csv, read_sessions_json
+from pulsegrid.sources.readers import read_sessions_json
 
 
 def test_window_arithmetic():
-    w = Window(end_date="2026-09-23", reprocess_days=7)
-    assert w.start_date == date(2026, 8, 25)  # end - 29 days
-    assert w.extract_start == date(2026, 8, 18)
-    assert w.extract_end == date(2026, 9, 24)  # end inclusive -> exclusive end + 1
-    w0 = Window(end_date=date(2026, 9, 23), start_date=date(2026, 9, 20), reprocess_days=0)
-    assert (w0.extract_start, w0.extract_end) == (date(2026, 9, 20), date(2026, 9, 24))
+    w = Window(end_date="2025-03-23", reprocess_days=7)
+    assert w.start_date == date(2025, 2, 22)  # end - 29 days
+    assert w.extract_start == date(2025, 2, 15)
+    assert w.extract_end == date(2025, 3, 24)  # end inclusive -> exclusive end + 1
+    w0 = Window(end_date=date(2025, 3, 23), start_date=date(2025, 3, 20), reprocess_days=0)
+    assert (w0.extract_start, w0.extract_end) == (date(2025, 3, 20), date(2025, 3, 24))
     with pytest.raises(ValueError):
-        Window(end_date="2026-09-23", reprocess_days=-1)
+        Window(end_date="2025-03-23", reprocess_days=-1)
 
 
 def test_config_from_env_precedence():
-    env = {"PULSEGRID_END_DATE": "2026-09-23", "PULSEGRID_REPROCESS_DAYS": "3"}
+    env = {"PULSEGRID_END_DATE": "2025-03-23", "PULSEGRID_REPROCESS_DAYS": "3"}
     cfg = JobConfig.from_env(env)
-    assert cfg.window.reprocess_days == 3 and cfg.window.end_date == date(2026, 9, 23)
-    cfg = JobConfig.from_env(env, end_date="2026-09-30", reprocess_days=0)
-    assert cfg.window.end_date == date(2026, 9, 30) and cfg.window.reprocess_days == 0
+    assert cfg.window.reprocess_days == 3 and cfg.window.end_date == date(2025, 3, 23)
+    cfg = JobConfig.from_env(env, end_date="2025-03-30", reprocess_days=0)
+    assert cfg.window.end_date == date(2025, 3, 30) and cfg.window.reprocess_days == 0
     assert JobConfig.from_env({**env, "PULSEGRID_JDBC_URL": "jdbc:x"}).accounts_format == "jdbc"
 
 
@@ -39,72 +39,72 @@ def test_table_name_guard():
             check_table_name(bad)
 
 
-def test_window_filter_lets_unparseable_through(spark, make_sources):
-    _, sess = make_sources([], [
-        session("u", "2026-09-19T23:59:59", 1, "W"),   # before
-        session("u", "2026-09-20T00:00:00", 1, "W"),   # first instant in
-        session("u", "2026-09-21T23:59:59", 1, "W"),   # last instant of the inclusive end day
-        session("u", "2026-09-22T00:00:00", 1, "W"),   # exclusive end
-        session("u", "not-a-date", 1, "W"),            # passes, to be quarantined
-        session("u", None, 1, "W"),                    # passes, to be quarantined
-    ])
-    w = Window(end_date="2026-09-21", start_date="2026-09-20", reprocess_days=0)
-    got = sorted((r["timestamp"] or "") for r in read_sessions_json(spark, sess, w).collect())
-    assert got == ["", "2026-09-20T00:00:00", "2026-09-21T23:59:59", "not-a-date"]
-
-
-def test_reprocess_days_extend_the_window(spark, make_sources):
-    _, sess = make_sources([], [session("u", "2026-09-15T10:00:00", 1, "W"),
-                                session("u", "2026-09-20T10:00:00", 1, "W")])
-    assert read_sessions_json(spark, sess, Window("2026-09-20", "2026-09-20", 0)).count() == 1
-    assert read_sessions_json(spark, sess, Window("2026-09-20", "2026-09-20", 7)).count() == 2
-
-
-def test_latest_account_per_user(spark, make_sources):
-    acc, _ = make_sources([
-        {"user_id": "a", "country": "DE", "updated_at": "2026-01-01T00:00:00"},
-        {"user_id": "a", "country": "US", "updated_at": "2026-02-01T00:00:00"},   # newer wins
-        {"user_id": "b", "country": "FR", "updated_at": "2026-01-01T00:00:00"},
-        {"user_id": "b", "country": "AT", "updated_at": "2026-01-01T00:00:00"},   # tie -> smaller country
-        {"user_id": "c", "country": "", "updated_at": "2026-01-01T00:00:00"},     # NULL country last
-        {"user_id": "c", "country": "JP", "updated_at": "2026-01-01T00:00:00"},
-        {"user_id": "d", "country": "KR", "updated_at": "garbage"},               # unparseable last
-        {"user_id": "d", "country": "BR", "updated_at": "2020-01-01T00:00:00"},
-    ], [])
-    got = {r["user_id"]: r["country"] for r in latest_account_per_user(read_accounts_csv(spark, acc)).collect()}
-    assert got == {"a": "US", "b": "AT", "c": "JP", "d": "BR"}
-
-
-def _fact(spark, make_sources, accounts, sessions):
-    acc, sess = make_sources(accounts, sessions)
-    return build_fact(read_sessions_json(spark, sess), read_accounts_csv(spark, acc))
-
-
-def test_replace_vs_insert_only(spark, make_sources, tmp_path):
-    s = [session("a", "2026-09-20T10:00:00", 1, "W"), session("b", "2026-09-21T10:00:00", 1, "W")]
-    v1 = _fact(spark, make_sources, [{"user_id": "a", "country": "DE"}, {"user_id": "b", "country": "DE"}], s)
-    s2 = [session("a", "2026-09-20T11:00:00", 1, "W"), session("c", "2026-09-20T11:00:00", 1, "W")]
-    v2 = _fact(spark, make_sources, [{"user_id": "a", "country": "US"}], s2)
-    for mode, expected_a in (("replace", "US"), ("insert_only", "DE")):
-        path = str(tmp_path / f"fact_{mode}")
-        upsert_fact(spark, v1, path, mode=mode)
-        upsert_fact(spark, v2, path, mode=mode)
-        rows = {(r["user_id"], str(r["activity_date"])): r["country"] for r in read_fact_if_exists(spark, path).collect()}
-        assert rows == {("a", "2026-09-20"): expected_a, ("b", "2026-09-21"): "DE", ("c", "2026-09-20"): "UNKNOWN"}
-
-
-def test_untouched_dates_survive_and_bounds_prune(spark, make_sources, tmp_path):
+DAY = "2025-07-{:02d}T{}".format
+
+
+def test_window_keeps_its_days_and_what_has_no_time(spark, tmp_path):
+    path = json_lines(
+        tmp_path / "raw.json",
+        ("z", DAY(9, "23:59:59"), 1, "tv"), ("z", DAY(10, "00:00:00"), 1, "tv"), ("z", DAY(12, "23:59:59"), 1, "tv"),
+        ("z", DAY(13, "00:00:00"), 1, "tv"), ("z", "some day", 1, "tv"), ("z", None, 1, "tv"))
+    got = read_sessions_json(spark, path, Window("2025-07-12", "2025-07-10", 0))
+    assert as_set(got, "timestamp") == {(DAY(10, "00:00:00"),), (DAY(12, "23:59:59"),), ("some day",), (None,)}
+
+
+@pytest.mark.parametrize("look_back, rows", [(0, 1), (2, 2), (30, 3)])
+def test_look_back_widens_the_window(spark, tmp_path, look_back, rows):
+    path = json_lines(tmp_path / "raw.json", *(("z", DAY(d, "08:00:00"), 1, "tv") for d in (1, 8, 10)))
+    assert read_sessions_json(spark, path, Window("2025-07-10", "2025-07-10", look_back)).count() == rows
+
+
+def test_latest_account_per_user(spark):
+    accounts = members(
+        spark,
+        ("newer", "NO", "2024-05-01T00:00:00"), ("newer", "SE", "2024-05-02T00:00:00"),
+        ("tied", "PT", "2024-05-01T00:00:00"), ("tied", "ES", "2024-05-01T00:00:00"),
+        ("blank", None, "2024-05-01T00:00:00"), ("blank", "IS", "2024-05-01T00:00:00"),
+        ("odd", "FI", "last spring"), ("odd", "EE", "2001-01-01T00:00:00"), (None, "LV"))
+    assert as_set(latest_account_per_user(accounts), "user_id", "country") == {
+        ("newer", "SE"), ("tied", "ES"), ("blank", "IS"), ("odd", "EE")}
+
+
+def facts(spark, accounts, *rows):
+    """Fact rows from (user, day) pairs."""
+    return build_fact(visits(spark, *((u, DAY(d, "09:00:00"), 1.0, "tv") for u, d in rows)), members(spark, *accounts))
+
+
+def table(spark, path):
+    return {(r["user_id"], r["activity_date"].day): r["country"] for r in read_fact_if_exists(spark, path).collect()}
+
+
+@pytest.mark.parametrize("mode, kept", [("replace", "SE"), ("insert_only", "NO")])
+def test_modes_differ_in_who_wins(spark, tmp_path, mode, kept):
+    path = str(tmp_path / "fact")
+    upsert_fact(spark, facts(spark, [("ann", "NO"), ("bob", "NO")], ("ann", 1), ("bob", 2)), path, mode=mode)
+    upsert_fact(spark, facts(spark, [("ann", "SE")], ("ann", 1), ("cat", 1)), path, mode=mode)
+    assert table(spark, path) == {("ann", 1): kept, ("bob", 2): "NO", ("cat", 1): "UNKNOWN"}
+
+
+@pytest.mark.parametrize("mode", ["replace", "insert_only"])
+def test_days_far_apart_lose_nothing(spark, tmp_path, mode):
+    """A batch may reach any dates: rows of every date in the table stay."""
+    path = str(tmp_path / "fact")
+    upsert_fact(spark, facts(spark, [], ("ann", 1), ("bob", 1), ("ann", 9), ("ann", 15)), path, mode=mode)
+    upsert_fact(spark, facts(spark, [], ("cat", 1), ("cat", 15), ("cat", 20)), path, mode=mode)
+    assert sorted(table(spark, path)) == [("ann", 1), ("ann", 9), ("ann", 15), ("bob", 1), ("cat", 1), ("cat", 15), ("cat", 20)]
+
+
+def test_empty_batches_and_absent_tables(spark, tmp_path):
     path = str(tmp_path / "fact")
-    old = _fact(spark, make_sources, [], [session("a", "2026-09-01T10:00:00", 1, "W"),
-                                          session("a", "2026-09-20T10:00:00", 1, "W")])
-    upsert_fact(spark, old, path)
-    new = _fact(spark, make_sources, [], [session("b", "2026-09-20T10:00:00", 1, "W")])
-    upsert_fact(spark, new, path, date_bounds=(date(2026, 9, 15), date(2026, 9, 21)))
-    got = sorted((str(r["activity_date"]), r["user_id"]) for r in read_fact_if_exists(spark, path).collect())
-    assert got == [("2026-09-01", "a"), ("2026-09-20", "a"), ("2026-09-20", "b")]
+    assert read_fact_if_exists(spark, path).count() == 0
+    upsert_fact(spark, facts(spark, []), path)
+    assert read_fact_if_exists(spark, path).count() == 0
+    upsert_fact(spark, facts(spark, [], ("ann", 1)), path)
+    upsert_fact(spark, facts(spark, []), path)
+    assert table(spark, path) == {("ann", 1): "UNKNOWN"}
 
 
-def test_merge_rows_rejects_unknown_mode(spark, make_sources):
-    f = _fact(spark, make_sources, [], [])
+def test_unknown_mode(spark):
+    f = facts(spark, [])
     with pytest.raises(ValueError):
         merge_rows(f, f, "upsert_everything")
