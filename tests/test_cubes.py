@@ -1,5 +1,6 @@
 """Cube, axis ranges and KPIs (the dashboard semantics)."""
 
+import re
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -121,3 +122,13 @@ def test_slice_series_zero_fills_axis_days(spark):
     assert got == [(D(2026, 9, 1), 1), (D(2026, 9, 2), 0), (D(2026, 9, 5), 0), (D(2026, 9, 6), 1)]
     got = [r["dau"] for r in cubes.slice_series(cube, cubes.axis_range_last_n(cube, 2), "All", "All").collect()]
     assert got == [2, 1]
+
+
+def test_a_range_prunes_the_stored_cube(spark, tmp_path):
+    from pulsegrid.plans.cube_build import refresh_cube
+
+    cube = refresh_cube(spark, _fact(spark, ROWS), str(tmp_path / "cube"))
+    bounds = cubes.axis_range_custom(cube, D(2026, 9, 2), D(2026, 9, 5))
+    for figures in (cubes.kpis_by_slice(cube, bounds), cubes.kpis_of_slice(cube, bounds, "DE"), cubes.avg_dau_by_platform(cube, bounds)):
+        plan = figures._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*>= 2026-09-02", plan), plan

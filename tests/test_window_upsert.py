@@ -108,3 +108,19 @@ def test_unknown_mode(spark):
     f = facts(spark, [])
     with pytest.raises(ValueError):
         merge_rows(f, f, "upsert_everything")
+
+
+@pytest.mark.parametrize("mode", ["replace", "insert_only"])
+def test_a_load_reads_its_sources_once(spark, tmp_path, mode):
+    path = str(tmp_path / "fact")
+    upsert_fact(spark, facts(spark, [], ("ann", 1), ("ann", 2)), path)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    batch = facts(spark, [], ("bob", 1), ("cat", 2), ("ann", 9))
+    upsert_fact(spark, batch.mapInArrow(counted, batch.schema), path, mode=mode)
+    assert seen.value == 3 and len(table(spark, path)) == 5
