@@ -32,7 +32,7 @@ def _power_table(name: str, base: np.uint64, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1), kept between calls."""
     table = _powers[name]
     while len(table) < n:
-        step = table[-1] * base
+        step = table[-1:] * base
         table = np.concatenate([table, table * step])
         _powers[name] = table
     return table[:n]
