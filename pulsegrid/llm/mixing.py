@@ -34,7 +34,7 @@ MAX_SHARDS = 4_096
 MAX_SOURCES = 10_000
 
 # Documents that one task puts in order when the sources' words are numbered.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 
 # Fixed values of the contract: the weights by rank of the source, the mix's size, the stop.
 WEIGHTS = (3, 1, 2)
