@@ -144,15 +144,14 @@ def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     filt = stage(df.sparkSession, repeated_filter(keys, bits), "exact-filter")
     first = _groups(with_suspicion(keys, filt, bits).where("suspect")).select(
         F.col("sha").alias("_sha"), F.col("first.id").alias("_keep"))
-    hashed = df.select(*(F.col(f"`{c}`") for c in names), digest(F.col(f"`{text_col}`")).alias("sha"))
+    # The whole row is one column from here on, so no name of it can clash.
+    hashed = df.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("whole"), F.col(f"`{id_col}`").alias("id"),
+                       digest(F.col(f"`{text_col}`")).alias("sha"))
     probed = with_suspicion(hashed, filt, bits)
-    clear = probed.where("not suspect")
-    stay = (
-        probed.where("suspect")
-        .join(first, (F.col("sha") == F.col("_sha")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_keep")), "left_semi")
-        .dropDuplicates(["sha"])
-    )
-    return clear.unionByName(stay).select(*(F.col(f"`{c}`") for c in names))
+    clear = probed.where("not suspect").select("whole")
+    same = (F.col("sha") == F.col("_sha")) & F.col("id").eqNullSafe(F.col("_keep"))
+    stay = probed.where("suspect").join(first, same, "left_semi").dropDuplicates(["sha"]).select("whole")
+    return clear.unionByName(stay).select(*(F.col("whole").getField(c).alias(c) for c in names))
 
 
 def op4_exact_dedup(spark, sf_dir: str) -> DataFrame:
