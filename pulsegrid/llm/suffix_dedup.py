@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,10 +34,10 @@ GRAM = 40
 DIGIT = 8
 
 # Occurrences from which an anchor is parted by whole windows.
-OFTEN = 1_000
+OFTEN = 8_000
 
-# Windows that a task sorts at once.
-SORT_WINDOWS = 1 << 18
+# Windows that a task sorts at once, and at most what one anchor has more (under OFTEN rows).
+SORT_WINDOWS = 1 << 19
 
 # Rows of the lists of documents and spans that are broadcast, and joined by shuffle beyond.
 BROADCAST_ROWS = 1 << 20
@@ -109,6 +110,8 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, ends = lists.flatten(), np.asarray(lists.offsets) - lists.offsets[0].as_py()
         of = np.repeat(np.arange(len(batch)), np.diff(ends))
         lo, hi = (np.asarray(flat.field(names.index(c)), np.int64) for c in ("lo", "hi"))
+        order = np.lexsort([lo, of])  # in each row from front to back
+        lo, hi, flat = lo[order], hi[order], flat.take(pa.array(order))
         for a in range(0, len(of), 4096):
             part = slice(a, a + 4096)
             cut = [data[r].as_buffer() for r in range(of[a], of[min(a + 4096, len(of)) - 1] + 1)]
@@ -117,8 +120,8 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             take = pa.array(of[part])
             yield pa.RecordBatch.from_arrays(
                 [flat.field(names.index("key")).slice(a, 4096), ids.take(take), hs.take(take), flat.field(names.index("lo")).slice(a, 4096),
-                 flat.field(names.index("at")).slice(a, 4096), flat.field(names.index("often")).slice(a, 4096), pa.array(pieces, pa.binary())],
-                names=["key", "id", "h", "lo", "at", "often", "bytes"])
+                 flat.field(names.index("at")).slice(a, 4096), pa.array(pieces, pa.binary())],
+                names=["key", "id", "h", "lo", "at", "bytes"])
 
 
 def repeated_windows(raw: np.ndarray, starts: np.ndarray, groups: np.ndarray) -> np.ndarray:
@@ -170,10 +173,12 @@ def _windows(bytes_: pa.Array, lo: np.ndarray, at: np.ndarray) -> tuple[np.ndarr
     return raw, offsets[segment] + inside, segment, lo[segment] + inside, at[segment] - lo[segment] - inside
 
 
-def _spans(ids: pa.Array, hs: pa.Array, segment: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
-    """Runs of repeated windows as spans of bytes of their documents."""
+def _spans(ids: pa.Array, hs: pa.Array, segment: np.ndarray, start: np.ndarray, row: np.ndarray | None = None) -> pa.RecordBatch:
+    """Runs of repeated windows as spans of bytes of their documents. With ``row``, the number
+    of each segment's document, a run goes on through segments that follow each other."""
+    owner = segment if row is None else row[segment]
     fresh = np.ones(len(start), bool)
-    fresh[1:] = (segment[1:] != segment[:-1]) | (start[1:] != start[:-1] + 1)
+    fresh[1:] = (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)
     first = np.flatnonzero(fresh)
     last = np.append(first[1:], len(start))[:len(first)] - 1
     take = pa.array(segment[first])
@@ -191,19 +196,23 @@ def _sort_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         again = repeated_windows(raw, starts, number[segment] * WIDTH + offset)
         return _spans(table["id"].combine_chunks(), table["h"].combine_chunks(), segment[again], first[again])
 
+    def windows_in(segments: pa.Array | pa.ChunkedArray) -> int:
+        return pc.sum(pc.binary_length(segments)).as_py() - (WIDTH - 1) * len(segments) if len(segments) else 0
+
     held: list[pa.Table] = []
     size = 0
     for batch in batches:
         held.append(pa.Table.from_batches([batch]))
-        size += batch.column(6).nbytes
-        if size < SORT_WINDOWS * (WIDTH // 2):
+        size += windows_in(batch.column(5))
+        if size < SORT_WINDOWS:
             continue
         table = pa.concat_tables(held)
         key = np.asarray(table["key"])
         cut = int(np.argmax(key == key[-1]))  # the last anchor may go on in the next batch
         if cut:
             yield solve(table.slice(0, cut))
-        held, size = [table.slice(cut)], table["bytes"].slice(cut).nbytes
+        held = [table.slice(cut)]
+        size = windows_in(held[0]["bytes"])
     if held:
         yield solve(pa.concat_tables(held))
 
@@ -217,9 +226,9 @@ def _part_often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["x", "y", "more", "id", "h", "begin", "end"]
     for batch in batches:
         lo, at = (np.asarray(batch.column(i), np.int64) for i in (3, 4))
-        for a, b, _, _ in byte_slices(batch.column(6)):
+        for a, b, _, _ in byte_slices(batch.column(5)):
             part = batch.slice(a, b - a)
-            raw, starts, segment, first, _ = _windows(part.column(6), lo[a:b], at[a:b])
+            raw, starts, segment, first, _ = _windows(part.column(5), lo[a:b], at[a:b])
             x = K.window_hashes(K.prefix_sums(raw), WIDTH)[starts]
             y = K.window_hashes(K.prefix_sums(255 - raw[::-1]), WIDTH)[len(raw) - WIDTH - starts]
             _, lead, back = np.unique(x ^ K.mix(y), return_index=True, return_inverse=True)
@@ -232,7 +241,9 @@ def _part_often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rest = np.ones(len(starts), bool)
             rest[lead] = False
             if rest.any():
-                spans = _spans(part.column(1), part.column(2), segment[rest], first[rest])
+                turn = [pc.fill_null(pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)), True) for c in part.columns[1:3]]
+                row = np.concatenate([[0], np.cumsum(np.asarray(pc.or_(*turn)))])
+                spans = _spans(part.column(1), part.column(2), segment[rest], first[rest], row)
                 n = len(spans)
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), *spans.columns], names=names)
@@ -286,6 +297,17 @@ def _named(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
 
 
+def _cut_segments(docs: DataFrame, rows: DataFrame, kind: str) -> DataFrame:
+    """``rows`` (anchors) with the bytes of their windows. Only texts that have such anchors
+    are shuffled, and each of them once."""
+    lists = rows.groupBy("id", "h").agg(F.collect_set(F.struct("key", "lo", "hi", "at")).alias("anchors"))
+    asked = stage(docs.sparkSession, rows.select("id", "h").distinct(), "suffix-asked")
+    if asked.count() <= BROADCAST_ROWS:
+        docs = docs.join(F.broadcast(asked), _same(docs, asked), "left_semi")
+    texts = docs.join(lists.hint("merge"), _same(docs, lists)).select(docs["id"], docs["h"], "text", "anchors")
+    return texts.mapInArrow(_segments, f"key long, id {kind}, h long, lo int, at int, bytes binary")
+
+
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, h, begin, end): spans of bytes covered by windows that also start anywhere else;
     spans of one row may overlap."""
@@ -298,16 +320,12 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.mapInArrow(_anchor_rows, f"key long, id {kind}, h long, lo int, hi int, at int")
     left = stage(spark, rows.join(counts.hint("merge"), "key").select(
         "key", "id", "h", "lo", "hi", "at", (F.col("n") >= OFTEN).alias("often")), "suffix-anchors")
-    lists = left.groupBy("id", "h").agg(F.collect_set(F.struct("key", "lo", "hi", "at", "often")).alias("anchors"))
-    asked = stage(spark, left.select("id", "h").distinct(), "suffix-asked")
-    some = docs.join(F.broadcast(asked), _same(docs, asked), "left_semi") if asked.count() <= BROADCAST_ROWS else docs
-    texts = some.join(lists.hint("merge"), _same(some, lists)).select(some["id"], some["h"], "text", "anchors")
-    segments = texts.mapInArrow(
-        _segments, f"key long, id {kind}, h long, lo int, at int, often boolean, bytes binary")
     span = f"id {kind}, h long, begin int, end int"
-    found = segments.where("not often").repartition("key").sortWithinPartitions("key").mapInArrow(_sort_windows, span)
-    if left.where("often").limit(1).count():
-        parted = stage(spark, segments.where("often").mapInArrow(
+    rare = _cut_segments(docs, left.where("not often"), kind)
+    found = rare.repartition("key").sortWithinPartitions("key").mapInArrow(_sort_windows, span)
+    frequent = left.where("often")
+    if frequent.limit(1).count():
+        parted = stage(spark, _cut_segments(docs, frequent, kind).mapInArrow(
             _part_often, f"x long, y long, more boolean, {span}"), "suffix-often")
         again = parted.where("x is not null").groupBy("x", "y").agg(
             F.count("*").alias("n"), F.max("more").alias("any")).where("n > 1 or any")
