@@ -8,7 +8,8 @@ long. The language with the smallest total distance wins.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import unicodedata
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +27,6 @@ MAX_LANGUAGES = 1_000
 
 UNDETERMINED = "und"
 
-# Closeness below which a text is taken for none of the learned languages.
-LEAST_SCORE = 0.3
-
 # Grams of three characters: each character takes 21 bits, 0 where there is none, 1 for the
 # break between two words. A code point is stored as itself + 2.
 _BITS = np.uint64(21)
@@ -42,6 +40,11 @@ def _letters() -> np.ndarray:
     return _LETTER
 
 
+def script(point: int) -> str:
+    """What a letter is written in: the first word of its Unicode name, as LATIN or CJK."""
+    return unicodedata.name(chr(point), "").partition(" ")[0]
+
+
 def gram_runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(grams, first, letters): small numbers of all n-grams of the texts, text by text, where
     each text's begin, and the alphabet that turns the numbers into codes (see `codes`).
@@ -157,9 +160,11 @@ def _counts_batch(lang: str, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
 
 class Profiles:
     """The trained model: for each language the rank of each gram of its profile. At most
-    MAX_LANGUAGES x PROFILE numbers, so it may travel with the tasks."""
+    MAX_LANGUAGES x PROFILE numbers, so it may travel with the tasks, as may the scripts of the
+    letters met in training: there are fewer than Unicode has letters."""
 
-    def __init__(self, rows: list[tuple[str, int, int]]):
+    def __init__(self, rows: list[tuple[str, int, int]], letters: Iterable[int] = ()):
+        self.scripts = frozenset(map(script, letters))
         self.langs = sorted({lang for lang, _, _ in rows})
         number = {lang: i for i, lang in enumerate(self.langs)}
         self.grams = np.unique(np.array([g for _, g, _ in rows], np.uint64))
@@ -182,6 +187,22 @@ class Profiles:
         return self.langs[best], 1.0 - float(apart[best]) / (PROFILE * len(top))
 
 
+def _known_letters(profiles: Profiles) -> np.ndarray:
+    """For each code point whether it is a letter of a script that the training rows are written in."""
+    known = np.zeros(0x110000, bool)
+    if profiles.langs:
+        letters = np.flatnonzero(_letters())
+        known[letters] = [script(p) in profiles.scripts for p in letters.tolist()]
+    return known
+
+
+def determined(texts: list[str], known: np.ndarray) -> np.ndarray:
+    """For each text whether any of its letters is known; the others are ``und``."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32)
+    upto = np.concatenate([[0], np.cumsum(known[points])])[np.cumsum([0, *map(len, texts)])]
+    return upto[1:] > upto[:-1]
+
+
 def learn_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Profiles:
     """Profiles of all languages in ``df``; rows with a null text or language teach nothing.
     Raises ValueError for more than MAX_LANGUAGES languages."""
@@ -191,14 +212,18 @@ def learn_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang"
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = counts.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < PROFILE)
-    return Profiles([(r.lang, r.gram, r["rank"]) for r in top.select("lang", "gram", "rank").collect()])
+    point = F.shiftright("gram", 2 * int(_BITS)).cast("int") - 2
+    alone = F.col("gram").bitwiseAND(F.lit((1 << 2 * int(_BITS)) - 1)) == 0
+    letters = counts.where(alone).select(point.alias("point")).distinct().collect()
+    return Profiles([(r.lang, r.gram, r["rank"]) for r in top.select("lang", "gram", "rank").collect()],
+                    [r.point for r in letters])
 
 
 def identify(df: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(``id_col``, lang_pred, score) for every row of ``df``, from the whole text alone.
 
-    A null text, or one without letters, is ``und`` with score 0, as is everything when no
-    language was learned. Equal distances go to the language first by name. Repeated rows,
+    A null text, one without letters, and one without a letter of any script met in training
+    are ``und`` with score 0, as is everything when no language was learned. Equal distances go to the language first by name. Repeated rows,
     null ids and further columns are left as they are or not read.
     """
     bounded_arrow_batches(df.sparkSession)
@@ -207,12 +232,14 @@ def identify(df: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col
                            T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _known_letters(profiles)
         for batch in batches:
             out: list[tuple[str, float]] = []
-            for _, texts in _text_runs(batch.column(1)):
-                grams, first, letters = gram_runs([t or "" for t in texts])
-                for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-                    out.append(profiles.predict(codes(_most_frequent(grams[a:b]), letters)) if b > a
+            for _, nullable in _text_runs(batch.column(1)):
+                texts = [t or "" for t in nullable]
+                grams, first, letters = gram_runs(texts)
+                for a, b, known_one in zip(first[:-1].tolist(), first[1:].tolist(), determined(texts, known).tolist()):
+                    out.append(profiles.predict(codes(_most_frequent(grams[a:b]), letters)) if known_one
                                else (UNDETERMINED, 0.0))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x for x, _ in out], pa.string()),
@@ -221,18 +248,18 @@ def identify(df: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col
     return narrow.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
-def keep_identified(df: DataFrame, profiles: Profiles, least: float = LEAST_SCORE, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` whose text has a learned language with a closeness of ``least`` or
-    more, all columns as they are. Null texts and texts without letters go. No shuffle."""
+def keep_identified(df: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that ``identify`` does not call ``und``, all columns as they are. How
+    close a text comes to its language depends on its length and alphabet, so it decides
+    nothing here. No shuffle."""
     bounded_arrow_batches(df.sparkSession)
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _known_letters(profiles)
         for batch in batches:
             for a, texts in _text_runs(batch.column(at)):
-                grams, first, letters = gram_runs([t or "" for t in texts])
-                keep = [b > c and profiles.predict(codes(_most_frequent(grams[c:b]), letters))[1] >= least
-                        for c, b in zip(first[:-1].tolist(), first[1:].tolist())]
+                keep = determined([t or "" for t in texts], known)
                 yield batch.slice(a, len(keep)).filter(pa.array(keep, pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

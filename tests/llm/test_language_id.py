@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -66,3 +67,17 @@ def test_odd_rows(spark):
     empty = df.limit(0)
     assert lid.identify(empty, lid.learn_profiles(empty)).count() == 0
     assert {r.lang_pred for r in lid.identify(df, lid.learn_profiles(empty)).collect()} == {"und"}
+
+
+def test_short_texts_and_large_alphabets_stay(spark):
+    rng = random.Random(5)
+    signs = [chr(0x4E00 + i) for i in range(3000)]
+    chinese = lambda n: "".join(rng.choices(signs, [1 / (i + 1) for i in range(3000)], k=n))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("text", "lang").where("lang = 'en'")
+    model = lid.learn_profiles(docs.unionByName(spark.createDataFrame([(chinese(400), "zh") for _ in range(50)], docs.schema)))
+    clean = ["from", "Quick fix for login bug", "x", "Øre", *(chinese(n) for n in (1, 2, 50, 200) for _ in range(30)), chr(0x9FA5)]
+    odd = ["", "12 !!", None, "Все люди рождаются", "これは"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(clean + odd)], "doc_id long, text string")
+    kept = {r.doc_id for r in lid.keep_identified(df, model).collect()}
+    assert kept == set(range(len(clean)))
+    assert {r.doc_id for r in lid.identify(df, model).collect() if r.lang_pred != "und"} == kept
