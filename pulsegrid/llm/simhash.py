@@ -2,14 +2,15 @@
 
 Terms are the word 5-shingles of a text. Each term's 64-bit hash votes for or against every
 bit with the weight of the term, which is how often it occurs; the sign of a bit's votes is
-the fingerprint's bit. Near fingerprints are found in permuted block tables: cut into blocks,
-two fingerprints within the radius agree on all but ``radius`` blocks, so each table puts one
-choice of the other blocks in front as its key, and any near pair meets in a table.
+the fingerprint's bit. Near fingerprints are found in block tables, one for each block of bits
+as its key: of two fingerprints within the radius some block differs in few bits, so a query
+that asks each table for its own key and all keys a few bits off meets any near one.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,8 +20,14 @@ from .common import SPACE, documents, stage
 BITS = 64
 SHINGLE = 5
 
-# Hamming distance within which the search finds all fingerprints.
-RADIUS = 3
+# Hamming distance within which op1 counts fingerprints as near: what texts with a shingle
+# Jaccard similarity of 0.75 have on average. Sets of one size with Jaccard J have the cosine
+# 2J / (1 + J), and a bit differs with probability arccos(cosine) / pi: 64 x 0.172 = 11.
+RADIUS = 11
+
+# Most tables of the search, and what a key asked for costs beside a fingerprint compared.
+MOST_TABLES = 4
+PROBE_COST = 20
 
 # Text that one bucket of neighbouring documents holds; cells are the finer steps from which
 # buckets are put together.
@@ -89,33 +96,45 @@ def likeness(a: Column, b: Column) -> Column:
 # --- Search ---------------------------------------------------------------------------------
 
 
-def block_tables(rows: int, radius: int = RADIUS) -> list[int]:
-    """One mask a table: the bits that are its key. With more blocks the keys are longer and
-    the tables more; enough blocks are taken that few of ``rows`` fingerprints share a key."""
-    blocks = radius + 1
-    while BITS * (blocks - radius) // blocks + 4 < max(rows, 1).bit_length():
-        blocks += 1
-    edge = [BITS * i // blocks for i in range(blocks + 1)]
-    parts = [(1 << edge[i + 1]) - (1 << edge[i]) for i in range(blocks)]
-    return [sum(parts[i] for i in chosen) for chosen in combinations(range(blocks), blocks - radius)]
+def block_tables(rows: int, radius: int) -> list[tuple[int, int, int]]:
+    """(first bit, end bit, bits off) of each table's block: fingerprints at most ``radius`` bits
+    apart are no more than that many bits apart in one of the blocks. Fewer blocks make longer
+    keys, which fewer of ``rows`` fingerprints share, and more keys to ask for."""
+
+    def cut(blocks: int) -> list[tuple[int, int, int]]:
+        each, over = divmod(radius, blocks)
+        edge = [BITS * i // blocks for i in range(blocks + 1)]
+        off = [each if i <= over else each - 1 for i in range(blocks)]
+        return [(a, b, k) for a, b, k in zip(edge[:-1], edge[1:], off, strict=True) if k >= 0]
+
+    def cost(tables: list[tuple[int, int, int]]) -> float:
+        return sum(sum(comb(b - a, i) for i in range(k + 1)) * (PROBE_COST + rows / 2 ** (b - a)) for a, b, k in tables)
 
+    return min(map(cut, range(MOST_TABLES, 1, -1)), key=cost)
 
-def near_fingerprints(index: DataFrame, queries: DataFrame, rows: int, radius: int = RADIUS) -> DataFrame:
+
+def near_fingerprints(index: DataFrame, queries: DataFrame, rows: int, radius: int = 3) -> DataFrame:
     """All pairs (query, found) of fingerprints at most ``radius`` bits apart, equal ones too.
 
     Both sides have one column ``fingerprint`` of distinct values. Each pair comes out once,
     from the first table in which the two meet.
     """
-    masks = [m - (1 << 64) if m >> 63 else m for m in block_tables(rows, radius)]
-    def tabled(df: DataFrame, name: str) -> DataFrame:
-        keys = F.array(*(F.col("fingerprint").bitwiseAND(F.lit(m).cast("long")) for m in masks))
-        return df.select(F.col("fingerprint").alias(name), F.posexplode(keys).alias("table", "key"))
-
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    tables = block_tables(rows, radius)
+    masks = [F.lit(signed((1 << b) - (1 << a))).cast("long") for a, b, _ in tables]
+    flips = [(t, signed(sum(1 << x for x in chosen))) for t, (a, b, k) in enumerate(tables)
+             for n in range(k + 1) for chosen in combinations(range(a, b), n)]
+    probes = index.sparkSession.createDataFrame(flips, "table int, flip long")  # no rows of data: a list by radius
+    mask = F.element_at(F.array(*masks), F.col("table") + 1)
+    left = queries.join(F.broadcast(probes)).select(
+        F.col("fingerprint").alias("query"), "table", F.col("fingerprint").bitwiseAND(mask).bitwiseXOR(F.col("flip")).alias("key"))
+    keys = F.array(*(F.col("fingerprint").bitwiseAND(m) for m in masks))
+    right = index.select(F.col("fingerprint").alias("found"), F.posexplode(keys).alias("table", "key"))
     apart = F.col("query").bitwiseXOR(F.col("found"))
-    first = F.coalesce(*(F.when(apart.bitwiseAND(F.lit(m).cast("long")) == 0, F.lit(i)) for i, m in enumerate(masks)))
-    left, right = tabled(queries, "query").alias("q"), tabled(index, "found").alias("x")
-    return left.join(
-        right,
+    first = F.coalesce(*(F.when(F.bit_count(apart.bitwiseAND(m)) <= k, F.lit(i))
+                         for i, (m, (_, _, k)) in enumerate(zip(masks, tables, strict=True))))
+    return left.alias("q").join(
+        right.alias("x"),
         (F.col("q.table") == F.col("x.table")) & (F.col("q.key") == F.col("x.key"))
         & (F.bit_count(apart) <= radius) & (first == F.col("q.table")),
     ).select("query", "found")

@@ -84,3 +84,31 @@ def test_block_tables_miss_nothing(spark, rows):
     df = spark.createDataFrame(signed, "fingerprint long")
     got = sorted((r.query & ALL, r.found & ALL) for r in sh.near_fingerprints(df, df, rows).collect())
     assert got == sorted((a, b) for a in prints for b in prints if bin(a ^ b).count("1") <= 3)
+
+
+@pytest.mark.parametrize("rows", [10, 1 << 24])
+def test_search_misses_nothing_within_the_radius(spark, rows):
+    rng = random.Random(rows)
+    flip = lambda x, k: x ^ sum(1 << b for b in rng.sample(range(64), k))
+    prints = sorted({flip(x, k) for x in [rng.getrandbits(64) for _ in range(6)] for k in (0, 1, 5, 8, 10, 11, 11, 11, 12, 13)})
+    df = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "fingerprint long")
+    got = sorted((r.query & ALL, r.found & ALL) for r in sh.near_fingerprints(df, df, rows, sh.RADIUS).collect())
+    assert got == sorted((a, b) for a in prints for b in prints if bin(a ^ b).count("1") <= sh.RADIUS)
+
+
+def test_recall_of_edited_copies(spark):
+    """Shares of pairs found, of texts of 404 words whose shingle sets have the given Jaccard."""
+    rng = random.Random(7)
+    word = lambda: f"w{rng.randrange(10 ** 9)}"
+    found = {}
+    for jaccard in (0.75, 0.85, 0.95):
+        kept = round(400 * 2 * jaccard / (1 + jaccard))  # shingles in common, of 400 each
+        rows = []
+        for i in range(150):
+            text = [word() for _ in range(404)]
+            rows.append((i, " ".join(text), " ".join(text[:kept + 4] + [word() for _ in range(400 - kept)])))
+        df = spark.createDataFrame(rows, "id long, a string, b string")
+        prints = sh.fingerprints(df, ["id"], {"x": sh.F.col("a"), "y": sh.F.col("b")}).collect()
+        found[jaccard] = sum(bin((r.x ^ r.y) & ALL).count("1") <= sh.RADIUS for r in prints) / len(prints)
+    print(found)
+    assert found[0.75] > 0.45 and found[0.85] > 0.8 and found[0.95] > 0.98
