@@ -9,6 +9,8 @@ line or in its own paragraph of a longer document is found too.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +84,24 @@ SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PRO
 SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
 WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
 THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+""",
+    "Unlicense": """
+This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
+as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to
+the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity
+of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org>
 """,
     "Zlib": """
 This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable
@@ -122,10 +142,43 @@ You should have received a copy of the GNU General Public License along with thi
 """,
 }
 
+TEXTS["BSD-3-Clause"] = TEXTS["BSD-2-Clause"].replace("\n\nTHIS SOFTWARE IS", """
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS""")
+
+# Title lines that LICENSE files put before the text.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "BSD-2-Clause": [
+        "BSD 2-Clause License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License", "Simplified BSD License",
+        "FreeBSD License", "BSD License"],
+    "BSD-3-Clause": [
+        "BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License", "New BSD License",
+        "Modified BSD License", "Revised BSD License", "BSD License"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+
+# (licences, pattern of a passage, what stands there in other editions): each edition is known as well.
+EDITIONS = [
+    (["BSD-2-Clause", "BSD-3-Clause", "Zlib"], r"(?m)^[0-9]\. ", "* "),
+    (["BSD-2-Clause", "BSD-3-Clause"], r"COPYRIGHT HOLDER OR", "COPYRIGHT OWNER OR"),
+    (["ISC"], r"and/or distribute", "and distribute"),
+    (["Unlicense"], r"<https://unlicense\.org>", "<http://unlicense.org>"),
+    (["Unlicense"], r"<https://unlicense\.org>", "<http://unlicense.org/>"),
+]
+
 # Canonical form: (pattern, replacement), applied in this order to the lower-cased text. Both
 # regular-expression dialects in use (Java's and RE2) read these alike.
 RULES = [
+    # Wrapped lines of a text may begin with these words too: marked, so that they are no copyright lines.
+    (r"copyright[ \t]+(holder|notice|owner|interest|law|licen|protect|in |or |and |is |are )", r"copyright-$1"),
     (r"(^|\n)[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[^\n]*([0-9]{4}|\(c\)|©)[^\n]*", r"$1"),  # copyright lines
+    (r"(^|\n)[^\p{L}\p{N}\n]*copyright(:|[ \t])[ \t]*[\p{L}<\[{][^\n]*", r"$1"),  # those without a year
     (r"(^|\n)[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*(\n|$)", r"$1"),
     (r"[^\p{L}\p{N}\n]+", " "),  # punctuation and white space, lines kept apart
     (r"https? www", "www"),
@@ -139,12 +192,17 @@ BLANK_LINE = r"\n[ \n]*\n"
 
 
 def known_texts() -> list[tuple[str, str]]:
-    """(licence, text): the notices that the sentences make of the names, and the texts."""
+    """(licence, text): the notices that the sentences make of the names, and the texts in
+    their editions, without a title and with each."""
     notices = {
         (licence, s.format(the=the, name=name))
         for licence, names in NAMES.items() for name in names for s in SENTENCES for the in ("", "the ")
     }
-    return sorted(notices) + sorted((k, v.strip()) for k, v in TEXTS.items())
+    texts = {(k, v.strip()) for k, v in TEXTS.items()}
+    for licences, passage, other in EDITIONS:
+        texts |= {(k, re.sub(passage, other, t)) for k, t in texts if k in licences}
+    titled = {(k, f"{title}\n\n{t}") for k, t in texts for title in TITLES.get(k, ())}
+    return sorted(notices) + sorted(texts | titled)
 
 
 def canonical(text: Column) -> Column:
