@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .exact_dedup import OP4_SQL, op4_exact_dedup
+from .filter_audit import OP13_SQL, op13_filter_audit
 from .jaccard_join import op9_jaccard_join
 from .language_id import op3_language_id
 from .license_scan import OP10_SQL, op10_license_scan
+from .line_dedup import OP11_SQL, op11_line_dedup
 from .lm_score import op6_lm_score
 from .mixing import op8_mixing
 from .sentencepiece_ids import op5_sentencepiece
@@ -33,9 +35,13 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_license_scan": op10_license_scan,
+    "op11_line_dedup": op11_line_dedup,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE = {
     "op4_exact_dedup": OP4_SQL,
     "op10_license_scan": OP10_SQL,
+    "op11_line_dedup": OP11_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
