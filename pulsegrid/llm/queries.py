@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .conversation_repair import OP12_SQL, op12_conversation_repair
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .filter_audit import OP13_SQL, op13_filter_audit
 from .jaccard_join import op9_jaccard_join
@@ -36,6 +37,7 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_license_scan": op10_license_scan,
     "op11_line_dedup": op11_line_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -43,5 +45,6 @@ ORACLE = {
     "op4_exact_dedup": OP4_SQL,
     "op10_license_scan": OP10_SQL,
     "op11_line_dedup": OP11_SQL,
+    "op12_conversation_repair": OP12_SQL,
     "op13_filter_audit": OP13_SQL,
 }
