@@ -70,6 +70,8 @@ class JobConfig:
     jdbc_password: str | None = None
     jdbc_partitions: int = 8
     fact_path: str | None = None
+    fact_table: str | None = None  # a catalog table: loads are then published through the catalog
+    raw_path: str | None = None
     quarantine_path: str | None = None
     output_dir: str | None = None
     upsert_mode: str = "replace"  # replace | insert_only
@@ -97,6 +99,8 @@ class JobConfig:
             jdbc_user=env.get("PULSEGRID_JDBC_USER"),
             jdbc_password=env.get("PULSEGRID_JDBC_PASSWORD"),
             fact_path=env.get("PULSEGRID_FACT_PATH"),
+            fact_table=check_table_name(env["PULSEGRID_FACT_TABLE"]) if env.get("PULSEGRID_FACT_TABLE") else None,
+            raw_path=env.get("PULSEGRID_RAW_PATH"),
             quarantine_path=env.get("PULSEGRID_QUARANTINE_PATH"),
             output_dir=env.get("PULSEGRID_OUTPUT_DIR"),
             upsert_mode=env.get("PULSEGRID_UPSERT_MODE", "replace"),

@@ -57,6 +57,12 @@ CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
 # Files one micro-batch of a stream takes at most.
 MAX_FILES_PER_TRIGGER = 1_000
 
+# Why a CCU minute cannot be used: it belongs to no hour, or its value is no number.
+CCU_REJECTS = ("bad_time", "bad_value")
+
+# Hours that the watermark of the hourly CCU stream waits for minutes that come late.
+CCU_LATENESS_HOURS = 2
+
 # Blank = only space separators (``\z``, not ``$``, so a lone newline is not blank).
 BLANK_PATTERN = r"^\p{Zs}*\z"
 

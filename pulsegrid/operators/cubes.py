@@ -15,10 +15,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.constants import DAYS_PER_YEAR, UNKNOWN_COUNTRY
+from pulsegrid.operators.numbering import number_rows
 
 # Cube level names by grouping id over (activity_date, country, platform).
 LEVEL_DAY = "day"
@@ -65,16 +66,14 @@ def axis_meta(fact: DataFrame) -> DataFrame:
 
 
 def _ranked(present: DataFrame, name: str, order: list[str] | None) -> DataFrame:
-    """``(name, position)`` of a distinct list: in the given order, else by name. The window
-    holds one row for each distinct value; with an order, no more than the order has."""
-    key = F.col(name)
+    """``(name, position)`` of a distinct list: in the given order, else by name. Numbered by ranges, so a list of any length
+    passes through no single task."""
+    by = [name]
     if order:
         places = F.array(*[F.lit(x) for x in dict.fromkeys(order)])
-        present = present.where(key.isin(list(order)))
-        by = [F.array_position(places, key)]
-    else:
-        by = [key]
-    return present.select(name, F.row_number().over(Window.orderBy(*by)).cast("int").alias("position")).orderBy("position")
+        present = present.where(F.col(name).isin(list(order))).withColumn("place", F.array_position(places, F.col(name)))
+        by = ["place"]
+    return number_rows(present, by).select(name, F.col("position").cast("int").alias("position")).orderBy("position")
 
 
 def country_allow_list(cube: DataFrame, allow: list[str] | None = None) -> DataFrame:

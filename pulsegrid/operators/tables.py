@@ -12,6 +12,8 @@ task from the staged copy.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +25,7 @@ from pulsegrid.session import drop_scratch, path_exists, scratch_path
 FACT_SORT = ["activity_date", "country", "platform", "user_id"]
 
 # Fixed value: DDL of the fact table for catalog-managed deployments (K8). Parquet tables
-# enforce neither uniqueness nor NOT NULL; the run job checks both (``enforce_fact``).
+# enforce neither uniqueness nor NOT NULL; loads check both before they commit (``enforce_fact``).
 FACT_DDL = """CREATE TABLE IF NOT EXISTS {name} (
   activity_date DATE NOT NULL,
   user_id STRING NOT NULL,
@@ -109,7 +111,7 @@ def merge_rows(new: DataFrame, old: DataFrame, mode: str = "replace") -> DataFra
     raise ValueError(f"unknown upsert mode {mode!r}")
 
 
-def _touched(old: DataFrame, batch: DataFrame, partition_by: str) -> DataFrame:
+def touched_partitions(old: DataFrame, batch: DataFrame, partition_by: str) -> DataFrame:
     """The rows of ``old`` in the partitions that ``batch`` (a written table) has rows for: a
     static filter on its least and greatest value, then exactly its values."""
     ends = batch.agg(F.min(partition_by).alias("a"), F.max(partition_by).alias("b")).first()
@@ -130,8 +132,11 @@ def _commit(spark: SparkSession, path: str, scratch: list[str], write) -> None:
     spark.catalog.refreshByPath(path)
 
 
-def upsert_fact(spark: SparkSession, new: DataFrame, path: str, mode: str = "replace") -> None:
-    """Load a batch into the fact table at ``path``.
+def upsert_fact(spark: SparkSession, new: DataFrame, path: str, mode: str = "replace",
+                audit: Callable[[DataFrame], None] | None = None) -> None:
+    """Load a batch into the fact table at ``path``. ``audit`` sees the rows that the touched
+    dates are about to have; if it raises, the table stays as it is. (``publish.publish_load``
+    does the same through the catalog, a whole date at a time.)
 
     The batch is written once to scratch; its dates, its keys and its rows are read from there,
     so its sources are scanned once. Only the dates it has rows for are read and replaced, and
@@ -141,15 +146,21 @@ def upsert_fact(spark: SparkSession, new: DataFrame, path: str, mode: str = "rep
     new.select(*FACT_COLUMNS).write.mode("overwrite").parquet(batch_path)
     batch = spark.read.schema(FACT_SCHEMA).parquet(batch_path)
     old = _existing(spark, path, FACT_COLUMNS)
+    scratch, merged = [batch_path], batch
     if batch.isEmpty():
         drop_scratch(spark, batch_path)
-    elif old is None:
-        _commit(spark, path, [batch_path], lambda: write_fact(batch, path))
-    else:
-        merged_path = scratch_path(spark, "fact-merge")
-        merge_rows(batch, _touched(old, batch, "activity_date"), mode).write.mode("overwrite").parquet(merged_path)
-        merged = spark.read.schema(FACT_SCHEMA).parquet(merged_path)
-        _commit(spark, path, [batch_path, merged_path], lambda: write_fact(merged, path))
+        return
+    if old is not None:
+        scratch.append(scratch_path(spark, "fact-merge"))
+        merge_rows(batch, touched_partitions(old, batch, "activity_date"), mode).write.mode("overwrite").parquet(scratch[1])
+        merged = spark.read.schema(FACT_SCHEMA).parquet(scratch[1])
+    if audit is not None:
+        try:
+            audit(merged)
+        except BaseException:
+            drop_scratch(spark, *scratch)
+            raise
+    _commit(spark, path, scratch, lambda: write_fact(merged, path))
 
 
 def replace_rows(
@@ -173,7 +184,7 @@ def replace_rows(
         return
     old = _existing(spark, path, cols)
     if old is not None:
-        kept = _touched(old, rows, partition_by).join(rows.select(*keys), keys, "left_anti")
+        kept = touched_partitions(old, rows, partition_by).join(rows.select(*keys), keys, "left_anti")
         scratch.append(scratch_path(spark, "merge"))
         rows.unionByName(kept).write.mode("overwrite").parquet(scratch[1])
         rows = spark.read.schema(schema).parquet(scratch[1]).select(*cols)
@@ -190,7 +201,7 @@ def append_new_keys(spark: SparkSession, new: DataFrame, path: str, keys: list[s
     cols = new.columns
     added_path = scratch_path(spark, "added")
     old = None if new.isEmpty() else _existing(spark, path, cols)
-    fresh = new if old is None else new.join(_touched(old, new, partition_by).select(*keys), keys, "left_anti")
+    fresh = new if old is None else new.join(touched_partitions(old, new, partition_by).select(*keys), keys, "left_anti")
     fresh.select(*cols).write.mode("overwrite").parquet(added_path)
     added = spark.read.schema(new.schema).parquet(added_path)
     if not added.isEmpty():

@@ -9,6 +9,7 @@ Queries that exercise writes (upserts, round trips, streams) write under
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +17,16 @@ from pyspark.sql import functions as F
 from pulsegrid.functions.predicates import event_time_window
 from pulsegrid.functions.timestamps import parse_event_time
 from pulsegrid.operators import ccu as ccu_ops
-from pulsegrid.operators import checks, cubes, metrics, quality
+from pulsegrid.operators import bitmaps, checks, cubes, metrics, quality
 from pulsegrid.operators.accounts import latest_account_per_user
 from pulsegrid.operators.activity import build_fact, build_fact_from_valid, grain_check
+from pulsegrid.operators.numbering import number_rows
+from pulsegrid.operators.publish import changes, create_published_fact, publish_load
 from pulsegrid.operators.tables import export_fact_csv, read_fact_if_exists, upsert_fact, write_fact
 from pulsegrid.config import Window
 from pulsegrid.constants import CSV_DIALECT
 from pulsegrid.plans import scenarios as S
-from pulsegrid.plans.cube_build import build_cubes
+from pulsegrid.plans.cube_build import build_cubes, follow_loads
 from pulsegrid.plans.daily_activity import quality_report, run_summary
 from pulsegrid.schemas import FACT_COLUMNS, FACT_SCHEMA, SESSION_FIELDS
 from pulsegrid.session import prepare_session, scratch_path, stage
@@ -306,6 +309,15 @@ def sessions_json_policy(spark, sf_dir):
     return quality.classify_sessions(readers.read_sessions_json(spark, path)).select(*SESSION_FIELDS, "dq_reason")
 
 
+def session_records(spark, sf_dir):
+    """The same documents as records of a message bus: parsed, written as records again, those parsed and classified.
+    Malformed records come through raw."""
+    prepare_session(spark)
+    records = fixtures.session_lines_from_events(fixtures.table(spark, sf_dir, "events"))
+    sent_on = stage(spark, sinks.session_records(readers.sessions_from_records(records)), "session-records")
+    return quality.classify_sessions(readers.sessions_from_records(sent_on)).select(*SESSION_FIELDS, "dq_reason")
+
+
 # ---- CCU ----
 
 def ccu_hourly(spark, sf_dir):
@@ -562,6 +574,153 @@ def stream_dau(spark, sf_dir):
     return run_dau_stream(spark, landing, max_files_per_trigger=S.STREAM_FILES)
 
 
+# ---- loads through the catalog: checked publish, change feed, bitmaps ----
+
+def _published_table(spark) -> str:
+    """A fact table of its own in the catalog."""
+    import uuid
+
+    prepare_session(spark)
+    table = f"fact_{uuid.uuid4().hex[:12]}"
+    create_published_fact(spark, table, scratch_path(spark, "published"))
+    return table
+
+
+def _publish_two_loads(spark, sf_dir, mode: str) -> str:
+    table = _published_table(spark)
+    for window, snapshot in ((S.FIRST_LOAD, 1), (S.SECOND_LOAD, 2)):
+        publish_load(spark, build_fact(_windowed(_sessions(spark, sf_dir), window), _accounts(spark, sf_dir, snapshot)), table, mode)
+    return table
+
+
+def fact_publish_checked(spark, sf_dir):
+    """K9: the two overlapping loads written beside the table, audited, published, and read through the catalog."""
+    return spark.table(_publish_two_loads(spark, sf_dir, "replace")).select(*FACT_COLUMNS)
+
+
+def fact_publish_insert_only(spark, sf_dir):
+    """K10 through the catalog."""
+    return spark.table(_publish_two_loads(spark, sf_dir, "insert_only")).select(*FACT_COLUMNS)
+
+
+def _follow_scattered(spark, sf_dir):
+    """A load of a window, then one of days scattered inside and outside it with the second accounts snapshot; cube,
+    bitmaps and export follow each load's changed days."""
+    table, base = _published_table(spark), scratch_path(spark, "followed")
+    sessions = _sessions(spark, sf_dir)
+    first = build_fact(_windowed(sessions, S.FIRST_LOAD), _accounts(spark, sf_dir))
+    second = build_fact(sessions, _accounts(spark, sf_dir, 2)).where(F.col("activity_date").isin(S.SCATTERED))
+    for batch in (first, second):
+        publish_load(spark, batch, table)
+        out = follow_loads(spark, table, base, S.ALLOW_LIST, S.PLATFORMS)
+    return table, out
+
+
+def change_feed(spark, sf_dir):
+    """The days that each of the two loads changed, with their rows before and after; loads numbered in order."""
+    table, _ = _follow_scattered(spark, sf_dir)
+    feed = changes(spark, table)
+    numbered = number_rows(feed.select("load").distinct(), ["load"], name="load_number")
+    return feed.join(numbered, "load").select(F.col("load_number").cast("int").alias("load_number"), "activity_date", "rows_before", "rows_after")
+
+
+def cube_follow_changes(spark, sf_dir):
+    """The cube after loads of scattered days equals the cube of the final fact."""
+    return _follow_scattered(spark, sf_dir)[1].cube
+
+
+def export_follow_totals(spark, sf_dir):
+    """The exported totals, from the bitmaps."""
+    return spark.read.schema("by string, name string, users long").json(f"{_follow_scattered(spark, sf_dir)[1].export_path}/totals")
+
+
+def export_follow_meta(spark, sf_dir):
+    """A17 from the cube's axis and the bitmaps."""
+    return spark.read.schema("min_date date, max_date date, n_days long, span_years double, total_users long, unknown_users long").json(
+        f"{_follow_scattered(spark, sf_dir)[1].export_path}/meta")
+
+
+def _bitmaps(spark, sf_dir) -> DataFrame:
+    return bitmaps.refresh_bitmaps(spark, stage(spark, _fact(spark, sf_dir), "fact"), scratch_path(spark, "bitmaps"))
+
+
+def bitmap_users_total(spark, sf_dir):
+    """A4 from daily bitmaps: over all days, over a range, and there by country, platform and both."""
+    b = _bitmaps(spark, sf_dir)
+    asked = {"all": (), "range": (S.FILTER_START, S.FILTER_END), "country": (S.FILTER_START, S.FILTER_END, S.FILTER_COUNTRY),
+             "platform": (S.FILTER_START, S.FILTER_END, None, S.FILTER_PLATFORM),
+             "both": (S.FILTER_START, S.FILTER_END, S.FILTER_COUNTRY, S.FILTER_PLATFORM)}
+    rows = [bitmaps.distinct_users(b, *args).select(F.lit(name).alias("asked"), "distinct_users") for name, args in asked.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def bitmap_by_country_range(spark, sf_dir):
+    return bitmaps.users_by(_bitmaps(spark, sf_dir), "country", S.FILTER_START, S.FILTER_END)
+
+
+def bitmap_by_platform_range(spark, sf_dir):
+    return bitmaps.users_by(_bitmaps(spark, sf_dir), "platform", S.FILTER_START, S.FILTER_END)
+
+
+def bitmap_known_countries(spark, sf_dir):
+    return bitmaps.users_by(_bitmaps(spark, sf_dir), "country", exclude_unknown=True)
+
+
+def stream_fact_state(spark, sf_dir):
+    """T2 with bounded state, in several micro-batches, in the order the files were written."""
+    from pulsegrid.streaming.fact_state import run_fact_state_stream
+
+    prepare_session(spark)
+    landing = scratch_path(spark, "state-sessions")
+    sinks.land_sessions_jsonl(_sessions(spark, sf_dir), landing)
+    return run_fact_state_stream(spark, landing, _accounts(spark, sf_dir), scratch_path(spark, "state-fact"),
+                                 max_files_per_trigger=S.STREAM_FILES)
+
+
+def _in_waves(spark, rows: DataFrame, time: str, write) -> list:
+    """What happened in the days of the first wave lands first, all the rest after it."""
+    first = F.coalesce(F.col(time).between(F.lit(S.FIRST_WAVE[0]), F.lit(S.FIRST_WAVE[1])), F.lit(False))
+    return [lambda: write(rows.where(first)), lambda: write(rows.where(~first))]
+
+
+def stream_fact_late(spark, sf_dir):
+    """Sessions that come later than the look-back, by day; they are in the fact all the same."""
+    from pulsegrid.streaming.fact_state import late_sessions, run_fact_state_stream
+
+    prepare_session(spark)
+    landing, base = scratch_path(spark, "state-sessions"), scratch_path(spark, "state-fact")
+    sessions = _sessions(spark, sf_dir).withColumn("day", parse_event_time("timestamp").cast("date"))
+    for land in _in_waves(spark, sessions, "day", lambda rows: rows.select(*SESSION_FIELDS).write.mode("append").json(landing)):
+        land()
+        run_fact_state_stream(spark, landing, _accounts(spark, sf_dir), base, look_back=S.STREAM_LOOK_BACK)
+    return late_sessions(spark, base)
+
+
+def stream_ccu_event_time(spark, sf_dir):
+    """T3 in event time: ten files, each with minutes of every day, so most come late."""
+    from pulsegrid.streaming.ccu_hours import run_ccu_hours_stream
+
+    prepare_session(spark)
+    landing = scratch_path(spark, "hours-ccu")
+    fixtures.raw_ccu_from_events(fixtures.table(spark, sf_dir, "events")).repartition(10, "ccu") \
+        .write.options(**CSV_DIALECT).csv(landing)
+    return run_ccu_hours_stream(spark, landing, scratch_path(spark, "hours"), max_files_per_trigger=4)
+
+
+def stream_ccu_corrections(spark, sf_dir):
+    """Every hour with its mean, its minutes, and how many of them came late."""
+    from pulsegrid.streaming.ccu_hours import hour_states, run_ccu_hours_stream
+
+    prepare_session(spark)
+    landing, base = scratch_path(spark, "hours-ccu"), scratch_path(spark, "hours")
+    raw = fixtures.raw_ccu_from_events(fixtures.table(spark, sf_dir, "events"), dirty=True).withColumn(
+        "day", parse_event_time("timestamp").cast("date"))
+    for land in _in_waves(spark, raw, "day", lambda rows: rows.drop("day").write.mode("append").options(**CSV_DIALECT).csv(landing)):
+        land()
+        run_ccu_hours_stream(spark, landing, base)
+    return hour_states(spark, base).drop("is_open")
+
+
 QUERIES: dict[str, Query] = {
     "dau_daily": dau_daily,
     "dau_daily_filtered": dau_daily_filtered,
@@ -626,7 +785,22 @@ QUERIES: dict[str, Query] = {
     "stream_fact": stream_fact,
     "stream_ccu_hourly": stream_ccu_hourly,
     "stream_dau": stream_dau,
+    "fact_publish_checked": fact_publish_checked,
+    "fact_publish_insert_only": fact_publish_insert_only,
+    "change_feed": change_feed,
+    "cube_follow_changes": cube_follow_changes,
+    "export_follow_totals": export_follow_totals,
+    "export_follow_meta": export_follow_meta,
+    "bitmap_users_total": bitmap_users_total,
+    "bitmap_by_country_range": bitmap_by_country_range,
+    "bitmap_by_platform_range": bitmap_by_platform_range,
+    "bitmap_known_countries": bitmap_known_countries,
+    "stream_fact_state": stream_fact_state,
+    "stream_fact_late": stream_fact_late,
+    "stream_ccu_event_time": stream_ccu_event_time,
+    "stream_ccu_corrections": stream_ccu_corrections,
     "sessions_json_policy": sessions_json_policy,
+    "session_records": session_records,
     "ccu_hourly_dirty_csv": ccu_hourly_dirty_csv,
     "ccu_reject_counts": ccu_reject_counts,
     "roundtrip_accounts_csv_quoted": roundtrip_accounts_csv_quoted,

@@ -10,6 +10,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pulsegrid.config import Window
+from pulsegrid.constants import CCU_LATENESS_HOURS
 from pulsegrid.plans import scenarios as S
 from pulsegrid.schemas import DQ_REASONS
 from pulsegrid.sources import fixtures as FX
@@ -270,6 +271,14 @@ def _two_loads_sql(mode: str) -> str:
     return with_ctes(*_two_loads_ctes(mode)) + "SELECT activity_date, user_id, country, platform FROM fact\n"
 
 
+_SCATTERED = "activity_date IN (" + ", ".join(_d(d) for d in S.SCATTERED) + ")"
+# The table after FIRST_LOAD and a batch of scattered days with the second snapshot.
+_SCATTERED_CTES = [
+    SESSIONS_CTE, accounts_cte("_s1", 1), accounts_cte("_s2", 2), classified_cte(), window_cte("win1", S.FIRST_LOAD),
+    classified_cte("classified1", "win1"), fact_cte("batch1", "classified1", "accounts_one_s1"), fact_cte("every_day", "classified", "accounts_one_s2"),
+    f"""
+fact AS (SELECT * FROM every_day WHERE {_SCATTERED} UNION ALL SELECT * FROM batch1 WHERE NOT ({_SCATTERED}))"""]
+
 FACT_SQL = BASE + "SELECT activity_date, user_id, country, platform FROM fact\n"
 
 _Q_COLS = ", ".join(f"COUNT(*) FILTER (WHERE dq_reason = '{r}') AS q_{r}" for r in DQ_REASONS)
@@ -359,6 +368,7 @@ FROM classified{i} WHERE dq_reason IS NOT NULL""" for i, w in ((1, S.FIRST_LOAD)
 
 ORACLE: dict[str, str] = {
     "sessions_json_policy": JSON_POLICY_SQL,
+    "session_records": JSON_POLICY_SQL,
     "ccu_hourly_dirty_csv": _ccu_sql("AND " + _USABLE),
     "ccu_reject_counts": f"""
 SELECT IF(event_id % {FX.BAD_MINUTE_EVERY} = 0, 'bad_time', 'bad_value') AS reject, COUNT(*) AS n FROM events WHERE NOT ({_USABLE}) GROUP BY 1""",
@@ -504,5 +514,45 @@ WHERE ts IS NOT NULL AND user_id IS NOT NULL AND length(user_id) > 0
     "run_summary": RUN_SUMMARY_SQL,
     "stream_fact": FACT_SQL,
     "stream_ccu_hourly": CCU_SQL,
+    "fact_publish_checked": _two_loads_sql("replace"),
+    "fact_publish_insert_only": _two_loads_sql("insert_only"),
+    "change_feed": with_ctes(*_SCATTERED_CTES) + f"""
+, before AS (SELECT activity_date, COUNT(*) AS n FROM batch1 GROUP BY 1)
+, after AS (SELECT activity_date, COUNT(*) AS n FROM fact GROUP BY 1)
+SELECT 1 AS load_number, activity_date, CAST(0 AS BIGINT) AS rows_before, n AS rows_after FROM before
+UNION ALL
+SELECT 2, a.activity_date, COALESCE(b.n, 0), a.n FROM after a LEFT JOIN before b USING (activity_date)
+WHERE a.activity_date IN (SELECT activity_date FROM (SELECT * FROM every_day WHERE {_SCATTERED} EXCEPT SELECT * FROM batch1))""",
+    "cube_follow_changes": with_ctes(*_SCATTERED_CTES, CUBE_CTE) + "SELECT activity_date, level, country, platform, dau FROM cube",
+    "export_follow_totals": with_ctes(*_SCATTERED_CTES) + """
+SELECT 'country' AS "by", country AS name, COUNT(DISTINCT user_id) AS users FROM fact WHERE country <> 'UNKNOWN' GROUP BY 2
+UNION ALL SELECT 'platform', platform, COUNT(DISTINCT user_id) FROM fact GROUP BY 2""",
+    "export_follow_meta": with_ctes(*_SCATTERED_CTES) + """
+SELECT MIN(activity_date) AS min_date, MAX(activity_date) AS max_date, COUNT(DISTINCT activity_date) AS n_days,
+       ROUND(COUNT(DISTINCT activity_date) / 365.25, 1) AS span_years, COUNT(DISTINCT user_id) AS total_users,
+       COUNT(DISTINCT user_id) FILTER (country = 'UNKNOWN') AS unknown_users FROM fact""",
+    "bitmap_users_total": BASE + f"""
+SELECT 'all' AS asked, COUNT(DISTINCT user_id) AS distinct_users FROM fact
+UNION ALL SELECT 'range', COUNT(DISTINCT user_id) FROM fact WHERE {_FILTERS}
+UNION ALL SELECT 'country', COUNT(DISTINCT user_id) FROM fact WHERE {_FILTERS} AND country = '{S.FILTER_COUNTRY}'
+UNION ALL SELECT 'platform', COUNT(DISTINCT user_id) FROM fact WHERE {_FILTERS} AND platform = '{S.FILTER_PLATFORM}'
+UNION ALL SELECT 'both', COUNT(DISTINCT user_id) FROM fact WHERE {_FILTERS} AND country = '{S.FILTER_COUNTRY}' AND platform = '{S.FILTER_PLATFORM}'""",
+    "bitmap_by_country_range": BASE + f"SELECT country, COUNT(DISTINCT user_id) AS dau FROM fact WHERE {_FILTERS} GROUP BY 1",
+    "bitmap_by_platform_range": BASE + f"SELECT platform, COUNT(DISTINCT user_id) AS dau FROM fact WHERE {_FILTERS} GROUP BY 1",
+    "bitmap_known_countries": BASE + "SELECT country, COUNT(DISTINCT user_id) AS dau FROM fact WHERE country <> 'UNKNOWN' GROUP BY 1",
+    "stream_fact_state": FACT_SQL,
+    "stream_fact_late": with_ctes(SESSIONS_CTE, classified_cte(), f"""
+valid AS (SELECT ts, CAST(ts AS DATE) BETWEEN {_d(S.FIRST_WAVE[0])} AND {_d(S.FIRST_WAVE[1])} AS early FROM classified WHERE dq_reason IS NULL)""") + f"""
+SELECT 'late' AS route, CAST(ts AS DATE) AS event_date, COUNT(*) AS n FROM valid
+WHERE NOT early AND ts < (SELECT MAX(ts) FROM valid WHERE early) - INTERVAL {S.STREAM_LOOK_BACK.days} DAY GROUP BY 2""",
+    "stream_ccu_event_time": CCU_SQL,
+    "stream_ccu_corrections": f"""
+WITH usable AS (SELECT date_trunc('second', ts) AS ts, value, CAST(ts AS DATE) BETWEEN {_d(S.FIRST_WAVE[0])} AND {_d(S.FIRST_WAVE[1])} AS early
+                FROM events WHERE ts IS NOT NULL AND {_USABLE}),
+marked AS (SELECT *, NOT early AND ts < (SELECT MAX(ts) FROM usable WHERE early) - INTERVAL {CCU_LATENESS_HOURS} HOUR AS late FROM usable)
+SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour,
+       CAST(SUM(CAST(value AS DECIMAL(38,9))) AS DOUBLE) / CAST(COUNT(value) AS DOUBLE) AS avg_ccu,
+       COUNT(value) AS minutes, COUNT(value) FILTER (late) AS late_minutes
+FROM marked GROUP BY 1""",
     "stream_dau": BASE + "SELECT activity_date, COUNT(DISTINCT user_id) AS dau FROM fact GROUP BY 1",
 }

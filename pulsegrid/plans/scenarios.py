@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pulsegrid.config import Window
 
@@ -25,3 +25,6 @@ ALLOW_LIST = ["NATION_3", "NATION_0", "NATION_24", "NATION_7", "NATION_99"]
 GAP = date(2024, 1, 14)  # a day of the fixtures without sessions
 PLATFORMS = ["view", "fridge", "click", "purchase"]  # offered in this order; "fridge" is never seen
 STREAM_FILES = 12  # files a micro-batch takes: the landed sessions make several batches
+FIRST_WAVE = (date(2024, 1, 10), date(2024, 1, 19))  # the days of the streams that land first
+STREAM_LOOK_BACK = timedelta(days=12)  # so some of the days before the first wave are on time
+SCATTERED = [date(2024, 1, 2), date(2024, 1, 9), date(2024, 1, 17), date(2024, 1, 28)]  # the days of a late batch

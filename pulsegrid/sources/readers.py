@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.config import JobConfig, Window, check_table_name
-from pulsegrid.constants import CSV_DIALECT, JDBC_FETCH_SIZE, RAW_TIMESTAMP_FORMAT
+from pulsegrid.constants import CCU_REJECTS, CSV_DIALECT, JDBC_FETCH_SIZE, RAW_TIMESTAMP_FORMAT
 from pulsegrid.functions.predicates import event_time_window, strict_event_time_window
 from pulsegrid.functions.timestamps import parse_event_time
 from pulsegrid.schemas import (
@@ -70,17 +70,20 @@ def read_accounts_jdbc(
 
 
 def session_columns(df: DataFrame) -> DataFrame:
-    """Rows of SESSIONS_JSON_SCHEMA -> raw sessions plus boolean ``malformed``: the one policy
-    for JSON sessions, batch and stream. A duration that is no number is NULL."""
+    """Rows of SESSIONS_JSON_SCHEMA -> raw sessions plus boolean ``malformed`` and, where it is
+    set, the ``line`` as it stands: the one policy for JSON sessions, batch, stream and message
+    bus. A duration that is no number is NULL."""
     return df.withColumn("duration", F.col("duration").try_cast("double")).withColumn(
-        "malformed", F.col("_corrupt_record").isNotNull()).drop("_corrupt_record")
+        "malformed", F.col("_corrupt_record").isNotNull()).withColumn("line", F.col("_corrupt_record")).drop("_corrupt_record")
 
 
-def parse_sessions_json(value: Column | str) -> Column:
-    """One JSON session document in a string column (message-bus style input) -> struct
-    of SESSIONS_JSON_SCHEMA; select ``"s.*"`` from it and pass that to :func:`session_columns`."""
-    c = F.col(value) if isinstance(value, str) else value
-    return F.from_json(c, SESSIONS_JSON_SCHEMA)
+def sessions_from_records(records: DataFrame, value: str = "value") -> DataFrame:
+    """JSON session documents in a string column, as a message bus brings them -> raw
+    sessions with ``malformed`` and ``line``, by the policy of the file source. A record may be
+    any JSON object; NULL and blank records are no sessions, as blank lines are none."""
+    text = records.where(F.trim(F.col(value)) != "").select(F.from_json(
+        value, SESSIONS_JSON_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("s"))
+    return session_columns(text.select("s.*"))
 
 
 def read_sessions_json(spark: SparkSession, path: str, window: Window | None = None) -> DataFrame:
@@ -98,7 +101,7 @@ def read_sessions_json(spark: SparkSession, path: str, window: Window | None = N
             df = df.where(d.isNull() | ((d >= F.lit(window.extract_start)) & (d < F.lit(window.extract_end))))
         df = df.where(event_time_window(parse_event_time("timestamp"), window.extract_start,
                                         window.extract_end))
-    return df.select(*SESSION_FIELDS, "malformed")
+    return df.select(*SESSION_FIELDS, "malformed", "line")
 
 
 def read_landed_sessions(spark: SparkSession, path: str, window: Window | None = None) -> DataFrame:
@@ -125,7 +128,8 @@ def ccu_columns(df: DataFrame) -> DataFrame:
     ``bad_time`` (no or no valid timestamp: it belongs to no hour) or ``bad_value`` (text that
     is no number). An empty value is a missing measurement, which a mean leaves out."""
     ts, ccu = parse_event_time("timestamp"), F.col("ccu").try_cast("double")
-    reject = F.when(ts.isNull(), F.lit("bad_time")).when(F.col("ccu").isNotNull() & ccu.isNull(), F.lit("bad_value"))
+    bad_time, bad_value = CCU_REJECTS
+    reject = F.when(ts.isNull(), F.lit(bad_time)).when(F.col("ccu").isNotNull() & ccu.isNull(), F.lit(bad_value))
     return df.select(ts.alias("ts"), ccu.alias("ccu"), reject.alias("reject"))
 
 

@@ -44,6 +44,26 @@ def land_sessions_jsonl(sessions: DataFrame, path: str, partition_by_date: bool
     )
 
 
+def session_records(sessions: DataFrame, value: str = "value") -> DataFrame:
+    """Every session as one JSON document in a string column, NULL fields left out; what
+    was no JSON document comes out as the line it was. Other columns stay."""
+    document = F.to_json(F.struct(*SESSION_FIELDS))
+    if "line" in sessions.columns:
+        document = F.coalesce("line", document)
+    rest = [c for c in sessions.columns if c not in (*SESSION_FIELDS, "malformed", "line")]
+    return sessions.select(document.alias(value), *rest)
+
+
+def land_raw_sessions(sessions: DataFrame, path: str) -> int:
+    """The raw files of a run: what its source gave, malformed lines as they are, as JSON lines
+    by event date (see :func:`land_sessions_jsonl`); returns rows."""
+    dated = sessions.withColumn("event_date", activity_date(parse_event_time("timestamp")))
+    return _observed_write(
+        session_records(dated).hint("rebalance", "event_date"), "raw_sessions_landed",
+        lambda d: d.write.mode("overwrite").partitionBy("event_date").text(path),
+    )
+
+
 def land_typed_sessions(strict_valid: DataFrame, path: str) -> int:
     """Strictly valid typed sessions partitioned by ``event_date`` (the input of the
     range scan S5), clustered by time inside each day."""

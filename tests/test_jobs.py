@@ -59,6 +59,60 @@ def test_window_without_valid_sessions(spark, tmp_path):
     assert ("counts", "fact_rows", 0.0) in as_set(out.summary)
 
 
+RAW = [("ann", "2025-07-04T10:00:00", 1, "tv"), ("bob", "2025-07-04T11:00:00", 1, "tv"), '{"user_id": "cut', (None, "2025-07-04T10:00:00", 1, "tv")]
+
+
+def _cfg(tmp_path, **more):
+    (tmp_path / "accounts.csv").write_text('user_id,country,created_at,updated_at\nann,"N,O",,\n')
+    raw = json_lines(tmp_path / "raw.json", *RAW, '{"user_id": "eve", "timestamp": "2025-07-05T10:00:00", "duration": "7", "platform": "tv", "more": 1}')
+    return JobConfig(window=Window("2025-07-05"), accounts_path=str(tmp_path / "accounts.csv"), sessions_path=raw,
+                     output_dir=str(tmp_path / "out"), **more)
+
+
+FACT = {(date(2025, 7, 4), "ann", "N,O", "tv"), (date(2025, 7, 4), "bob", "UNKNOWN", "tv"), (date(2025, 7, 5), "eve", "UNKNOWN", "tv")}
+
+
+def test_the_run_lands_what_it_works_from(spark, tmp_path):
+    out = run_daily_activity(spark, _cfg(tmp_path, fact_path=str(tmp_path / "fact")))
+    assert as_set(out.fact) == FACT and out.counts["q_malformed_record"] == 1 and out.counts["accounts_loaded"] == 1
+    lines = {r.value for r in spark.read.text(f"{out.raw_path}/sessions").collect()}
+    assert '{"user_id": "cut' in lines and len(lines) == 5
+    # The landed files are sources themselves: a run on them gives the same.
+    cfg = JobConfig(window=Window("2025-07-05"), accounts_path=f"{out.raw_path}/accounts", sessions_path=f"{out.raw_path}/sessions",
+                    fact_path=str(tmp_path / "fact2"), output_dir=str(tmp_path / "out2"))
+    again = run_daily_activity(spark, cfg)
+    assert as_set(again.fact) == FACT and again.counts == out.counts
+
+
+def test_the_run_through_the_catalog(spark, tmp_path):
+    cfg = _cfg(tmp_path, fact_path=str(tmp_path / "table"), fact_table="fact_of_run")
+    try:
+        out = run_daily_activity(spark, cfg)
+        assert out.fact_path == "fact_of_run" and as_set(out.fact) == FACT
+        assert run_daily_activity(spark, cfg).fact.count() == 3
+        assert spark.table("fact_of_run").count() == 3
+    finally:
+        spark.sql("DROP TABLE IF EXISTS fact_of_run")
+
+
+@pytest.mark.parametrize("through_catalog", [False, True])
+def test_a_violating_batch_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch, through_catalog):
+    from pulsegrid.plans import daily_activity as job
+
+    cfg = _cfg(tmp_path, fact_path=str(tmp_path / "fact"), fact_table="fact_of_bad_run" if through_catalog else None)
+    try:
+        run_daily_activity(spark, cfg)
+        build = job.build_fact_from_valid
+        monkeypatch.setattr(job, "build_fact_from_valid", lambda *a: build(*a).unionByName(
+            spark.createDataFrame([(date(2025, 7, 4), "ann", "SE", "tv")], "activity_date date, user_id string, country string, platform string")))
+        with pytest.raises(ValueError, match="keys repeat"):
+            run_daily_activity(spark, cfg)
+        table = spark.table("fact_of_bad_run") if through_catalog else spark.read.parquet(str(tmp_path / "fact"))
+        assert as_set(table, "activity_date", "user_id", "country", "platform") == FACT
+    finally:
+        spark.sql("DROP TABLE IF EXISTS fact_of_bad_run")
+
+
 def test_broken_fact_table_stops_the_run(spark):
     from pulsegrid.operators.checks import enforce_fact
 

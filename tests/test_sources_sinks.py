@@ -35,8 +35,9 @@ def test_one_policy_for_json_lines(spark, tmp_path):
     raw = readers.read_sessions_json(spark, path)
     assert as_set(classify_sessions(raw), "user_id", "duration", "dq_reason") == {
         ("u", 1.5, None), (None, None, "malformed_record"), ("7", 100.0, None), ("v", None, None)}
-    column = spark.read.text(path).where("value <> ''").select(readers.parse_sessions_json("value").alias("s")).select("s.*")
-    assert as_set(readers.session_columns(column), "user_id", "malformed") == as_set(raw, "user_id", "malformed")
+    records = readers.sessions_from_records(spark.read.text(path))
+    assert as_set(records) == as_set(raw)
+    assert as_set(readers.sessions_from_records(sinks.session_records(records))) == as_set(raw)
 
 
 def test_csv_fields_with_quotes_and_commas(spark, tmp_path):
