@@ -4,6 +4,11 @@ A language's profile is its most frequent character n-grams (one to three charac
 rank. A document's own most frequent n-grams are ranked the same way, and each contributes how
 far out of place it stands in a profile; a missing one counts as far out as the profile is
 long. The language with the smallest total distance wins.
+
+The filter of a pipeline goes by the result: what has no language goes, and so does what is
+written in a script that training has not met, or stands much further from its language than
+any training text of that language and about that length does. A row without a language gets
+the one that was found.
 """
 
 from __future__ import annotations
@@ -22,11 +27,18 @@ from .common import BATCH_BYTES, bounded_arrow_batches, byte_slices, documents,
 # Length of a profile: the n-grams kept of a language, and the most compared of a document.
 PROFILE = 300
 
-# Languages one model may tell apart; with PROFILE it bounds what the model weighs.
-MAX_LANGUAGES = 1_000
-
 UNDETERMINED = "und"
 
+# Training texts of one language and length class that it takes to say how far its texts stand;
+# classes with fewer reject nothing.
+LEAST_SEEN = 30
+
+# A text is too far off when it is not even this share as close as the farthest of them.
+FAR = 0.5
+
+# Rows to change that are broadcast, and joined by shuffle beyond.
+BROADCAST_ROWS = 1 << 20
+
 # Grams of three characters: each character takes 21 bits, 0 where there is none, 1 for the
 # break between two words. A code point is stored as itself + 2.
 _BITS = np.uint64(21)
@@ -41,8 +53,10 @@ def _letters() -> np.ndarray:
 
 
 def script(point: int) -> str:
-    """What a letter is written in: the first word of its Unicode name, as LATIN or CJK."""
-    return unicodedata.name(chr(point), "").partition(" ")[0]
+    """What a letter is written in: the first word of its Unicode name, as LATIN or CJK; full-width, raised, mathematical and
+    other compatibility letters go by the letter they stand for."""
+    letter = unicodedata.normalize("NFKC", chr(point))[:1]
+    return unicodedata.name(letter, "").partition(" ")[0]
 
 
 def gram_runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,30 +173,33 @@ def _counts_batch(lang: str, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
 
 
 class Profiles:
-    """The trained model: for each language the rank of each gram of its profile. At most
-    MAX_LANGUAGES x PROFILE numbers, so it may travel with the tasks, as may the scripts of the
-    letters met in training: there are fewer than Unicode has letters."""
+    """The trained model: for each gram of any profile, the languages that have it and its rank
+    there. PROFILE numbers a language, so it may travel with the tasks, as may the scripts of
+    the letters met in training: there are fewer than Unicode has letters."""
 
     def __init__(self, rows: list[tuple[str, int, int]], letters: Iterable[int] = ()):
         self.scripts = frozenset(map(script, letters))
         self.langs = sorted({lang for lang, _, _ in rows})
         number = {lang: i for i, lang in enumerate(self.langs)}
-        self.grams = np.unique(np.array([g for _, g, _ in rows], np.uint64))
-        self.ranks = np.full((len(self.grams) + 1, len(self.langs)), -1, np.int32)
-        for lang, gram, rank in rows:
-            self.ranks[np.searchsorted(self.grams, np.uint64(gram)), number[lang]] = rank
+        gram = np.array([g for _, g, _ in rows], np.uint64)
+        order = np.argsort(gram, kind="stable")
+        self.grams, first = np.unique(gram[order], return_index=True)
+        self.first = np.append(first, len(order))
+        self.of = np.array([number[lang] for lang, _, _ in rows], np.int64)[order]
+        self.rank = np.array([rank for _, _, rank in rows], np.int64)[order]
 
     def predict(self, top: np.ndarray) -> tuple[str, float]:
         """Language of a document whose most frequent grams are ``top``, and its closeness: 1
         when all stand in place, 0 when none is in the profile."""
         if not len(top) or not self.langs:
             return UNDETERMINED, 0.0
-        at = np.searchsorted(self.grams, top)
-        at[at < len(self.grams)] = np.where(
-            self.grams[at[at < len(self.grams)]] == top[at < len(self.grams)],
-            at[at < len(self.grams)], len(self.grams))
-        ranks = self.ranks[at]
-        apart = np.where(ranks < 0, PROFILE, np.abs(ranks - np.arange(len(top))[:, None])).sum(0)
+        at = np.minimum(np.searchsorted(self.grams, top), len(self.grams) - 1)
+        place = np.flatnonzero(self.grams[at] == top)
+        begin, many = self.first[at[place]], np.diff(self.first)[at[place]]
+        entry = np.repeat(begin - np.cumsum(many) + many, many) + np.arange(many.sum())
+        # What a gram that is found takes off the distance of a missing one.
+        saved = PROFILE - np.abs(self.rank[entry] - np.repeat(place, many))
+        apart = PROFILE * len(top) - np.bincount(self.of[entry], saved, len(self.langs))
         best = int(np.argmin(apart))
         return self.langs[best], 1.0 - float(apart[best]) / (PROFILE * len(top))
 
@@ -196,20 +213,17 @@ def _known_letters(profiles: Profiles) -> np.ndarray:
     return known
 
 
-def determined(texts: list[str], known: np.ndarray) -> np.ndarray:
-    """For each text whether any of its letters is known; the others are ``und``."""
+def in_known_script(texts: list[str], known: np.ndarray) -> np.ndarray:
+    """For each text whether any of its letters is known."""
     points = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32)
-    upto = np.concatenate([[0], np.cumsum(known[points])])[np.cumsum([0, *map(len, texts)])]
+    upto = np.concatenate([[0], np.cumsum(known[points], dtype=np.int64)])[np.cumsum([0, *map(len, texts)])]
     return upto[1:] > upto[:-1]
 
 
 def learn_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Profiles:
-    """Profiles of all languages in ``df``; rows with a null text or language teach nothing.
-    Raises ValueError for more than MAX_LANGUAGES languages."""
+    """Profiles of all languages in ``df``; rows with a null text or language teach nothing."""
     rows = df.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     counts = stage(df.sparkSession, gram_counts(rows.where("text is not null and lang is not null")), "gram-counts")
-    if counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = counts.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < PROFILE)
     point = F.shiftright("gram", 2 * int(_BITS)).cast("int") - 2
@@ -219,50 +233,83 @@ def learn_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang"
                     [r.point for r in letters])
 
 
-def identify(df: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(``id_col``, lang_pred, score) for every row of ``df``, from the whole text alone.
-
-    A null text, one without letters, and one without a letter of any script met in training
-    are ``und`` with score 0, as is everything when no language was learned. Equal distances go to the language first by name. Repeated rows,
-    null ids and further columns are left as they are or not read.
-    """
-    bounded_arrow_batches(df.sparkSession)
-    narrow = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    schema = T.StructType([narrow.schema["id"], T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+def _found(narrow: DataFrame, profiles: Profiles) -> DataFrame:
+    """(id, lang_pred, score, n_grams, known_script) of the rows (id, text)."""
+    bounded_arrow_batches(narrow.sparkSession)
+    schema = T.StructType([narrow.schema["id"], *T.StructType.fromDDL(
+        "lang_pred string, score double, n_grams long, known_script boolean").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _known_letters(profiles)
         for batch in batches:
-            out: list[tuple[str, float]] = []
+            found: list[tuple[str, float]] = []
+            n_grams, known_script = [], []
             for _, nullable in _text_runs(batch.column(1)):
                 texts = [t or "" for t in nullable]
                 grams, first, letters = gram_runs(texts)
-                for a, b, known_one in zip(first[:-1].tolist(), first[1:].tolist(), determined(texts, known).tolist()):
-                    out.append(profiles.predict(codes(_most_frequent(grams[a:b]), letters)) if known_one
-                               else (UNDETERMINED, 0.0))
+                for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                    found.append(profiles.predict(codes(_most_frequent(grams[a:b]), letters)) if a < b else (UNDETERMINED, 0.0))
+                n_grams.extend(np.diff(first).tolist())
+                known_script.extend(in_known_script(texts, known).tolist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x for x, _ in out], pa.string()),
-                 pa.array([y for _, y in out], pa.float64())], names=["id", "lang_pred", "score"])
+                [batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64()),
+                 pa.array(n_grams, pa.int64()), pa.array(known_script, pa.bool_())],
+                names=["id", "lang_pred", "score", "n_grams", "known_script"])
 
-    return narrow.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return narrow.mapInArrow(run, schema)
 
 
-def keep_identified(df: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that ``identify`` does not call ``und``, all columns as they are. How
-    close a text comes to its language depends on its length and alphabet, so it decides
-    nothing here. No shuffle."""
-    bounded_arrow_batches(df.sparkSession)
-    at = df.columns.index(text_col)
+def identify(df: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(``id_col``, lang_pred, score) for every row of ``df``, from the whole text alone.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _known_letters(profiles)
-        for batch in batches:
-            for a, texts in _text_runs(batch.column(at)):
-                keep = determined([t or "" for t in texts], known)
-                yield batch.slice(a, len(keep)).filter(pa.array(keep, pa.bool_()))
+    A null text and one without letters are ``und`` with score 0, as is everything when no
+    language was learned. Any other text gets a learned language, the first by name where
+    distances are equal, even if it has no gram in common with any (score 0). Repeated rows,
+    null ids and further columns are left as they are or not read.
+    """
+    narrow = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return _found(narrow, profiles).select(F.col("id").alias(id_col), "lang_pred", "score")
 
-    return df.mapInArrow(run, df.schema)
+
+def _length_class(n_grams: str = "n_grams") -> Column:
+    """Texts of about the same length: by powers of two."""
+    return F.floor(F.log2(F.col(n_grams))).cast("int")
+
+
+def least_closeness(df: DataFrame, profiles: Profiles, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang_pred, length_class, least): the least closeness of the training texts of a language
+    and length class that were found to be in that language, for classes of LEAST_SEEN texts
+    or more. One row a language and class: a class is a power of two."""
+    rows = df.select(F.col(f"`{lang_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    found = _found(rows.where("id is not null and text is not null"), profiles).where("id = lang_pred and n_grams > 0")
+    seen = found.groupBy("lang_pred", _length_class().alias("length_class")).agg(F.min("score").alias("least"), F.count("*").alias("n"))
+    return stage(df.sparkSession, seen.where(F.col("n") >= LEAST_SEEN).drop("n"), "least-closeness")
+
+
+def keep_identified(df: DataFrame, profiles: Profiles, least: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    lang_col: str = "lang") -> DataFrame:
+    """The rows of ``df`` that are in a language of the training rows, all columns as they are
+    but for ``lang_col``: where it is null it becomes the language found.
+
+    Rejected are ``und``; texts without a letter of a script met in training; and texts not
+    FAR as close to the language found as ``least`` (see :func:`least_closeness`) has for their
+    length. Only ids and texts pass through Python; what must change is a list of (id, hash of
+    the text), joined to the rows. Rows equal in both are treated alike.
+    """
+    spark = df.sparkSession
+    key = F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("h"), F.col(f"`{lang_col}`").isNull().alias("no_lang"))
+    found = _found(df.select(key.alias("id"), F.col(f"`{text_col}`").alias("text")), profiles)
+    judged = found.withColumn("length_class", _length_class()).join(least, ["lang_pred", "length_class"], "left")
+    far = F.coalesce(F.col("score") < F.col("least") * FAR, F.lit(False))
+    judged = judged.select("id.*", "lang_pred", ((F.col("lang_pred") == UNDETERMINED) | ~F.col("known_script") | far).alias("gone"))
+    change = stage(spark, judged.where("gone or no_lang").distinct(), "language-changes").select(
+        F.col("id").alias("_id"), F.col("h").alias("_h"), F.col("no_lang").alias("_none"), F.col("lang_pred").alias("_lang"), F.col("gone").alias("_gone"))
+    few = change.count() <= BROADCAST_ROWS
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("whole"), key.alias("key"))  # no name of it can clash
+    same = (F.col("key.h") == F.col("_h")) & F.col("key.id").eqNullSafe(F.col("_id")) & (F.col("key.no_lang") == F.col("_none"))
+    kept = rows.join(F.broadcast(change) if few else change.hint("merge"), same, "left").where(~F.coalesce("_gone", F.lit(False)))
+    lang = F.coalesce(F.col("whole").getField(lang_col), F.col("_lang").cast(df.schema[lang_col].dataType))
+    return kept.select(*((lang if c == lang_col else F.col("whole").getField(c)).alias(c) for c in df.columns))
 
 
 def held_out(doc_id: Column) -> Column:
