@@ -1,11 +1,15 @@
 """Mixing sources to target weights by fixed-length blocks.
 
 Each source's documents, in a hashed order, are one long run of words, cut into blocks of
-BLOCK_WORDS. Output shards draw how many blocks they take from each source (multinomial, by
-what is still owed to each source, so that the totals come out on the targets). A source's
+BLOCK_WORDS. Every output shard draws how many blocks it takes from each source; the draws of
+a source over the shards are multinomial and add up to what its target asks for. A source's
 draws are numbered through all shards; number t takes the block that a pseudorandom
-permutation of the source's block numbers puts at place t, anew for each pass over the source.
-So every block is taken once before any is taken twice. Blocks and draws meet by index.
+permutation of the source's block numbers puts at place t, anew for each pass over the source,
+with a shorter last block at the end of each pass. So every block is taken once before any is
+taken twice. Of the last block drawn only as many words are taken as the target still lacks, so
+each source comes within a word of its target, however small it is. Blocks and draws meet by index.
+
+Sources are rows throughout, so there may be as many as documents.
 """
 
 from __future__ import annotations
@@ -20,22 +24,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsegrid.operators.numbering import number_rows
+
 from . import kernels as K
-from .common import WORD, documents, stage, word_count
+from .common import WORD, documents, partitions_for, stage, word_count
 
-# Words of a block, and of an output shard; there are MAX_SHARDS shards at most, beyond that
-# they get longer.
+# Words of a block, and about as many of an output shard.
 BLOCK_WORDS = 64
 SHARD_WORDS = 1 << 22
-MAX_SHARDS = 4_096
 
-# A mix is set by a weight for each source, so its sources are few; more raise an error. This
-# bounds the tables of sources and of draws, which the driver makes and tasks get whole.
-MAX_SOURCES = 10_000
+# Sources that are broadcast to their rows, and joined by shuffle beyond.
+BROADCAST_SOURCES = 1 << 16
 
 # Documents that one task puts in order when the sources' words are numbered.
 BUCKET_ROWS = 4_000
 
+# Draws that one task turns into blocks.
+TASK_DRAWS = 1 << 18
+
+# Shards of a source in one batch.
+PIECES = 1 << 16
+
 # Fixed values of the contract: the weights by rank of the source, the mix's size, the stop.
 WEIGHTS = (3, 1, 2)
 SHARE = Fraction(3, 2)
@@ -44,33 +53,32 @@ MOST = 2
 SEED = 20240817
 
 
-def fill_targets(sizes: list[int], weights: list[int], total: Fraction, most: int = MOST) -> list[Fraction]:
-    """Share ``total`` by weight; no source gets above ``most`` times its size, and what it
-    leaves is reshared by weight among the others until none is above."""
-    capped: set[int] = set()
+def share_unit(sources: DataFrame, total: Fraction, most: int = MOST) -> Fraction:
+    """What a weight of 1 gets when ``total`` is shared by weight among ``sources`` (weight,
+    source_size) and none gets above ``most`` times its size, what it leaves being reshared.
+
+    A source is full when its weight asks for more than that. The unit only rises as sources
+    fill up, so a full one stays full; each round sums over what is not full, until no more
+    fill up. Zero if all are full."""
+    unit, full = Fraction(0), -1
     while True:
-        rest = [i for i in range(len(sizes)) if i not in capped]
-        left = total - sum(most * sizes[i] for i in capped)
-        unit = left / sum(weights[i] for i in rest) if rest else Fraction(0)
-        above = [i for i in rest if weights[i] * unit > most * sizes[i]]
-        if not above:
-            return [Fraction(most * sizes[i]) if i in capped else weights[i] * unit for i in range(len(sizes))]
-        capped.update(above)
-
-
-def draw_shards(quotas: np.ndarray, shards: int, seed: int = SEED) -> np.ndarray:
-    """(shards, sources): blocks that each output shard takes of each source. A shard's draw is
-    multinomial by what is owed; none takes more than that, and the last takes the rest."""
-    rng = np.random.default_rng(seed)
-    owed, out = quotas.astype(np.int64).copy(), np.zeros((shards, len(quotas)), np.int64)
-    for s in range(shards):
-        wanted = int(owed.sum()) if s == shards - 1 else round(int(owed.sum()) / (shards - s))
-        while wanted:
-            take = np.minimum(rng.multinomial(wanted, owed / owed.sum()), owed)
-            out[s] += take
-            owed -= take
-            wanted -= int(take.sum())
-    return out
+        above = F.col("weight").cast("decimal(38,0)") * F.lit(str(unit.numerator)).cast("decimal(38,0)") > \
+            F.col("source_size").cast("decimal(38,0)") * F.lit(str(most * unit.denominator)).cast("decimal(38,0)")
+        found = sources.agg(F.count_if(above).alias("full"), F.sum(F.when(above, F.col("source_size"))).alias("held"),
+                            F.sum(F.when(~above, F.col("weight"))).alias("weight")).first()
+        if found.full == full or not found.weight:
+            return unit if found.weight else Fraction(0)
+        full = found.full
+        unit = (total - most * (found.held or 0)) / found.weight
+
+
+def draw_counts(n: int, shards: int, key: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shards, counts): where the ``n`` draws of one source fall, each on any shard alike; the same for the same ``key``."""
+    rng = np.random.default_rng([SEED, key])
+    if n < shards:
+        return np.unique(rng.integers(0, shards, n), return_counts=True)
+    counts = rng.multinomial(n, np.full(shards, 1 / shards))
+    return np.flatnonzero(counts), counts[counts > 0]
 
 
 def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
@@ -97,9 +105,9 @@ class Mix:
     """What a mix is made of.
 
     rows: row, number (of the source), size and all columns that were kept.
-    sources: number, source, source_size, blocks, target (words), a few rows.
-    fragments: number, block, row, word (where it begins in its document), words.
-    slots: shard, slot, number, block.
+    sources: number, source, source_size, target, want (words to take), blocks (of a full length), tail (words of a shorter last one).
+    fragments: number, block, at (where it begins in the block), row, word (where in its document), words.
+    slots: shard, slot, number, block, taken (words of the block that are taken, from its beginning).
     """
 
     rows: DataFrame
@@ -112,14 +120,40 @@ class Mix:
         return self.spans().groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("words"))
 
     def spans(self) -> DataFrame:
-        """(row, word, words, times): how often each stretch of a document is taken."""
-        times = self.slots.groupBy("number", "block").agg(F.count("*").alias("times"))
+        """(row, word, words, times): how often each stretch of a document is taken. A block is cut short once at most."""
+        whole = F.col("taken") == BLOCK_WORDS
+        times = self.slots.groupBy("number", "block").agg(
+            F.count_if(whole).alias("times"), F.max(F.when(~whole, F.col("taken"))).alias("short"))
         # The slots come from a short table of draws; without the hint Spark takes them for short.
-        return self.fragments.join(times.hint("merge"), ["number", "block"]).select("row", "word", "words", "times")
+        met = self.fragments.join(times.hint("merge"), ["number", "block"])
+        part = F.when(F.col("short").isNotNull(), F.least(F.col("words"), F.col("short") - F.col("at"))).otherwise(0)
+        takes = F.array(F.struct("words", "times"), F.struct(part.alias("words"), F.lit(1).cast("long").alias("times")))
+        return met.select("row", "word", F.explode(F.filter(takes, lambda t: (t["words"] > 0) & (t["times"] > 0))).alias("t")).select(
+            "row", "word", "t.words", "t.times")
 
     def blocks(self) -> DataFrame:
         """(shard, slot, row, word, words): the mix itself, block after block."""
-        return self.slots.hint("merge").join(self.fragments, ["number", "block"]).select("shard", "slot", "row", "word", "words")
+        met = self.slots.hint("merge").join(self.fragments, ["number", "block"])
+        words = F.least(F.col("words"), F.col("taken") - F.col("at"))
+        return met.select("shard", "slot", "row", "word", words.alias("words")).where("words > 0")
+
+
+def _sources(read: DataFrame, total: int) -> DataFrame:
+    """The sources of ``read`` (of, words_in) by rank, with their targets."""
+    found = read.groupBy("of").agg(F.sum("words_in").alias("source_size")).withColumn("none", F.col("of").isNull())
+    ranked = number_rows(found, ["none", "of"], 0, "number")
+    weight = F.element_at(F.array(*(F.lit(w) for w in WEIGHTS)), (F.col("number") % len(WEIGHTS)).cast("int") + 1)
+    ranked = ranked.select("number", F.col("of").alias("source"), "source_size", weight.cast("long").alias("weight"))
+    unit = share_unit(ranked, SHARE * total)
+    # Sources that are not full share by weight, so there is one target a weight.
+    open_target = F.create_map(*(x for w in set(WEIGHTS) for x in (F.lit(w).cast("long"), F.struct(
+        F.lit(float(w * unit)).alias("target"), F.lit(round(w * unit)).cast("long").alias("want")))))[F.col("weight")]
+    most = F.col("source_size") * MOST
+    full = (open_target["target"] >= most) | F.lit(unit == 0)
+    return ranked.select(
+        "number", "source", "source_size", F.when(full, most.cast("double")).otherwise(open_target["target"]).alias("target"),
+        F.when(full, most).otherwise(F.least(most, open_target["want"])).alias("want"),
+        F.expr(f"source_size div {BLOCK_WORDS}").alias("blocks"), (F.col("source_size") % BLOCK_WORDS).alias("tail"))
 
 
 def plan_mix(df: DataFrame, keep: list[str], text_col: str = "text", source_col: str = "source", id_col: str = "doc_id") -> Mix:
@@ -128,35 +162,25 @@ def plan_mix(df: DataFrame, keep: list[str], text_col: str = "text", source_col:
     Sources are ranked by code point, null last (null is a source of its own) and weighted
     WEIGHTS in turn. A null or empty text has no words and is never taken; a source without
     words has target 0. Repeated rows count each. The same table gives the same mix.
-    Raises ValueError for more than MAX_SOURCES sources.
     """
     spark = df.sparkSession
     text = F.col(f"`{text_col}`")
+    order = F.xxhash64(F.col(f"`{id_col}`").cast("string"), text, F.lit(SEED))
     read = stage(spark, df.select(
         F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("id"),
-        F.col(f"`{source_col}`").cast("string").alias("of"), word_count(text).alias("words_in"),
+        F.col(f"`{source_col}`").cast("string").alias("of"), word_count(text).alias("words_in"), order.alias("h"),
         *([F.struct(*(F.col(f"`{c}`") for c in keep)).alias("kept")] if keep else [])), "mix-rows")
-    found = read.groupBy("of").agg(F.sum("words_in").alias("n"), F.count("*").alias("rows")).limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources to mix")
-    found.sort(key=lambda r: (r.of is None, r.of or ""))
-    sizes = [int(r.n) for r in found]
-    weights = [WEIGHTS[i % len(WEIGHTS)] for i in range(len(found))]
-    targets = fill_targets(sizes, weights, SHARE * sum(sizes))
-    blocks = [-(-n // BLOCK_WORDS) for n in sizes]
-    quotas = [min(MOST * b, round(t * b / n)) if n else 0 for b, n, t in zip(blocks, sizes, targets, strict=True)]
-    table = spark.createDataFrame(
-        [(i, r.of, sizes[i], blocks[i], float(targets[i])) for i, r in enumerate(found)],
-        "number int, source string, source_size long, blocks long, target double")
-    rows = read.join(F.broadcast(table.select("number", "source")), F.col("of").eqNullSafe(F.col("source"))).select(
-        "row", "id", "number", F.col("words_in").alias("size"), *(["kept"] if keep else []))
+    sums = read.agg(F.coalesce(F.sum("words_in"), F.lit(0)).alias("words"), F.count("*").alias("rows")).first()
+    sources = stage(spark, _sources(read, sums.words), "mix-sources")
+    few = sources.count() <= BROADCAST_SOURCES
+    named = sources.select(F.col("number").cast("int").alias("number"), "source")
+    rows = read.join(F.broadcast(named) if few else named.hint("merge"), F.col("of").eqNullSafe(F.col("source"))).select(
+        "row", "id", "number", F.col("words_in").alias("size"), "h", *(["kept"] if keep else []))
 
     # Where each document begins in its source: bucket by bucket, in hashed order within one.
     # A source holding most rows has as many buckets as it needs, so no task sorts it whole.
-    buckets = max(1, -(-sum(r.rows for r in found) // BUCKET_ROWS))
-    order = F.xxhash64(F.col("id").cast("string"), F.lit(SEED))
-    placed = rows.where("size > 0").select("row", "id", "number", "size", order.alias("h")).withColumn(
-        "bucket", F.pmod("h", F.lit(buckets)))
+    buckets = max(1, -(-sums.rows // BUCKET_ROWS))
+    placed = rows.where("size > 0").select("row", "id", "number", "size", "h", F.pmod("h", F.lit(buckets)).alias("bucket"))
     totals = placed.groupBy("number", "bucket").agg(F.sum("size").alias("n"))
     before = totals.select("number", "bucket", (F.sum("n").over(
         Window.partitionBy("number").orderBy("bucket")) - F.col("n")).alias("before"))
@@ -167,37 +191,60 @@ def plan_mix(df: DataFrame, keep: list[str], text_col: str = "text", source_col:
         f"sequence(begin div {BLOCK_WORDS}, (begin + size - 1) div {BLOCK_WORDS})")))
     low = F.greatest(F.col("begin"), F.col("block") * BLOCK_WORDS)
     high = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * BLOCK_WORDS)
-    fragments = cut.select("number", "block", "row", (low - F.col("begin")).alias("word"), (high - low).alias("words"))
-
-    shards = max(1, min(MAX_SHARDS, -(-sum(quotas) * BLOCK_WORDS // SHARD_WORDS)))
-    draws = draw_shards(np.array(quotas, np.int64), shards)
-    first = np.cumsum(draws, 0) - draws
-    shard, number = np.nonzero(draws)
-    keys = [int.from_bytes(sha256(repr(r.of).encode()).digest()[:7], "big") for r in found]
-    orders = spark.createDataFrame(
-        [(int(s), int(i), int(draws[s, i]), int(first[s, i]), blocks[i], keys[i]) for s, i in zip(shard, number)],
-        "shard int, number int, n long, first long, blocks long, key long")
-    slots = orders.repartition(max(1, min(len(shard), 4 * shards)), "shard", "number").mapInArrow(
-        _slots, "shard int, slot long, number int, block long")
-    return Mix(rows, table, fragments, slots)
+    fragments = cut.select("number", "block", (low - F.col("block") * BLOCK_WORDS).alias("at"), "row",
+                           (low - F.col("begin")).alias("word"), (high - low).alias("words"))
+
+    shards = max(1, -(-int(SHARE * sums.words) // SHARD_WORDS))
+    asked = sources.where("want > 0").select(F.col("number").cast("int").alias("number"), "source", "source_size", "want", "blocks", "tail")
+    tasks = partitions_for(spark, int(SHARE * sums.words) // BLOCK_WORDS, TASK_DRAWS)
+    draws = asked.mapInArrow(_draws(shards), "shard int, number int, n long, first long, want long, source_size long, blocks long, tail long, key long")
+    slots = draws.repartition(tasks, "shard", "number", "first").mapInArrow(_slots, "shard int, slot long, number int, block long, taken long")
+    return Mix(rows.drop("h"), sources, fragments, slots)
+
+
+def _draws(shards: int):
+    """Rows of sources to rows of (shard, source): how many blocks the shard draws, and the number of the first of them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in batch.to_pylist():
+                key = int.from_bytes(sha256(repr(s["source"]).encode()).digest()[:7], "big")
+                passes, rest = divmod(s["want"], s["source_size"])
+                n = passes * (s["blocks"] + (s["tail"] > 0)) + -(-rest // BLOCK_WORDS)
+                shard, counts = draw_counts(n, shards, key)
+                first = np.cumsum(counts) - counts
+                same = {c: s[c] for c in ("want", "source_size", "blocks", "tail")}
+                for a in range(0, len(shard), PIECES):
+                    # A draw that is too long for one task goes in pieces.
+                    parts = -(-counts[a:a + PIECES] // TASK_DRAWS)
+                    of = np.repeat(np.arange(a, a + len(parts)), parts)
+                    skip = (np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)) * TASK_DRAWS
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(shard[of].astype(np.int32)), pa.array(np.full(len(of), s["number"], np.int32)),
+                         pa.array(np.minimum(TASK_DRAWS, counts[of] - skip)), pa.array(first[of] + skip),
+                         *(pa.array(np.full(len(of), x, np.int64)) for x in (*same.values(), key))],
+                        names=["shard", "number", "n", "first", *same, "key"])
+    return run
 
 
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every draw of (shard, source) as the blocks it takes. Its place in the shard is hashed."""
-    step = 1 << 18
+    """Every draw as the block it takes and the words taken of it. Its place in the shard is hashed."""
     for batch in batches:
         for o in batch.to_pylist():
-            for a in range(0, o["n"], step):
-                t = np.arange(o["first"] + a, o["first"] + min(o["n"], a + step))
-                block = np.empty(len(t), np.int64)
-                for turn in np.unique(t // o["blocks"]):
-                    mine = t // o["blocks"] == turn
-                    block[mine] = permuted(t[mine] % o["blocks"], o["blocks"], o["key"] + int(turn) * 0x632BE59BD9B4E019)
-                place = K.mix(K.mix(t.astype(np.uint64)) ^ K.U((o["key"] + SEED) & (1 << 64) - 1)).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(t), o["shard"], np.int32)), pa.array(place),
-                     pa.array(np.full(len(t), o["number"], np.int32)), pa.array(block)],
-                    names=["shard", "slot", "number", "block"])
+            t = np.arange(o["first"], o["first"] + o["n"])
+            blocks, in_pass = o["blocks"], o["blocks"] + (o["tail"] > 0)
+            turn, place = t // in_pass, t % in_pass
+            block = place.copy()  # the short last block comes last
+            for k in np.unique(turn):
+                mine = (turn == k) & (place < blocks)
+                if mine.any():
+                    block[mine] = permuted(place[mine], blocks, o["key"] + int(k) * 0x632BE59BD9B4E019)
+            # What the source's target lacks when this draw comes; a whole block counts as one even if it is the short one.
+            lacks = o["want"] - turn * o["source_size"] - place * BLOCK_WORDS
+            taken = np.where((lacks >= BLOCK_WORDS) | (place == blocks) & (lacks >= o["tail"]), BLOCK_WORDS, lacks)
+            slot = K.mix(K.mix(t.astype(np.uint64)) ^ K.U((o["key"] + SEED) & (1 << 64) - 1)).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(t), o["shard"], np.int32)), pa.array(slot), pa.array(np.full(len(t), o["number"], np.int32)),
+                 pa.array(block), pa.array(taken)], names=["shard", "slot", "number", "block", "taken"])
 
 
 def mixed_documents(df: DataFrame, text_col: str = "text", n_chars_col: str | None = "n_chars") -> DataFrame:
@@ -228,7 +275,8 @@ def mixed_documents(df: DataFrame, text_col: str = "text", n_chars_col: str | No
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:
     mix = plan_mix(documents(spark, sf_dir), [])
-    rows = mix.rows.join(F.broadcast(mix.sources.select("number", "source_size", "target")), "number")
+    sources = mix.sources.select("number", "source_size", "target")
+    rows = mix.rows.join(F.broadcast(sources) if sources.count() <= BROADCAST_SOURCES else sources.hint("merge"), "number")
     return rows.join(mix.taken().hint("merge"), "row", "left").select(
         F.col("id").alias("doc_id"), "size", "source_size", "target",
         F.coalesce("words", F.lit(0)).cast("long").alias("taken"))

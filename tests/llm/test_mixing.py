@@ -15,18 +15,64 @@ SF = "/root/testdata/sf0.01"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def test_targets_are_reshared_until_none_is_above():
-    assert mx.fill_targets([100, 100, 100], [3, 1, 2], Fraction(450)) == [200, Fraction(250, 3), Fraction(500, 3)]
-    assert mx.fill_targets([10, 0, 90], [3, 1, 2], Fraction(150)) == [20, 0, 130]
-    assert mx.fill_targets([], [], Fraction(0)) == []
+def plain_targets(sizes, weights, total, most=mx.MOST):
+    """Share, cap, reshare what the capped leave, until none is above."""
+    capped = set()
+    while True:
+        rest = [i for i in range(len(sizes)) if i not in capped]
+        left = total - sum(most * sizes[i] for i in capped)
+        unit = left / sum(weights[i] for i in rest) if rest else Fraction(0)
+        above = [i for i in rest if weights[i] * unit > most * sizes[i]]
+        if not above:
+            return [Fraction(most * sizes[i]) if i in capped else weights[i] * unit for i in range(len(sizes))]
+        capped.update(above)
 
 
-def test_draws_add_up_to_the_quotas():
-    quotas = np.array([1000, 3, 0, 250])
-    draws = mx.draw_shards(quotas, 7)
-    assert (draws.sum(0) == quotas).all() and (draws >= 0).all()
-    assert np.ptp(draws.sum(1)) <= 1
-    assert (mx.draw_shards(quotas, 7) == draws).all()
+def mix_targets(sizes):
+    return plain_targets(sizes, [mx.WEIGHTS[i % 3] for i in range(len(sizes))], mx.SHARE * sum(sizes))
+
+
+@pytest.mark.parametrize("sizes", [[100, 100, 100], [10, 0, 90], [0, 0], [1, 1, 1, 1000], [130, 90, 5, 64, 65, 128, 3, 1, 300], [7, 2, 1, 40, 1, 500, 3, 9, 10**9]])
+def test_targets_are_reshared_until_none_is_above(spark, sizes):
+    table = spark.createDataFrame([(f"{i:02}", n) for i, n in enumerate(sizes)], "of string, words_in long")
+    got = sorted(mx._sources(table, sum(sizes)).collect())
+    want = mix_targets(sizes)
+    assert [r.target for r in got] == [float(t) for t in want]
+    assert [r.want for r in got] == [round(t) for t in want]
+
+
+def test_draws_add_up():
+    for n, shards in ((1000, 7), (3, 7), (0, 7), (7, 7), (250, 1)):
+        shard, counts = mx.draw_counts(n, shards, 5)
+        assert counts.sum() == n and (counts > 0).all() and len(set(shard)) == len(shard) and set(shard) <= set(range(shards))
+        assert [x.tolist() for x in mx.draw_counts(n, shards, 5)] == [shard.tolist(), counts.tolist()]
+
+
+@pytest.mark.parametrize("shard_words, draws", [(1 << 22, 1 << 18), (300, 2)])
+def test_every_source_comes_to_its_target(spark, monkeypatch, shard_words, draws):
+    monkeypatch.setattr(mx, "SHARD_WORDS", shard_words)
+    monkeypatch.setattr(mx, "TASK_DRAWS", draws)
+    sizes = [130, 90, 5, 64, 65, 128, 3, 1, 3000]
+    rows = [(10 * i + k, " ".join(["w"] * w), f"s{i}", 1) for i, n in enumerate(sizes) for k, w in enumerate((n // 3, n - n // 3 - n // 2, n // 2))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    mix = mx.plan_mix(df, ["doc_id"])
+    got = mix.rows.join(mix.taken(), "row", "left").fillna(0, ["words"]).collect()
+    assert all(r.words <= 2 * r["size"] for r in got)
+    for i, t in enumerate(mix_targets(sizes)):
+        assert sum(r.words for r in got if r.number == i) == round(t)
+    in_blocks = mix.blocks().groupBy("shard", "slot").agg(mx.F.sum("words").alias("n")).collect()
+    assert sum(r.n for r in in_blocks) == sum(r.words for r in got) and max(r.n for r in in_blocks) <= mx.BLOCK_WORDS
+
+
+@pytest.mark.parametrize("broadcast", [1 << 16, 0])
+def test_many_sources_and_copies_of_null(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(mx, "BROADCAST_SOURCES", broadcast)
+    rows = [(i, f"a b c d {i}", f"domain{i % 12000}") for i in range(15000)] + [(None, "same words here", None)] * 500 + [(None, f"x {i}", None) for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = mx.plan_mix(df, [])
+    assert mix.sources.count() == 12001
+    got = mix.rows.join(mix.taken(), "row", "left").groupBy("number").agg(mx.F.sum("words").alias("taken")).join(mix.sources, "number").collect()
+    assert len(got) == 12001 and all((r.taken or 0) == r.want and abs(r.want - r.target) <= 0.5 for r in got)
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 17, 64, 1000])
@@ -48,9 +94,8 @@ def test_mix_of_the_documents(spark):
         taken[of[k]] += r.taken
         assert 0 <= r.taken <= 2 * r.size
     names = sorted(totals)
-    want = mx.fill_targets([totals[n] for n in names], [(3, 1, 2)[i % 3] for i in range(len(names))], Fraction(3, 2) * sum(totals.values()))
-    for n, t in zip(names, want, strict=True):
-        assert abs(taken[n] - t) <= mx.BLOCK_WORDS + 0.002 * t
+    for n, t in zip(names, mix_targets([totals[n] for n in names]), strict=True):
+        assert taken[n] == round(t)
     assert all(r.source_size == totals[of[k]] for k, r in got.items())
     assert {k: r.taken for k, r in got.items()} == {r.doc_id: r.taken for r in mx.op8_mixing(spark, SF).collect()}
 

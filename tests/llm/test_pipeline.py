@@ -10,10 +10,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import language_id as lid
-from pulsegrid.llm import mixing as mx
 from pulsegrid.llm.sentencepiece_ids import model_path
 
 from .test_jaccard_join import plain_components
+from .test_mixing import mix_targets
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -48,7 +48,8 @@ def test_language_rejects_what_it_does_not_know(spark, results):
 def test_unknown_language_goes(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     odd = spark.createDataFrame([(9001, "これは日本語の文章です。" * 8, None, "src0", 96)], docs.schema)
-    kept = lid.keep_identified(docs.unionByName(odd), lid.learn_profiles(docs))
+    profiles = lid.learn_profiles(docs)
+    kept = lid.keep_identified(docs.unionByName(odd), profiles, lid.least_closeness(docs, profiles))
     assert rows_of(kept.collect()) == rows_of(docs.collect())
 
 
@@ -74,9 +75,9 @@ def test_mix_takes_whole_stretches(results):
         assert (r.lang, r.source) == (before[r.doc_id].lang, before[r.doc_id].source)
         taken[r.source] += len(words)
     names = sorted(size)
-    want = mx.fill_targets([size[n] for n in names], [(3, 1, 2)[i % 3] for i in range(len(names))], mx.SHARE * sum(size.values()))
+    want = mix_targets([size[n] for n in names])
     for n, t in zip(names, want, strict=True):
-        assert abs(taken[n] - t) <= mx.BLOCK_WORDS
+        assert abs(taken[n] - t) <= 1
 
 
 def test_ids_are_the_library_s(results):
