@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.constants import UNKNOWN_COUNTRY
@@ -43,12 +43,16 @@ def add_users(spark: SparkSession, base: str, fact: DataFrame) -> None:
             .write.mode("overwrite").parquet(f"{base.rstrip('/')}/users/from={start}")
 
 
-def daily_bitmaps(fact: DataFrame, users: DataFrame) -> DataFrame:
-    """``(activity_date, level, country, platform, bucket, bitmap)``; NULL where a level has no such column."""
+def user_slices() -> Column:
+    """The slices that a row of the fact counts in: (level, country, platform), NULL where a level has no such column."""
     no = F.lit(None).cast("string")
     slices = [(ALL, no, no), (BY_COUNTRY, F.col("country"), no), (BY_PLATFORM, no, F.col("platform")), (BY_BOTH, F.col("country"), F.col("platform"))]
-    slices = F.array(*(F.struct(F.lit(level).alias("level"), c.alias("country"), p.alias("platform")) for level, c, p in slices))
-    rows = fact.join(users, "user_id").select("activity_date", "ordinal", F.explode(slices).alias("s"))
+    return F.array(*(F.struct(F.lit(level).alias("level"), c.alias("country"), p.alias("platform")) for level, c, p in slices))
+
+
+def daily_bitmaps(fact: DataFrame, users: DataFrame) -> DataFrame:
+    """``(activity_date, level, country, platform, bucket, bitmap)`` for the :func:`user_slices` of the fact."""
+    rows = fact.join(users, "user_id").select("activity_date", "ordinal", F.explode(user_slices()).alias("s"))
     return rows.groupBy("activity_date", "s.level", "s.country", "s.platform", F.bitmap_bucket_number("ordinal").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("ordinal")).alias("bitmap"))
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.config import check_table_name
+from pulsegrid.operators.accounts import latest_account_per_user
 from pulsegrid.operators.checks import enforce_fact
 from pulsegrid.operators.tables import create_fact_table, layout_fact, merge_rows
 from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS, FACT_SCHEMA
@@ -71,9 +73,51 @@ def _delete(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-def create_published_fact(spark: SparkSession, table: str, location: str) -> None:
-    """K8: the table in the catalog. Its partitions come with its loads."""
-    create_fact_table(spark, table, location)
+def create_published_fact(spark: SparkSession, table: str, location: str, buckets: int | None = None) -> None:
+    """K8: the table in the catalog, clustered by user into ``buckets`` if given. Its partitions come with its loads."""
+    create_fact_table(spark, table, location, buckets)
+
+
+def bucket_count(spark: SparkSession, table: str) -> int:
+    """Buckets by user of a table, 0 where it is not clustered."""
+    return int(_described(spark, table).get("Num Buckets", 0))
+
+
+def write_clustered(spark: SparkSession, rows: DataFrame, folder: str, buckets: int, partition_by: list[str]) -> None:
+    """Write ``rows`` to ``folder`` in ``buckets`` by user, one file a bucket and partition. Only tables are written in
+    buckets, so the folder is one for the moment; what points there later has the same clustering."""
+    passing = f"passing_{uuid.uuid4().hex}"
+    writer = rows.repartition(buckets, "user_id").sortWithinPartitions(*partition_by, "user_id").write.mode("overwrite") \
+        .bucketBy(buckets, "user_id").sortBy("user_id").option("path", folder)
+    try:
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(passing)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {passing}")
+
+
+@contextmanager
+def _clustering_counts(spark: SparkSession):
+    """While it holds, rows clustered by user count as clustered for a join on user and more,
+    so the stored side of a merge is read as it lies. One user has few rows."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    given = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, given)
+
+
+def publish_accounts(spark: SparkSession, accounts: DataFrame, table: str, location: str, buckets: int) -> None:
+    """K8: one account a user (D9) as a catalog table in ``buckets`` by user. It is replaced as a whole, by one statement."""
+    folder = f"{location.rstrip('/')}/accounts-{uuid.uuid4().hex[:12]}"
+    write_clustered(spark, latest_account_per_user(accounts).select("user_id", "country"), folder, buckets, [])
+    if spark.catalog.tableExists(check_table_name(table)):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.sql(f"REFRESH TABLE {table}")
+    else:
+        spark.sql(f"CREATE TABLE {table} (user_id STRING, country STRING) USING parquet "
+                  f"CLUSTERED BY (user_id) SORTED BY (user_id) INTO {int(buckets)} BUCKETS LOCATION '{folder}'")
 
 
 def _of_dates(rows: DataFrame, dates: list[date]) -> DataFrame:
@@ -107,8 +151,13 @@ def publish_load(spark: SparkSession, new: DataFrame, table: str, mode: str = "r
     days = [d for d in dates if d is not None]
     # A NULL date belongs to no partition: it goes along, for the audit to find.
     mine = batch.where(F.col("activity_date").isin([F.lit(d) for d in days]) | F.col("activity_date").isNull())
+    merged, buckets = merge_rows(mine, _of_dates(stored, days), mode), bucket_count(spark, table)
     try:
-        layout_fact(merge_rows(mine, _of_dates(stored, days), mode)).write.mode("overwrite").partitionBy("activity_date").parquet(folder)
+        if buckets:
+            with _clustering_counts(spark):
+                write_clustered(spark, merged, folder, buckets, ["activity_date"])
+        else:
+            layout_fact(merged).write.mode("overwrite").partitionBy("activity_date").parquet(folder)
         written = spark.read.schema(FACT_SCHEMA).parquet(folder)
         audit(written)
         before = _of_dates(stored, days).groupBy("activity_date").agg(F.count(F.lit(1)).alias("rows_before"))

@@ -19,9 +19,9 @@ from pulsegrid.functions.timestamps import parse_event_time
 from pulsegrid.operators import ccu as ccu_ops
 from pulsegrid.operators import bitmaps, checks, cubes, metrics, quality
 from pulsegrid.operators.accounts import latest_account_per_user
-from pulsegrid.operators.activity import build_fact, build_fact_from_valid, grain_check
+from pulsegrid.operators.activity import attach_country, build_fact, build_fact_from_valid, grain_check, sessions_to_grain
 from pulsegrid.operators.numbering import number_rows
-from pulsegrid.operators.publish import changes, create_published_fact, publish_load
+from pulsegrid.operators.publish import changes, create_published_fact, publish_accounts, publish_load
 from pulsegrid.operators.tables import export_fact_csv, read_fact_if_exists, upsert_fact, write_fact
 from pulsegrid.config import Window
 from pulsegrid.constants import CSV_DIALECT
@@ -603,6 +603,20 @@ def fact_publish_insert_only(spark, sf_dir):
     return spark.table(_publish_two_loads(spark, sf_dir, "insert_only")).select(*FACT_COLUMNS)
 
 
+def fact_clustered_loads(spark, sf_dir):
+    """K8: the two loads into a fact clustered by user, each joined to accounts clustered alike, read through the catalog."""
+    import uuid
+
+    prepare_session(spark)
+    accounts, base, table = f"accounts_{uuid.uuid4().hex[:12]}", scratch_path(spark, "clustered"), f"fact_{uuid.uuid4().hex[:12]}"
+    create_published_fact(spark, table, f"{base}/fact", S.BUCKETS)
+    for window, snapshot in ((S.FIRST_LOAD, 1), (S.SECOND_LOAD, 2)):
+        publish_accounts(spark, _accounts(spark, sf_dir, snapshot), accounts, base, S.BUCKETS)
+        valid = quality.valid_sessions(quality.classify_sessions(_windowed(_sessions(spark, sf_dir), window)))
+        publish_load(spark, attach_country(sessions_to_grain(valid), spark.table(accounts)), table)
+    return spark.table(table).select(*FACT_COLUMNS)
+
+
 def _follow_scattered(spark, sf_dir):
     """A load of a window, then one of days scattered inside and outside it with the second accounts snapshot; cube,
     bitmaps and export follow each load's changed days."""
@@ -721,6 +735,22 @@ def stream_ccu_corrections(spark, sf_dir):
     return hour_states(spark, base).drop("is_open")
 
 
+def stream_dau_preview(spark, sf_dir):
+    """T4: DAU of every day and slice with the preview beside it: whether that is within 5 % of it, three standard errors."""
+    from pulsegrid.streaming.dau_preview import run_dau_preview_stream
+
+    prepare_session(spark)
+    landing = scratch_path(spark, "preview-sessions")
+    sinks.land_sessions_jsonl(_sessions(spark, sf_dir), landing)
+    preview = run_dau_preview_stream(spark, landing, _accounts(spark, sf_dir), scratch_path(spark, "preview"), S.STREAM_FILES)
+    level = {"all": cubes.LEVEL_DAY, "country": cubes.LEVEL_DAY_COUNTRY, "platform": cubes.LEVEL_DAY_PLATFORM,
+             "country_platform": cubes.LEVEL_DAY_COUNTRY_PLATFORM}
+    named = preview.replace(level, subset=["level"]).withColumnsRenamed({c: f"_{c}" for c in ("activity_date", "level", "country", "platform")})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("activity_date", "level", "country", "platform")]
+    return _cube(spark, sf_dir).join(named, same, "full").select(
+        "activity_date", "level", "country", "platform", "dau", (F.abs(F.col("dau_preview") - F.col("dau")) <= F.col("dau") * 0.05).alias("close"))
+
+
 QUERIES: dict[str, Query] = {
     "dau_daily": dau_daily,
     "dau_daily_filtered": dau_daily_filtered,
@@ -787,6 +817,7 @@ QUERIES: dict[str, Query] = {
     "stream_dau": stream_dau,
     "fact_publish_checked": fact_publish_checked,
     "fact_publish_insert_only": fact_publish_insert_only,
+    "fact_clustered_loads": fact_clustered_loads,
     "change_feed": change_feed,
     "cube_follow_changes": cube_follow_changes,
     "export_follow_totals": export_follow_totals,
@@ -797,6 +828,7 @@ QUERIES: dict[str, Query] = {
     "bitmap_known_countries": bitmap_known_countries,
     "stream_fact_state": stream_fact_state,
     "stream_fact_late": stream_fact_late,
+    "stream_dau_preview": stream_dau_preview,
     "stream_ccu_event_time": stream_ccu_event_time,
     "stream_ccu_corrections": stream_ccu_corrections,
     "sessions_json_policy": sessions_json_policy,

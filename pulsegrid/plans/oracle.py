@@ -515,6 +515,8 @@ WHERE ts IS NOT NULL AND user_id IS NOT NULL AND length(user_id) > 0
     "stream_fact": FACT_SQL,
     "stream_ccu_hourly": CCU_SQL,
     "fact_publish_checked": _two_loads_sql("replace"),
+    "fact_clustered_loads": _two_loads_sql("replace"),
+    "stream_dau_preview": CUBE_BASE + "SELECT activity_date, level, country, platform, dau, true AS close FROM cube",
     "fact_publish_insert_only": _two_loads_sql("insert_only"),
     "change_feed": with_ctes(*_SCATTERED_CTES) + f"""
 , before AS (SELECT activity_date, COUNT(*) AS n FROM batch1 GROUP BY 1)

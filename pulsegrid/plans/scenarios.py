@@ -28,3 +28,4 @@ STREAM_FILES = 12  # files a micro-batch takes: the landed sessions make several
 FIRST_WAVE = (date(2024, 1, 10), date(2024, 1, 19))  # the days of the streams that land first
 STREAM_LOOK_BACK = timedelta(days=12)  # so some of the days before the first wave are on time
 SCATTERED = [date(2024, 1, 2), date(2024, 1, 9), date(2024, 1, 17), date(2024, 1, 28)]  # the days of a late batch
+BUCKETS = 8  # clustering by user in the fixtures

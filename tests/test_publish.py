@@ -6,12 +6,13 @@ import uuid
 from datetime import date
 
 import pytest
-from conftest import as_set
+from conftest import as_set, members
 
 from pulsegrid.operators import bitmaps, cubes
 from pulsegrid.operators import publish as P
+from pulsegrid.operators.activity import attach_country
 from pulsegrid.plans.cube_build import follow_loads
-from pulsegrid.schemas import FACT_COLUMNS
+from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS
 
 D1, D2, D3 = date(2025, 7, 1), date(2025, 7, 2), date(2025, 7, 30)
 NULLABLE = "activity_date date, user_id string, country string, platform string"
@@ -135,3 +136,35 @@ def test_cube_and_bitmaps_follow_the_feed(spark, table, tmp_path):
     assert as_set(bitmaps.users_by(out.bitmaps, "country")) == {("NO", 1), ("SE", 1), ("DK", 1), ("UNKNOWN", 1)}
     assert as_set(bitmaps.distinct_users(out.bitmaps, D1, D2)) == {(2,)}
     assert as_set(bitmaps.distinct_users(out.bitmaps, D2, D2, "SE")) == {(0,)}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_clustered_tables_are_joined_and_merged_where_they_lie(spark, tmp_path):
+    fact, accounts = f"fact_{uuid.uuid4().hex[:8]}", f"accounts_{uuid.uuid4().hex[:8]}"
+    P.create_published_fact(spark, fact, str(tmp_path / "fact"), buckets=4)
+    try:
+        P.publish_accounts(spark, members(spark, ("ann", "NO"), ("bob", "SE")), accounts, str(tmp_path), 4)
+        P.publish_accounts(spark, members(spark, ("ann", "DK"), ("cat", "FI"), ("cat", "IS", "2026-01-01T00:00:00")), accounts, str(tmp_path), 4)
+        assert as_set(spark.table(accounts)) == {("ann", "DK"), ("cat", "IS")}
+        P.publish_load(spark, rows(spark, *FIRST), fact)
+        P.publish_load(spark, rows(spark, (D1, "ann", "DK", "tv"), (D1, "eve", "NO", "pc")), fact)
+        assert as_set(spark.table(fact).select(*FACT_COLUMNS)) == {(D1, "ann", "DK", "tv"), (D1, "bob", "SE", "tv"), (D1, "eve", "NO", "pc"), (D2, "ann", "NO", "tv")}
+        files = list((tmp_path / "fact").rglob("activity_date=2025-07-01/*.parquet"))
+        assert files and all("_0000" in f.name for f in files)  # the bucket is in the name
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        grain = rows(spark, (D1, "ann", None, "tv")).select("activity_date", "user_id", "platform")
+        joined = _plan(attach_country(grain, spark.table(accounts)))
+        assert joined.count("Exchange hashpartitioning(user_id") == 1  # the new rows; the accounts are read as they lie
+        with P._clustering_counts(spark):
+            old = spark.table(fact).select(*FACT_COLUMNS)
+            merged = _plan(old.join(rows(spark, (D1, "ann", "DK", "tv")), FACT_KEYS, "left_anti").select(*FACT_COLUMNS))
+            assert merged.count("Exchange hashpartitioning(user_id") == 1 and "Exchange hashpartitioning(activity_date" not in merged
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in (fact, accounts):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -11,6 +11,7 @@ from conftest import SF_TINY, as_set, json_lines, members
 from pulsegrid.plans import catalog
 from pulsegrid.streaming import routing
 from pulsegrid.streaming.ccu_hours import closed_until, hour_states, rejected_minutes, run_ccu_hours_stream
+from pulsegrid.streaming.dau_preview import preview_of_range, run_dau_preview_stream
 from pulsegrid.streaming.fact_state import late_sessions, quarantined, run_fact_state_stream
 
 
@@ -134,3 +135,19 @@ def test_every_source_file_is_read_once(spark, tmp_path):
     run_ccu_hours_stream(spark, str(tmp_path / "in"), str(tmp_path / "t"))
     marks = routing.read_marks(spark, str(tmp_path / "t")).first()
     assert (marks.on_time, marks.late, marks.ahead, marks.rejected) == (1, 0, 0, 1)
+
+
+def test_preview_counts_small_sets_exactly_and_large_ones_closely(spark, tmp_path):
+    base = str(tmp_path / "p")
+    run = lambda: run_dau_preview_stream(spark, str(tmp_path / "in"), members(spark, ("ann", "NO")), base, 1)
+    land(tmp_path / "in", 0, ("ann", "2025-07-10T10:00:00", 1, "tv"), ("bob", "2025-07-10T10:00:00", 1, "tv"), (None, "2025-07-10T10:00:00", 1, "tv"))
+    land(tmp_path / "in", 1, ("ann", "2025-07-10T12:00:00", 1, "pc"), ("ann", "2025-07-11T12:00:00", 1, "pc"))
+    assert {r[:4] + (r.dau_preview,) for r in run().collect() if r.level in ("all", "country")} == {
+        (DAY, "all", None, None, 2), (date(2025, 7, 11), "all", None, None, 1), (DAY, "country", "NO", None, 1),
+        (DAY, "country", "UNKNOWN", None, 1), (date(2025, 7, 11), "country", "NO", None, 1)}
+    assert ("all", None, None, 2) in as_set(preview_of_range(spark, base)) and ("platform", None, "pc", 1) in as_set(preview_of_range(spark, base))
+    # 60,000 users on one day, a third of them twice: the error that is stated.
+    many = spark.range(80_000).selectExpr("concat('u', id % 60000) as user_id", "'2025-08-01T10:00:00' as timestamp", "1.0D as duration", "'tv' as platform")
+    many.write.mode("append").json(str(tmp_path / "in"))
+    found = {r.activity_date: r.dau_preview for r in run().where("level = 'all'").collect()}
+    assert abs(found[date(2025, 8, 1)] - 60_000) <= 0.05 * 60_000 and found[DAY] == 2
