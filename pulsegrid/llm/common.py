@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,7 @@ from pulsegrid.session import scratch_path, stage
 __all__ = [
     "WORD", "SPACE", "BATCH_BYTES", "documents", "stage", "scratch_path", "ascii_lower",
     "word_count", "id_residue", "byte_slices", "partitions_for", "bounded_arrow_batches",
+    "RUN_BYTES", "released",
 ]
 
 # Fixed values of the contracts: what separates words, and what a word is.
@@ -23,6 +26,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Text bytes a Python kernel works on at once; its arrays are a small multiple of this.
 BATCH_BYTES = 1 << 20
 
+# The same where a kernel's arrays are many times this.
+RUN_BYTES = 1 << 18
+
 # Text bytes one Arrow batch may carry into a Python worker.
 ARROW_BATCH_BYTES = 8 << 20
 
@@ -60,6 +66,20 @@ def bounded_arrow_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_BATCH_BYTES))
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` as a task function that gives freed memory back to the machine when its task ends. Python workers are used
+    again, and would else keep for later stages what they once grew to."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another C library than GNU's
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return task
+
+
 def byte_slices(
     texts: pa.Array, limit: int = BATCH_BYTES
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BATCH_BYTES, bounded_arrow_batches, byte_slices, documents, id_residue, stage
+from .common import RUN_BYTES, bounded_arrow_batches, byte_slices, documents, id_residue, released, stage
 
 # Length of a profile: the n-grams kept of a language, and the most compared of a document.
 PROFILE = 300
@@ -128,7 +128,7 @@ def _most_frequent(grams: np.ndarray) -> np.ndarray:
 
 
 def _text_runs(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    for a, b, _, _ in byte_slices(texts, BATCH_BYTES):
+    for a, b, _, _ in byte_slices(texts, RUN_BYTES):
         yield a, texts.slice(a, b - a).to_pylist()
 
 
@@ -162,7 +162,7 @@ def gram_counts(df: DataFrame) -> DataFrame:
         for lang, (code, n) in total.items():
             yield _counts_batch(lang, code, n)
 
-    counted = df.mapInArrow(run, "lang string, gram long, n long")
+    counted = df.mapInArrow(released(run), "lang string, gram long, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -256,7 +256,7 @@ def _found(narrow: DataFrame, profiles: Profiles) -> DataFrame:
                  pa.array(n_grams, pa.int64()), pa.array(known_script, pa.bool_())],
                 names=["id", "lang_pred", "score", "n_grams", "known_script"])
 
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(released(run), schema)
 
 
 def identify(df: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
