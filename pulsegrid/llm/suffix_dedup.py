@@ -12,6 +12,9 @@ of the anchor and by eight-byte digits, dropping what stands alone after each pa
 
 An anchor that is met very often would gather too much in one task. Its windows are parted by
 all their bytes at once, as a 128-bit hash, after copies within a task have met there.
+
+Texts that several rows hold are repeated as a whole. One row of each goes through the passes, to
+be found by others; all of them lose all their bytes.
 """
 
 from __future__ import annotations
@@ -36,12 +39,20 @@ DIGIT = 8
 # Occurrences from which an anchor is parted by whole windows.
 OFTEN = 8_000
 
-# Windows that a task sorts at once, and at most what one anchor has more (under OFTEN rows).
+# Windows that a task decides on at once, and at most what one key has more (under OFTEN rows).
 SORT_WINDOWS = 1 << 19
 
-# Rows of the lists of documents and spans that are broadcast, and joined by shuffle beyond.
+# Texts held by several rows that are broadcast, and joined by shuffle beyond.
 BROADCAST_ROWS = 1 << 20
 
+# Anchors above this share of all are "hot": at most HOT_KEYS of them, which meet their count in
+# HOT_PARTS places.
+HOT_KEYS = 10_000
+HOT_PARTS = 64
+
+# Position of an anchor in its run of rows: runs are shorter than this.
+RUN_BITS = 22
+
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     span = 1
@@ -58,7 +69,7 @@ def anchors(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     if len(raw) < WIDTH:
         return none.view(np.uint64), none, none, none, none
     hashes = K.window_hashes(K.prefix_sums(raw), GRAM)
-    place = K.U((1 << int(len(raw)).bit_length()) - 1)
+    place = K.U((1 << RUN_BITS) - 1)
     least = _sliding_min(hashes & ~place | np.arange(len(hashes), dtype=np.uint64), WIDTH - GRAM + 1)
     until = np.repeat(offsets[1:], np.diff(offsets))[:len(least)]
     start = np.flatnonzero(np.arange(len(least)) + WIDTH <= until)  # windows that end in their row
@@ -120,8 +131,26 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             take = pa.array(of[part])
             yield pa.RecordBatch.from_arrays(
                 [flat.field(names.index("key")).slice(a, 4096), ids.take(take), hs.take(take), flat.field(names.index("lo")).slice(a, 4096),
-                 flat.field(names.index("at")).slice(a, 4096), pa.array(pieces, pa.binary())],
-                names=["key", "id", "h", "lo", "at", "bytes"])
+                 flat.field(names.index("at")).slice(a, 4096), pa.array(pieces, pa.binary()), flat.field(names.index("often")).slice(a, 4096)],
+                names=["key", "id", "h", "lo", "at", "bytes", "often"])
+
+
+PART_COLUMNS = ["key", "y", "more", "id", "h", "lo", "at", "bytes"]
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What goes to the tasks that decide, dealt out by ``key``: of a rare anchor the anchor
+    with its bytes; of a frequent one each window's hash (key, y) with its first and last byte,
+    and the spans that are certain already, without y."""
+    for batch in _segments(batches):
+        often = batch.column(6)
+        rare = batch.filter(pc.invert(often))
+        none = pa.nulls(len(rare), pa.int64()), pa.nulls(len(rare), pa.bool_())
+        yield pa.RecordBatch.from_arrays([rare.column(0), *none, *rare.columns[1:6]], names=PART_COLUMNS)
+        for part in _part_often([batch.filter(often)]):
+            x, y, more, ids, h, begin, end = part.columns
+            yield pa.RecordBatch.from_arrays(
+                [pc.coalesce(x, h), y, more, ids, h, begin, end, pa.nulls(len(part), pa.binary())], names=PART_COLUMNS)
 
 
 def repeated_windows(raw: np.ndarray, starts: np.ndarray, groups: np.ndarray) -> np.ndarray:
@@ -187,34 +216,57 @@ def _spans(ids: pa.Array, hs: pa.Array, segment: np.ndarray, start: np.ndarray,
         names=["id", "h", "begin", "end"])
 
 
-def _sort_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows arrive by key; whole anchors are gathered up to SORT_WINDOWS and sorted together."""
-    def solve(table: pa.Table) -> pa.RecordBatch:
+def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of :func:`_parts` arrive by key; whole keys are gathered up to SORT_WINDOWS windows.
+    Those of rare anchors are sorted together; hashed ones are repeated when two rows have the
+    same hash, or one stands for several; spans without hash are as they are."""
+    def sort(table: pa.Table) -> pa.RecordBatch:
         key, lo, at = (np.asarray(table[c]) for c in ("key", "lo", "at"))
         number = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]).astype(np.int64)]))
         raw, starts, segment, first, offset = _windows(table["bytes"].combine_chunks(), lo.astype(np.int64), at.astype(np.int64))
         again = repeated_windows(raw, starts, number[segment] * WIDTH + offset)
         return _spans(table["id"].combine_chunks(), table["h"].combine_chunks(), segment[again], first[again])
 
-    def windows_in(segments: pa.Array | pa.ChunkedArray) -> int:
-        return pc.sum(pc.binary_length(segments)).as_py() - (WIDTH - 1) * len(segments) if len(segments) else 0
+    def same_hash(table: pa.Table) -> pa.Table:
+        x, y, more = (np.asarray(table[c]) for c in ("key", "y", "more"))
+        order = np.lexsort([y, x])
+        x, y = x[order], y[order]
+        fresh = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
+        group = np.cumsum(fresh) - 1
+        repeated = (np.bincount(group) > 1) | (np.bincount(group, more[order].astype(bool)) > 0)
+        return table.take(pa.array(order[repeated[group]]))
+
+    def solve(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        has_bytes, hashed = table["bytes"].is_valid(), table["y"].is_valid()
+        if pc.any(has_bytes).as_py():
+            yield sort(table.filter(has_bytes))
+        known = [table.filter(pc.invert(pc.or_(has_bytes, hashed)))]
+        if pc.any(hashed).as_py():
+            known.append(same_hash(table.filter(hashed)))
+        for one in known:
+            yield from one.select(["id", "h", "lo", "at"]).rename_columns(["id", "h", "begin", "end"]).combine_chunks().to_batches()
+
+    def windows_in(table: pa.Table | pa.RecordBatch) -> int:
+        segments = table.column(7)
+        valid = len(segments) - segments.null_count
+        return segments.null_count + ((pc.sum(pc.binary_length(segments)).as_py() or 0) - (WIDTH - 1) * valid if valid else 0)
 
     held: list[pa.Table] = []
     size = 0
     for batch in batches:
         held.append(pa.Table.from_batches([batch]))
-        size += windows_in(batch.column(5))
+        size += windows_in(batch)
         if size < SORT_WINDOWS:
             continue
         table = pa.concat_tables(held)
         key = np.asarray(table["key"])
-        cut = int(np.argmax(key == key[-1]))  # the last anchor may go on in the next batch
+        cut = int(np.argmax(key == key[-1]))  # the last key may go on in the next batch
         if cut:
-            yield solve(table.slice(0, cut))
+            yield from solve(table.slice(0, cut))
         held = [table.slice(cut)]
-        size = windows_in(held[0]["bytes"])
+        size = windows_in(held[0])
     if held:
-        yield solve(pa.concat_tables(held))
+        yield from solve(pa.concat_tables(held))
 
 
 def _part_often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,15 +349,32 @@ def _named(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
 
 
-def _cut_segments(docs: DataFrame, rows: DataFrame, kind: str) -> DataFrame:
-    """``rows`` (anchors) with the bytes of their windows. Only texts that have such anchors
-    are shuffled, and each of them once."""
-    lists = rows.groupBy("id", "h").agg(F.collect_set(F.struct("key", "lo", "hi", "at")).alias("anchors"))
-    asked = stage(docs.sparkSession, rows.select("id", "h").distinct(), "suffix-asked")
-    if asked.count() <= BROADCAST_ROWS:
-        docs = docs.join(F.broadcast(asked), _same(docs, asked), "left_semi")
-    texts = docs.join(lists.hint("merge"), _same(docs, lists)).select(docs["id"], docs["h"], "text", "anchors")
-    return texts.mapInArrow(_segments, f"key long, id {kind}, h long, lo int, at int, bytes binary")
+def _copies(docs: DataFrame) -> DataFrame:
+    """(digest, first) of the texts of WIDTH bytes or more that several rows hold, with the least id of them, null last."""
+    rows = docs.where(F.octet_length("text") >= WIDTH).select(_digest().alias("digest"), _order().alias("at"))
+    held = rows.groupBy("digest").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    return stage(docs.sparkSession, held.where("n > 1").drop("n"), "suffix-copies")
+
+
+def _digest():
+    return F.unhex(F.md5(F.col("text").cast("binary")))
+
+
+def _order():
+    return F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"))
+
+
+def _repeated_anchors(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of anchors that are met again, marked where that is ``often``."""
+    counts = stage(rows.sparkSession, keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "suffix-keys")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") >= max(OFTEN, -(-total // HOT_KEYS))
+    hot_keys = counts.where(hot).select("key", F.lit(True).alias("hot"))
+    counts = counts.select("key", "n", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0)))).alias("part"))
+    rows = rows.join(F.broadcast(hot_keys), "key", "left").withColumn(
+        "part", F.when(F.col("hot"), F.pmod("h", F.lit(HOT_PARTS))).otherwise(0).cast("int"))
+    return stage(rows.sparkSession, rows.join(counts.hint("merge"), ["key", "part"]).select(
+        "key", "id", "h", "lo", "hi", "at", (F.col("n") >= OFTEN).alias("often")), "suffix-anchors")
 
 
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -315,23 +384,21 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     bounded_arrow_batches(spark)
     docs = _named(df, id_col, text_col)
     kind = docs.schema["id"].dataType.simpleString()
-    keys = docs.select("text").mapInArrow(_keys, "key long")
-    counts = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    rows = docs.mapInArrow(_anchor_rows, f"key long, id {kind}, h long, lo int, hi int, at int")
-    left = stage(spark, rows.join(counts.hint("merge"), "key").select(
-        "key", "id", "h", "lo", "hi", "at", (F.col("n") >= OFTEN).alias("often")), "suffix-anchors")
-    span = f"id {kind}, h long, begin int, end int"
-    rare = _cut_segments(docs, left.where("not often"), kind)
-    found = rare.repartition("key").sortWithinPartitions("key").mapInArrow(_sort_windows, span)
-    frequent = left.where("often")
-    if frequent.limit(1).count():
-        parted = stage(spark, _cut_segments(docs, frequent, kind).mapInArrow(
-            _part_often, f"x long, y long, more boolean, {span}"), "suffix-often")
-        again = parted.where("x is not null").groupBy("x", "y").agg(
-            F.count("*").alias("n"), F.max("more").alias("any")).where("n > 1 or any")
-        leads = parted.join(again.select("x", "y"), ["x", "y"], "left_semi").select("id", "h", "begin", "end")
-        found = found.unionByName(leads).unionByName(parted.where("x is null").select("id", "h", "begin", "end"))
-    return stage(spark, found, "suffix-spans")
+    copies = _copies(docs)
+    few = copies.count() <= BROADCAST_ROWS
+    marked = docs.withColumn("digest", _digest()).join(F.broadcast(copies) if few else copies.hint("merge"), "digest", "left")
+    whole = marked.where("first is not null").select("id", "h", F.lit(0).alias("begin"), F.octet_length("text").alias("end"))
+    one = marked.where(F.col("first").isNull() | _order().eqNullSafe(F.col("first"))).select("id", "h", "text")
+
+    keys = one.select("text").mapInArrow(_keys, "key long")
+    rows = one.mapInArrow(_anchor_rows, f"key long, id {kind}, h long, lo int, hi int, at int")
+    left = _repeated_anchors(rows, keys)
+    # The texts that have such anchors are shuffled once, and give the bytes or hashes of them all.
+    lists = left.groupBy("id", "h").agg(F.collect_set(F.struct("key", "lo", "hi", "at", "often")).alias("anchors"))
+    texts = one.join(lists.hint("merge"), _same(one, lists)).select(one["id"], one["h"], "text", "anchors")
+    parts = texts.mapInArrow(_parts, f"key long, y long, more boolean, id {kind}, h long, lo int, at int, bytes binary")
+    found = parts.repartition("key").sortWithinPartitions("key").mapInArrow(_decide, f"id {kind}, h long, begin int, end int")
+    return stage(spark, found.unionByName(whole), "suffix-spans")
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -346,9 +413,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = df.sparkSession
     spans = repeated_spans(df, id_col, text_col)
     docs = _named(df, id_col, text_col)
-    few = spans.count() <= BROADCAST_ROWS
     lists = spans.groupBy("id", "h").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
-    joined = docs.join(F.broadcast(lists) if few else lists.hint("merge"), _same(docs, lists), "left").select(docs["id"], "text", "spans")
+    joined = docs.join(lists.hint("merge"), _same(docs, lists), "left").select(docs["id"], "text", "spans")
     kind = T.StructType([docs.schema["id"], *T.StructType.fromDDL(
         "n_bytes long, spans array<struct<begin:int,end:int>>, kept binary").fields])
     return joined.mapInArrow(_batched(_kept), kind).withColumnRenamed("id", id_col)
