@@ -691,6 +691,18 @@ def stream_fact_state(spark, sf_dir):
                                  max_files_per_trigger=S.STREAM_FILES)
 
 
+def stream_fact_published(spark, sf_dir):
+    """T2 into the catalog: two waves, each in micro-batches of a few files, published when a wave is done."""
+    from pulsegrid.streaming.fact_state import run_fact_state_stream
+
+    table, landing, base = _published_table(spark), scratch_path(spark, "state-sessions"), scratch_path(spark, "state-fact")
+    sessions = _sessions(spark, sf_dir).withColumn("day", parse_event_time("timestamp").cast("date"))
+    for land in _in_waves(spark, sessions, "day", lambda rows: rows.select(*SESSION_FIELDS).write.mode("append").json(landing)):
+        land()
+        run_fact_state_stream(spark, landing, _accounts(spark, sf_dir), base, max_files_per_trigger=2, table=table)
+    return spark.table(table).select(*FACT_COLUMNS)
+
+
 def _in_waves(spark, rows: DataFrame, time: str, write) -> list:
     """What happened in the days of the first wave lands first, all the rest after it."""
     first = F.coalesce(F.col(time).between(F.lit(S.FIRST_WAVE[0]), F.lit(S.FIRST_WAVE[1])), F.lit(False))
@@ -827,6 +839,7 @@ QUERIES: dict[str, Query] = {
     "bitmap_by_platform_range": bitmap_by_platform_range,
     "bitmap_known_countries": bitmap_known_countries,
     "stream_fact_state": stream_fact_state,
+    "stream_fact_published": stream_fact_published,
     "stream_fact_late": stream_fact_late,
     "stream_dau_preview": stream_dau_preview,
     "stream_ccu_event_time": stream_ccu_event_time,

@@ -543,6 +543,7 @@ UNION ALL SELECT 'both', COUNT(DISTINCT user_id) FROM fact WHERE {_FILTERS} AND
     "bitmap_by_platform_range": BASE + f"SELECT platform, COUNT(DISTINCT user_id) AS dau FROM fact WHERE {_FILTERS} GROUP BY 1",
     "bitmap_known_countries": BASE + "SELECT country, COUNT(DISTINCT user_id) AS dau FROM fact WHERE country <> 'UNKNOWN' GROUP BY 1",
     "stream_fact_state": FACT_SQL,
+    "stream_fact_published": FACT_SQL,
     "stream_fact_late": with_ctes(SESSIONS_CTE, classified_cte(), f"""
 valid AS (SELECT ts, CAST(ts AS DATE) BETWEEN {_d(S.FIRST_WAVE[0])} AND {_d(S.FIRST_WAVE[1])} AS early FROM classified WHERE dq_reason IS NULL)""") + f"""
 SELECT 'late' AS route, CAST(ts AS DATE) AS event_date, COUNT(*) AS n FROM valid

@@ -9,6 +9,11 @@ result whatever the order of the sessions.
 
 The table is laid out by day and load. Every micro-batch and every merge is a load of its own
 and rewrites only that when it is run again, so each key is stored once.
+
+With a catalog table (K3, K9) what a run has gathered is published there when it is done, days
+merged and written anew in files of a good size, and the run's own small files go. So the
+number of files does not grow with the number of micro-batches, and a reader of the catalog
+table finds every day as it was or as it is.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from pulsegrid.constants import DEFAULT_REPROCESS_DAYS, MAX_FILES_PER_TRIGGER
 from pulsegrid.functions.timestamps import activity_date
 from pulsegrid.operators.accounts import latest_account_per_user
 from pulsegrid.operators.activity import attach_country
+from pulsegrid.operators.publish import publish_load
 from pulsegrid.operators.quality import classify_sessions
 from pulsegrid.operators.tables import read_fact_if_exists, touched_partitions
 from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS, SESSION_FIELDS, SESSIONS_JSON_SCHEMA
@@ -44,8 +50,10 @@ def run_fact_state_stream(
     look_back: timedelta = timedelta(days=DEFAULT_REPROCESS_DAYS),
     horizon: datetime | None = None,
     max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+    table: str | None = None,
 ) -> DataFrame:
-    """Process what has landed since the last run on ``base`` and return the fact table.
+    """Process what has landed since the last run on ``base`` and return the fact table: the
+    one under ``base``, or the catalog table ``table``, which must exist.
 
     ``look_back`` is at least a day: a key's sessions lie within one day, so a key leaves the
     state only when all its further sessions are late. ``horizon`` keeps sessions at or after
@@ -71,7 +79,22 @@ def run_fact_state_stream(
         first, last = R.side_epochs(spark, base)
         merge_side(spark, base, accounts_one, first, last)
         R.drop_on_time(spark, base, list(range(first, last + 1)))
-    return read_state_fact(spark, base)
+    if table is None:
+        return read_state_fact(spark, base)
+    publish_slices(spark, base, table)
+    return spark.table(table).select(*FACT_COLUMNS)
+
+
+def publish_slices(spark: SparkSession, base: str, table: str) -> None:
+    """Merge what the stream has gathered into the catalog table, keys that are there already
+    staying as they are, then delete the slices. A run that is lost in between publishes the
+    same rows again, which changes nothing."""
+    slices = f"{base}/fact"
+    if path_exists(spark, slices):
+        publish_load(spark, read_state_fact(spark, base), table, mode="insert_only")
+        path = spark._jvm.org.apache.hadoop.fs.Path(slices)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        spark.catalog.refreshByPath(slices)
 
 
 def merge_side(spark: SparkSession, base: str, accounts_one: DataFrame, first: int, last: int) -> None:

@@ -14,7 +14,7 @@ from __spark_entry__ import entry
 from pulsegrid.plans.catalog import QUERIES
 from pulsegrid.plans.oracle import ORACLE
 
-NAMES = [n for n in QUERIES if not n.startswith("stream_") or n in ("stream_fact_late", "stream_ccu_corrections")]
+NAMES = [n for n in QUERIES if not n.startswith("stream_") or n in ("stream_fact_late", "stream_fact_published", "stream_dau_preview", "stream_ccu_corrections")]
 
 
 def _norm(v):

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import time
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from conftest import SF_TINY, as_set, json_lines, members
 
+from pulsegrid.operators.publish import create_published_fact, partition_locations
 from pulsegrid.plans import catalog
 from pulsegrid.streaming import routing
 from pulsegrid.streaming.ccu_hours import closed_until, hour_states, rejected_minutes, run_ccu_hours_stream
@@ -151,3 +153,25 @@ def test_preview_counts_small_sets_exactly_and_large_ones_closely(spark, tmp_pat
     many.write.mode("append").json(str(tmp_path / "in"))
     found = {r.activity_date: r.dau_preview for r in run().where("level = 'all'").collect()}
     assert abs(found[date(2025, 8, 1)] - 60_000) <= 0.05 * 60_000 and found[DAY] == 2
+
+
+def test_published_days_have_few_files_however_many_micro_batches(spark, tmp_path):
+    """Twelve micro-batches with sessions of the same day: one file in the table, none left beside it, all rows there. A run that is
+    lost after publishing changes nothing when it is run again."""
+    table = "fact_of_stream"
+    create_published_fact(spark, table, str(tmp_path / "table"))
+    try:
+        for i in range(12):
+            land(tmp_path / "in", i, (f"u{i}", "2025-07-10T10:00:00", 1, "tv"), ("ann", "2025-07-10T10:00:00", 1, "tv"))
+        got = fact_run(spark, tmp_path, table=table)
+        assert got.count() == 13 and not (tmp_path / "t/fact").exists()
+        where = partition_locations(spark, table, [DAY])[DAY].removeprefix("file:")
+        assert len(list(Path(where).glob("*.parquet"))) == 1
+        land(tmp_path / "in", 20, ("late", "2025-07-01T10:00:00", 1, "tv"), ("u1", "2025-07-10T11:00:00", 1, "tv"))
+        (tmp_path / "t/fact").mkdir()
+        spark.table(table).withColumn("load", routing.F.lit("again")).write.mode("append").partitionBy("activity_date", "load").parquet(str(tmp_path / "t/fact"))
+        got = fact_run(spark, tmp_path, table=table)
+        assert got.count() == 14 and got.select("activity_date", "user_id").distinct().count() == 14
+        assert partition_locations(spark, table, [DAY])[DAY].removeprefix("file:") == where  # nothing new for that day
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
