@@ -411,9 +411,9 @@ WITH RECURSIVE fates AS (
          CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
   FROM (SELECT *, unnest(range(CASE fate WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM fates WHERE fate <> 0)
 ), numbered AS (
-  SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth,
-         role[1] AS initial, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z', 1) AS ending
-  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text))
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, role[1] AS initial,
+               regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z', 1) AS ending FROM turns)
 ), marked AS (
   SELECT conv_id, turn, i, role, text, initial, ending = '' AS blank, ending <> '' AND nth > 1 AS duplicate,
          ending <> '' AND nth = 1 AND ending NOT IN ('.', '!', '?') AS truncated,
