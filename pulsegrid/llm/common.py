@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import ctypes
 from collections.abc import Callable, Iterator
 
@@ -11,12 +12,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.session import scratch_path, stage
+from pulsegrid.session import drop_scratch, scratch_path
 
 __all__ = [
     "WORD", "SPACE", "BATCH_BYTES", "documents", "stage", "scratch_path", "ascii_lower",
     "word_count", "id_residue", "byte_slices", "partitions_for", "bounded_arrow_batches",
-    "RUN_BYTES", "released",
+    "RUN_BYTES", "released", "scratch_scope",
 ]
 
 # Fixed values of the contracts: what separates words, and what a word is.
@@ -33,6 +34,34 @@ RUN_BYTES = 1 << 18
 ARROW_BATCH_BYTES = 8 << 20
 
 
+# The scopes that are open in this thread, innermost last: what is staged in one goes when it ends.
+_SCOPES: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("scratch_scopes", default=())
+
+
+def stage(spark: SparkSession, df: DataFrame, name: str, outlives: bool = False) -> DataFrame:
+    """Write ``df`` once as Parquet under the checkpoint folder and return the written table. It goes when the innermost
+    :func:`scratch_scope` ends, or the one around that if it ``outlives`` it; outside of any it stays."""
+    path = scratch_path(spark, name)
+    scopes = _SCOPES.get()[:-1] if outlives else _SCOPES.get()
+    if scopes:
+        scopes[-1].append(path)
+    schema = df.schema
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Drop what is staged inside at the end. No plan that is run later may read it."""
+    paths: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), paths))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(token)
+        drop_scratch(spark, *paths)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
