@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pulsegrid.config import check_table_name
 from pulsegrid.operators.accounts import latest_account_per_user
 from pulsegrid.operators.checks import enforce_fact
-from pulsegrid.operators.tables import create_fact_table, layout_fact, merge_rows
+from pulsegrid.operators.tables import create_fact_table, layout_fact, merge_rows, without_keys
 from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS, FACT_SCHEMA
 from pulsegrid.session import drop_scratch, path_exists, scratch_path
 
@@ -143,7 +143,7 @@ def publish_load(spark: SparkSession, new: DataFrame, table: str, mode: str = "r
 
     # Rows that the load brings and the table does not have; in insert_only a stored key is enough.
     same = FACT_COLUMNS if mode == "replace" else FACT_KEYS
-    news = batch.join(stored, same, "left_anti").select("activity_date").distinct()
+    news = without_keys(batch, stored, same).select("activity_date").distinct()
     dates = sorted((r[0] for r in news.collect()), key=str)
     if not dates:
         drop_scratch(spark, batch_path)

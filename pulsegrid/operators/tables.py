@@ -97,6 +97,14 @@ def read_fact_if_exists(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([], FACT_SCHEMA) if stored is None else stored
 
 
+def without_keys(rows: DataFrame, keyed: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``rows`` whose key is not in ``keyed``: an anti join by sorting, which spills.
+
+    A broadcast would hold all keys in every task, and the optimizer would choose it by the size of
+    the files: dictionaries and runs make a few MB of Parquet out of keys that need a GB as rows."""
+    return rows.join(keyed.select(*keys).hint("merge"), keys, "left_anti")
+
+
 def merge_rows(new: DataFrame, old: DataFrame, mode: str = "replace") -> DataFrame:
     """The rows of the touched dates after a load.
 
@@ -109,9 +117,9 @@ def merge_rows(new: DataFrame, old: DataFrame, mode: str = "replace") -> DataFra
     new = new.select(*FACT_COLUMNS)
     old = old.select(*FACT_COLUMNS)
     if mode == "replace":
-        return new.unionByName(old.join(new.select(*FACT_KEYS), FACT_KEYS, "left_anti"))
+        return new.unionByName(without_keys(old, new, FACT_KEYS))
     if mode == "insert_only":
-        return old.unionByName(new.join(old.select(*FACT_KEYS), FACT_KEYS, "left_anti"))
+        return old.unionByName(without_keys(new, old, FACT_KEYS))
     raise ValueError(f"unknown upsert mode {mode!r}")
 
 
@@ -188,7 +196,7 @@ def replace_rows(
         return
     old = _existing(spark, path, cols)
     if old is not None:
-        kept = touched_partitions(old, rows, partition_by).join(rows.select(*keys), keys, "left_anti")
+        kept = without_keys(touched_partitions(old, rows, partition_by), rows, keys)
         scratch.append(scratch_path(spark, "merge"))
         rows.unionByName(kept).write.mode("overwrite").parquet(scratch[1])
         rows = spark.read.schema(schema).parquet(scratch[1]).select(*cols)
@@ -205,7 +213,7 @@ def append_new_keys(spark: SparkSession, new: DataFrame, path: str, keys: list[s
     cols = new.columns
     added_path = scratch_path(spark, "added")
     old = None if new.isEmpty() else _existing(spark, path, cols)
-    fresh = new if old is None else new.join(touched_partitions(old, new, partition_by).select(*keys), keys, "left_anti")
+    fresh = new if old is None else without_keys(new, touched_partitions(old, new, partition_by), keys)
     fresh.select(*cols).write.mode("overwrite").parquet(added_path)
     added = spark.read.schema(new.schema).parquet(added_path)
     if not added.isEmpty():

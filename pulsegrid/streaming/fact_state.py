@@ -29,7 +29,7 @@ from pulsegrid.operators.accounts import latest_account_per_user
 from pulsegrid.operators.activity import attach_country
 from pulsegrid.operators.publish import publish_load
 from pulsegrid.operators.quality import classify_sessions
-from pulsegrid.operators.tables import read_fact_if_exists, touched_partitions
+from pulsegrid.operators.tables import read_fact_if_exists, touched_partitions, without_keys
 from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS, SESSION_FIELDS, SESSIONS_JSON_SCHEMA
 from pulsegrid.session import path_exists, stage
 from pulsegrid.sources.readers import session_columns
@@ -108,7 +108,7 @@ def merge_side(spark: SparkSession, base: str, accounts_one: DataFrame, first: i
         fresh = keys
         if path_exists(spark, f"{base}/fact"):
             stored = spark.read.parquet(f"{base}/fact").where(F.col("load") != slice_name)
-            fresh = keys.join(touched_partitions(stored, keys, "activity_date").select(*FACT_KEYS), FACT_KEYS, "left_anti")
+            fresh = without_keys(keys, touched_partitions(stored, keys, "activity_date"), FACT_KEYS)
         added = stage(spark, attach_country(fresh, accounts_one).select(*FACT_COLUMNS), "stream-side-fact")
         R.write_slices(added, f"{base}/fact", "activity_date", slice_name)
     R.side_merged(spark, base, last)

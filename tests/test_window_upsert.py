@@ -1,5 +1,6 @@
 """Extraction window, look-back, account reduction and the two upsert modes."""
 
+import re
 from datetime import date
 
 import pytest
@@ -8,7 +9,8 @@ from conftest import as_set, json_lines, members, visits
 from pulsegrid.config import JobConfig, Window, check_table_name
 from pulsegrid.operators.accounts import latest_account_per_user
 from pulsegrid.operators.activity import build_fact
-from pulsegrid.operators.tables import merge_rows, read_fact_if_exists, upsert_fact
+from pulsegrid.operators.tables import append_new_keys, merge_rows, read_fact_if_exists, replace_rows, upsert_fact
+from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS
 from pulsegrid.sources.readers import read_sessions_json
 
 
@@ -124,3 +126,33 @@ def test_a_load_reads_its_sources_once(spark, tmp_path, mode):
     batch = facts(spark, [], ("bob", 1), ("cat", 2), ("ann", 9))
     upsert_fact(spark, batch.mapInArrow(counted, batch.schema), path, mode=mode)
     assert seen.value == 3 and len(table(spark, path)) == 5
+
+
+@pytest.mark.parametrize("load", ["replace", "insert_only", "replace_rows", "append_new_keys"])
+def test_no_task_holds_all_keys_of_a_load(spark, tmp_path, monkeypatch, load):
+    """Keys of few distinct values are small as files and large as rows: they are joined by sorting, not by a broadcast."""
+    keys = "date'2025-07-10' + cast(id % 3 as int) as activity_date, cast(id as string) as user_id, 'NO' as country, 'tv' as platform"
+    first, second = (spark.range(a, b).selectExpr(*keys.split(", ")) for a, b in ((0, 600), (300, 900)))
+    paths = [str(tmp_path / name) for name in ("old", "new")]
+    first.write.partitionBy("activity_date").parquet(paths[0])
+    second.write.parquet(paths[1])
+    old, new = (spark.read.parquet(p).select(*FACT_COLUMNS) for p in paths)
+    plans, join = [], type(old).join
+
+    def seen(self, other, on=None, how=None):
+        joined = join(self, other, on, how)
+        if how == "left_anti":
+            plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        return joined
+
+    monkeypatch.setattr(type(old), "join", seen)
+    if load == "replace_rows":
+        replace_rows(spark, new, paths[0], FACT_KEYS, "activity_date")
+        got = spark.read.parquet(paths[0])
+    elif load == "append_new_keys":
+        append_new_keys(spark, new, paths[0], FACT_KEYS, "activity_date")
+        got = spark.read.parquet(paths[0])
+    else:
+        got = merge_rows(new, old, load)
+    assert got.count() == 900 and got.select("user_id").distinct().count() == 900
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and not re.search("BroadcastHashJoin.*LeftAnti", plans[0])
