@@ -31,7 +31,7 @@ from pulsegrid.operators.publish import publish_load
 from pulsegrid.operators.quality import classify_sessions
 from pulsegrid.operators.tables import read_fact_if_exists, touched_partitions, without_keys
 from pulsegrid.schemas import FACT_COLUMNS, FACT_KEYS, SESSION_FIELDS, SESSIONS_JSON_SCHEMA
-from pulsegrid.session import path_exists, stage
+from pulsegrid.session import drop_scratch, path_exists, scratch_path, stage
 from pulsegrid.sources.readers import session_columns
 from pulsegrid.streaming import routing as R
 
@@ -70,8 +70,16 @@ def run_fact_state_stream(
     R.run_router(spark, classify_sessions(session_columns(raw)).withColumnRenamed("dq_reason", "reject"), base, look_back, horizon)
 
     def load(batch: DataFrame, epoch: int) -> None:
-        # One write, so the state is brought up to date once.
-        R.write_slices(attach_country(batch, accounts_one).select(*FACT_COLUMNS), f"{base}/fact", "activity_date", f"batch-{epoch}")
+        # One write, so the state is brought up to date once. Its tasks, as many as the state has parts,
+        # write a file each; what is read from these is joined and laid out by day adaptively.
+        path = scratch_path(spark, "stream-keys")
+        try:
+            batch.write.mode("overwrite").parquet(path)
+            keys = spark.read.schema(batch.schema).parquet(path)
+            if not keys.isEmpty():
+                R.write_slices(attach_country(keys, accounts_one).select(*FACT_COLUMNS), f"{base}/fact", "activity_date", f"batch-{epoch}")
+        finally:
+            drop_scratch(spark, path)
 
     if path_exists(spark, f"{base}/routed"):
         R.run_stateful(spark, base, ROUTED_SCHEMA, look_back,

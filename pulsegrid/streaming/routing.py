@@ -22,7 +22,7 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.predicates import ntz_literal
@@ -63,6 +63,11 @@ def last_epoch(spark: SparkSession, base: str) -> int:
     return -1 if found is None else found
 
 
+def _write_row(spark: SparkSession, path: str, *values: Column) -> None:
+    """One row of literals. Made of Python values it would start a Python worker, in each micro-batch."""
+    spark.range(0, 1, 1, 1).select(*values).write.mode("overwrite").parquet(path)
+
+
 def run_router(spark: SparkSession, rows: DataFrame, base: str, look_back: timedelta, horizon: datetime | None = None) -> None:
     """Route what has arrived of ``rows``, a stream with ``ts`` (null only where rejected) and
     ``reject``, to ``base``/routed/epoch=N/route=R."""
@@ -76,8 +81,10 @@ def run_router(spark: SparkSession, rows: DataFrame, base: str, look_back: timed
         written = spark.read.schema("ts timestamp_ntz, route string").parquet(path)
         found = {r.route: r for r in written.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("latest")).collect()}
         latest = found[ON_TIME].latest if ON_TIME in found else None
-        mark = (epoch, max((t for t in (reached, latest) if t), default=None), latest, *(found[r].n if r in found else 0 for r in ROUTES))
-        spark.createDataFrame([mark], MARK_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{base}/marks/{epoch}")
+        reached = max((t for t in (reached, latest) if t), default=None)
+        times = [(ntz_literal(t) if t else F.lit(None).cast("timestamp_ntz")).alias(name) for name, t in (("reached", reached), ("latest", latest))]
+        counts = [F.lit(found[r].n if r in found else 0).cast("long").alias(r) for r in ROUTES]
+        _write_row(spark, f"{base}/marks/{epoch}", F.lit(epoch).cast("long").alias("epoch"), *times, *counts)
 
     run_available_now(rows.writeStream.foreachBatch(publish).option("checkpointLocation", f"{base}/checkpoints/route"))
 
@@ -123,7 +130,7 @@ def side_epochs(spark: SparkSession, base: str) -> tuple[int, int]:
 
 
 def side_merged(spark: SparkSession, base: str, epoch: int) -> None:
-    spark.createDataFrame([(epoch,)], "epoch long").coalesce(1).write.mode("overwrite").parquet(f"{base}/merged/{epoch}")
+    _write_row(spark, f"{base}/merged/{epoch}", F.lit(epoch).cast("long").alias("epoch"))
 
 
 def side_counts(spark: SparkSession, base: str, schema: str) -> DataFrame:

@@ -57,6 +57,14 @@ def test_late_sessions_are_counted_and_merged(spark, tmp_path):
     assert fact_run(spark, tmp_path).count() == 6  # nothing new
 
 
+def test_a_day_is_written_as_one_file_however_many_parts_the_state_has(spark, tmp_path):
+    """Forty users on each of two days are in every part of the state."""
+    land(tmp_path / "in", 0, *((f"u{i}", f"2025-07-{10 + i % 2}T10:00:00", 1, "tv") for i in range(80)))
+    assert fact_run(spark, tmp_path).count() == 80
+    files = [p.parent.parent.name for p in (tmp_path / "t/fact").rglob("*.parquet")]
+    assert sorted(files) == ["activity_date=2025-07-10", "activity_date=2025-07-11"]
+
+
 def test_a_wrong_clock_does_not_move_the_watermark(spark, tmp_path):
     land(tmp_path / "in", 0, ("bob", "2999-01-01T00:00:00", 1, "tv"))
     land(tmp_path / "in", 1, ("ann", "2025-07-10T10:00:00", 1, "tv"))
